@@ -106,30 +106,29 @@ class ChunkEncoder:
     def _forget(self) -> None:
         self.at: dict[str, int] = {}
         self.known = 0
-        self.starts, self.counts = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.starts, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids, self.used = np.zeros(1 << 20, np.int32), 0
 
     def _learn(self, chunks: list[str]) -> None:
-        plain = [c for c in chunks if _MARK not in c]
-        found: list[np.ndarray] = []
-        step = 512
-        lines = [f" {_MARK} ".join(plain[i : i + step]) for i in range(0, len(plain), step)]
-        for line in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False):
-            ids = np.array(line.ids, np.int32)
-            found += np.split(ids, np.flatnonzero(ids == self.mark))
-        # every piece but the first of its line begins with the mark
-        found = [x[1:] if k % step else x for k, x in enumerate(found)]
-        odd = [c for c in chunks if _MARK in c]
-        found += [np.array(self.tokenizer.encode(c, add_special_tokens=False).ids, np.int32) for c in odd]
-        for chunk, ids in zip([*plain, *odd], found, strict=True):
-            k, self.known = self.known, self.known + 1
-            if k == len(self.starts):
-                self.starts, self.counts = np.resize(self.starts, 2 * k), np.resize(self.counts, 2 * k)
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.resize(self.ids, 2 * len(self.ids))
-            self.at[chunk], self.starts[k], self.counts[k] = k, self.used, len(ids)
-            self.ids[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
+        plain, odd = [c for c in chunks if _MARK not in c], [c for c in chunks if _MARK in c]
+        # a mark before each chunk, so that chunks can be told apart in the ids of a whole line
+        lines = [f"{_MARK} " + f" {_MARK} ".join(plain[i : i + 256]) for i in range(0, len(plain), 256)]
+        ids = [np.array(x.ids, np.int32) for x in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)]
+        flat = np.concatenate([np.zeros(0, np.int32), *ids])
+        marks = np.flatnonzero(flat == self.mark)
+        self._store(plain, flat[flat != self.mark], np.diff(np.append(marks, len(flat))) - 1)
+        for c in odd:
+            own = np.array(self.tokenizer.encode(c, add_special_tokens=False).ids, np.int32)
+            self._store([c], own, np.array([len(own)]))
+
+    def _store(self, chunks: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        self.at.update(zip(chunks, range(self.known, self.known + len(chunks)), strict=True))
+        self.starts = np.concatenate([self.starts, self.used + np.cumsum(counts) - counts])
+        self.counts = np.concatenate([self.counts, counts])
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.resize(self.ids, 2 * (self.used + len(ids)))
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.known, self.used = self.known + len(chunks), self.used + len(ids)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and how many each text has."""
@@ -139,7 +138,8 @@ class ChunkEncoder:
         if self.known + len(new) > MEMO_CHUNKS:
             self._forget()
             new = list(dict.fromkeys(flat))
-        self._learn(new)
+        if new:
+            self._learn(new)
         at = np.fromiter(map(self.at.__getitem__, flat), np.int64, len(flat))
         counts = self.counts[at]
         ends = np.cumsum(counts)
