@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_format, exact_dedup, language_id, line_dedup, ngram_join, packing, sharding, vector_search, warc
+from . import chat_format, exact_dedup, language_id, line_dedup, ngram_join, packing, sharding, subword_sampling, vector_search, warc
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op3_top_k": vector_search.op3_top_k,
         "op4_warc": warc.op4_warc,
         "op5_language_id": language_id.op5_language_id,
+        "op6_subword_sampling": subword_sampling.op6_subword_sampling,
         "op7_chat_format": chat_format.op7_chat_format,
         "op8_line_dedup": line_dedup.op8_line_dedup,
         "op9_packing": packing.op9_packing,
