@@ -339,7 +339,8 @@ def encode_sampled(df: DataFrame, *, model: str, k: int = 2, power: float = 1.0,
     probability is among the k drawn, given the value of the one that would have come next).
 
     The first sample follows the distribution of whole segmentations. A text with fewer than k
-    segmentations gives them all, with a chance of 1 each. A null or empty text has one, without
+    segmentations gives them all, with a chance of 1 each; what holds less than 1e-12 of a chunk's mass
+    is beyond the precision of the search and counts as none. A null or empty text has one, without
     ids. Characters without a piece become their UTF-8 bytes. Equal keys with equal texts, repeated
     rows too, get equal samples; a null key is a key like others. Texts of any length are taken
     whole. Other columns are left out. An empty table gives no row.
