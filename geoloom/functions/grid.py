@@ -44,22 +44,28 @@ def cell_id(latitude: Column, longitude: Column, resolution: int) -> Column:
     return F.when(valid_location(latitude, longitude), packed)
 
 
-def cell_center(cell: Column) -> tuple[Column, Column]:
-    """(latitude, longitude) of a cell's centre, from its id."""
-    column = cell.bitwiseAND((1 << COLUMN_BITS) - 1)
-    row = F.shiftright(cell, COLUMN_BITS).bitwiseAND((1 << ROW_BITS) - 1)
-    resolution = F.shiftright(cell, ROW_BITS + COLUMN_BITS).cast("int")
-    step = F.element_at(F.array(*(F.lit(step_degrees(r)) for r in range(16))), resolution + 1)
-    return F.least(row * step + step / 2 - 90, F.lit(90.0)), (column + 0.5) * 360 / _columns(row, step) - 180
-
-
 def with_cell(df: DataFrame, *, resolution: int = 6, latitude: str = "latitude", longitude: str = "longitude", output: str = "weather_query_cell_id") -> DataFrame:
     check_resolution(resolution)
     return df.withColumn(output, cell_id(F.col(latitude), F.col(longitude), resolution))
 
 
 def with_center(df: DataFrame, *, cell: str = "weather_query_cell_id") -> DataFrame:
-    """Add query_latitude and query_longitude; rows without a valid centre are dropped."""
-    latitude, longitude = cell_center(F.col(cell))
-    out = df.withColumns({"query_latitude": latitude, "query_longitude": longitude})
-    return out.filter(valid_location("query_latitude", "query_longitude"))
+    """Add query_latitude and query_longitude, a cell's centre, from its id.
+
+    Rows with a null or malformed id are dropped. Each step is a projection of its own, so that
+    values used twice are computed once.
+    """
+    cell_col = F.col(cell)
+    parts = {
+        "__gr_resolution": F.shiftright(cell_col, ROW_BITS + COLUMN_BITS).cast("int"),
+        "__gr_row": F.shiftright(cell_col, COLUMN_BITS).bitwiseAND((1 << ROW_BITS) - 1),
+        "__gr_column": cell_col.bitwiseAND((1 << COLUMN_BITS) - 1),
+    }
+    steps = F.array(*(F.lit(step_degrees(r)) for r in range(16)))
+    split = df.withColumns(parts).filter(F.shiftright(cell_col, ROW_BITS + COLUMN_BITS).between(0, 15))
+    sized = split.withColumn("__gr_step", F.element_at(steps, F.col("__gr_resolution") + 1))
+    wide = sized.withColumn("__gr_across", _columns(F.col("__gr_row"), F.col("__gr_step")))
+    latitude = F.least(F.col("__gr_row") * F.col("__gr_step") + F.col("__gr_step") / 2 - 90, F.lit(90.0))
+    longitude = (F.col("__gr_column") + 0.5) * 360 / F.col("__gr_across") - 180
+    out = wide.filter("__gr_column < __gr_across").withColumns({"query_latitude": latitude, "query_longitude": longitude})
+    return out.drop(*parts, "__gr_step", "__gr_across")

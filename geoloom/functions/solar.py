@@ -6,7 +6,7 @@ session time zone must be UTC, as timestamps are taken as instants.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SOLAR_MODEL_VERSION = "almanac-1988"
@@ -17,29 +17,36 @@ def _within(angle: Column, full: float) -> Column:
     return angle - full * F.floor(angle / full)
 
 
-def solar_angles(at: Column, latitude: Column, longitude: Column) -> dict[str, Column]:
-    """Elevation, apparent elevation, zenith and azimuth (from north, clockwise), in degrees."""
-    days = (F.unix_seconds(at.cast("timestamp")) - J2000_SECONDS) / 86400.0
-    mean_longitude = _within(280.460 + 0.9856474 * days, 360.0)
-    anomaly = F.radians(_within(357.528 + 0.9856003 * days, 360.0))
-    ecliptic = F.radians(_within(mean_longitude + 1.915 * F.sin(anomaly) + 0.020 * F.sin(2 * anomaly), 360.0))
-    obliquity = F.radians(23.439 - 0.0000004 * days)
-    ascension = F.atan2(F.cos(obliquity) * F.sin(ecliptic), F.cos(ecliptic))
-    declination = F.asin(F.sin(obliquity) * F.sin(ecliptic))
-    clock = _within(days - 0.5 + 1.0, 1.0) * 24.0  # hours since midnight UTC
-    sidereal = _within(6.697375 + 0.0657098242 * days + clock, 24.0)
-    hour_angle = F.radians(sidereal * 15.0 + longitude) - ascension
-    lat = F.radians(latitude)
-    height = F.asin(F.sin(declination) * F.sin(lat) + F.cos(declination) * F.cos(lat) * F.cos(hour_angle))
-    azimuth = F.atan2(-F.cos(declination) * F.sin(hour_angle), F.sin(declination) * F.cos(lat) - F.cos(declination) * F.sin(lat) * F.cos(hour_angle))
-    elevation = F.degrees(height)
+def with_solar_angles(df: DataFrame, *, at: str, latitude: str, longitude: str) -> DataFrame:
+    """Add elevation, apparent elevation, zenith and azimuth (from north, clockwise), in degrees.
+
+    Each step is a projection of its own, so that values used twice are computed once.
+    """
+    v = F.col
+    days = (F.unix_seconds(v(at).cast("timestamp")) - J2000_SECONDS) / 86400.0
+    steps = [
+        {"__so_days": days},
+        {"__so_mean": _within(280.460 + 0.9856474 * v("__so_days"), 360.0), "__so_anomaly": F.radians(_within(357.528 + 0.9856003 * v("__so_days"), 360.0)), "__so_tilt": F.radians(23.439 - 0.0000004 * v("__so_days"))},
+        {"__so_long": F.radians(_within(v("__so_mean") + 1.915 * F.sin("__so_anomaly") + 0.020 * F.sin(2 * v("__so_anomaly")), 360.0)), "__so_clock": _within(v("__so_days") + 0.5, 1.0) * 24.0},
+        {
+            "__so_ascension": F.atan2(F.cos("__so_tilt") * F.sin("__so_long"), F.cos("__so_long")),
+            "__so_declination": F.asin(F.sin("__so_tilt") * F.sin("__so_long")),
+            "__so_sidereal": _within(6.697375 + 0.0657098242 * v("__so_days") + v("__so_clock"), 24.0),
+            "__so_lat": F.radians(v(latitude)),
+        },
+        {"__so_hour": F.radians(v("__so_sidereal") * 15.0 + v(longitude)) - v("__so_ascension")},
+        {
+            "solar_elevation_deg": F.degrees(F.asin(F.sin("__so_declination") * F.sin("__so_lat") + F.cos("__so_declination") * F.cos("__so_lat") * F.cos("__so_hour"))),
+            "__so_turn": F.degrees(F.atan2(-F.cos("__so_declination") * F.sin("__so_hour"), F.sin("__so_declination") * F.cos("__so_lat") - F.cos("__so_declination") * F.sin("__so_lat") * F.cos("__so_hour"))),
+        },
+    ]
+    out = df
+    for step in steps:
+        out = out.withColumns(step)
+    elevation = v("solar_elevation_deg")
     bent = elevation + 1.02 / 60 / F.tan(F.radians(elevation + 10.3 / (elevation + 5.11)))
-    return {
-        "solar_elevation_deg": elevation,
-        "apparent_solar_elevation_deg": F.when(elevation >= -0.575, bent).otherwise(elevation),
-        "solar_zenith_deg": 90.0 - elevation,
-        "solar_azimuth_deg": _within(F.degrees(azimuth), 360.0),
-    }
+    final = out.withColumns({"apparent_solar_elevation_deg": F.when(elevation >= -0.575, bent).otherwise(elevation), "solar_zenith_deg": 90.0 - elevation, "solar_azimuth_deg": _within(v("__so_turn"), 360.0)})
+    return final.drop(*(n for step in steps for n in step if n.startswith("__so_")))
 
 
 #: Least elevation of each class, in falling order; below all is night.

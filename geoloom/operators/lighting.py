@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.grid import with_center
-from ..functions.solar import SOLAR_MODEL_VERSION, lighting_class, solar_angles
+from ..functions.solar import SOLAR_MODEL_VERSION, lighting_class, with_solar_angles
 from ..sources.sinks import new_rows, rebuild_or_add
 from .quality import Report, validate_lighting
 
@@ -27,7 +27,7 @@ def missing_keys(wanted: DataFrame, existing: DataFrame) -> DataFrame:
 def lighting_conditions(keys: DataFrame) -> DataFrame:
     """Angles, class and lineage for keys; the place is the cell's centre. A plain projection."""
     placed = with_center(keys)
-    angles = placed.withColumns(solar_angles(F.col("solar_timestamp_hour"), F.col("query_latitude"), F.col("query_longitude")))
+    angles = with_solar_angles(placed, at="solar_timestamp_hour", latitude="query_latitude", longitude="query_longitude")
     return angles.select(
         "weather_query_cell_id",
         "solar_timestamp_hour",
