@@ -186,6 +186,13 @@ def validate_census(df: DataFrame, *, first_vintage: int = 2009, last_vintage: i
     return _report(df, "census", ["geoid", "acs_vintage", *CENSUS_RATES], census_checks(first_vintage=first_vintage, last_vintage=last_vintage), ["geoid", "acs_vintage"], **options)
 
 
+def validate_rebuilt_census(df: DataFrame, **options) -> Report:
+    """After a rebuild: no key twice, and ages in range."""
+    age = F.col("median_age")
+    checks = {"keys_not_null": c.all_not_null(["geoid", "acs_vintage"]), "median_age_range": age.isNull() | (~F.isnan(age) & age.between(0.0, 120.0))}
+    return _report(df, "census", ["geoid", "acs_vintage", "median_age"], checks, ["geoid", "acs_vintage"], **options)
+
+
 def lighting_checks(*, version: str) -> dict[str, Column]:
     def number(name: str, low: float, high: float) -> Column:
         return ~F.isnan(name) & F.col(name).between(low, high)
