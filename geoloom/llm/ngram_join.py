@@ -268,7 +268,8 @@ def near_duplicate_components(df: DataFrame, *, words: int = 5, num: int = 4, de
     texts = df.select(F.col(key).alias("__nj_first"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     def with_texts(rows: DataFrame) -> DataFrame:
-        rows = rows.join(texts, F.col("first").eqNullSafe(F.col("__nj_first")))
+        # the small side is hashed at every size; a broadcast would depend on it
+        rows = texts.join(rows.hint("shuffle_hash"), F.col("first").eqNullSafe(F.col("__nj_first")))
         return rows.select("place", "block", "node", "text")
 
     def shuffled(seed: int) -> DataFrame:
