@@ -195,6 +195,7 @@ def write_archives(pages: DataFrame, folder: str, *, page: str = "page_id", url:
     body = F.coalesce(F.col(html), F.lit(""))
     rows = pages.select(F.col(page).cast("long").alias("page"), F.col(url).alias("url"), body.alias("body"), F.sha1(body).alias("digest"))
     known = rows.groupBy("digest").agg(F.min("page").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", "first")
+    known = written(known, "warc-known")  # a join of two plain exchanges is one that Spark can split by size
     marked = rows.join(known, "digest", "left").select(
         "page", "url", "body", "first", (F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page")) & (F.octet_length("body") >= least_revisit_bytes)).alias("revisit")
     )
