@@ -1,7 +1,7 @@
 r"""WARC archives inside ZIP packages: written by tasks, read back by byte ranges.
 
-A package is a ZIP file with stored (uncompressed) members: archive/data.warc and its index
-indexes/index.jsonl, one line per record with offset and length. The reader parses the end record,
+A package is a ZIP file with stored members: archive/data.warc.gz, whose records are gzip members of
+their own, and its index indexes/index.jsonl, one line per record with offset and length. The reader parses the end record,
 the ZIP64 end record and the central directory, finds the members' data and reads single records
 by their range; nothing is extracted.
 """
@@ -15,6 +15,7 @@ import json
 import posixpath
 import struct
 import zipfile
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from urllib.parse import quote
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import fresh_path, read_table, written
 
-ARCHIVE, INDEX = "archive/data.warc", "indexes/index.jsonl"
+ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.jsonl"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -137,6 +138,16 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
+def packed(data: bytes) -> bytes:
+    """One gzip member, the same for the same data."""
+    z = zlib.compressobj(6, zlib.DEFLATED, 31)
+    return z.compress(data) + z.flush()
+
+
+def unpacked(data: bytes) -> bytes:
+    return zlib.decompress(data, 31)
+
+
 def _fields(lines: bytes) -> dict[str, str]:
     return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines.decode("utf-8").split("\r\n")[1:])}
 
@@ -167,7 +178,7 @@ def parse_record(data: bytes) -> dict:
 
 
 def package(records: list[tuple[int | None, bytes]]) -> bytes:
-    """A ZIP package of the records and their index."""
+    """A ZIP package of packed records and their index."""
     offset, lines = 0, []
     for page_id, data in records:
         lines.append(json.dumps({"id": page_id, "offset": offset, "length": len(data)}) + "\n")
@@ -221,7 +232,7 @@ def write_archives(pages: DataFrame, folder: str, *, page: str = "page_id", url:
 
         for batch in batches:
             for r in batch.to_pylist():
-                data = record(r["page"], r["url"], r["body"].encode(), r["first"], r["revisit"], date)
+                data = packed(record(r["page"], r["url"], r["body"].encode(), r["first"], r["revisit"], date))
                 held.append((r["page"], data))
                 size += len(data)
                 if size >= package_bytes:
@@ -262,7 +273,7 @@ def read_archives(paths: DataFrame, *, records_per_range: int = 2000) -> DataFra
                 with _ranged(row["path"]) as f:
                     at = list(zip(row["offsets"], row["lengths"], strict=True))
                     for i in range(0, len(at), 200):
-                        yield pa.RecordBatch.from_pylist([parse_record(_exactly(f, o, n)) for o, n in at[i : i + 200]], schema)
+                        yield pa.RecordBatch.from_pylist([parse_record(unpacked(_exactly(f, o, n))) for o, n in at[i : i + 200]], schema)
 
     spread = paths.select("path").repartition("path")
     ranges = spread.mapInArrow(plan, "path string, offsets array<long>, lengths array<long>").repartition(F.col("path"), F.col("offsets")[0])

@@ -144,7 +144,7 @@ def test_directory_with_comment_and_compressed_member(tmp_path):
 
 def test_zip64_directory(tmp_path):
     """Sizes, offset and count as ZIP64 fields, as in a package beyond 4 GB."""
-    name, body = b"archive/data.warc", b"payload"
+    name, body = warc.ARCHIVE.encode(), b"payload"
     local = struct.pack("<4sHHHHHIIIHH", b"PK\x03\x04", 45, 0, 0, 0, 0, zlib.crc32(body), 0xFFFFFFFF, 0xFFFFFFFF, len(name), 20) + name + struct.pack("<HHQQ", 1, 16, len(body), len(body))
     pad = b"\0" * 11
     extra = struct.pack("<HHB", 0x9999, 1, 0) + struct.pack("<HHQQQ", 1, 24, len(body), len(body), len(pad))
