@@ -34,7 +34,7 @@ def drop_shared_lines(df: DataFrame, *, text: str = "text", key: str = "doc_id",
     rows with equal keys count as one document, and so do all rows with a null key, which comes
     last. A line repeated within one document counts once there and stays or goes as a whole. A
     text whose lines all go comes back empty. Rows that repeat are all returned. An empty table
-    gives an empty result. Further columns are passed through.
+    gives an empty result. Further columns are passed through; n_lines and n_dropped are replaced.
     """
     value = F.coalesce(F.col(text), F.lit(""))
     lines = (
@@ -66,7 +66,7 @@ def drop_shared_lines(df: DataFrame, *, text: str = "text", key: str = "doc_id",
     joined = df.join(masks, F.col(key).eqNullSafe(F.col("__ld_mask_doc")) & (F.xxhash64(value) == F.col("__ld_mask_hash")), "left")
     split = F.split(value, "\n")
     kept = F.filter(split, lambda _, i: F.coalesce(_bit(i), F.lit(0)) == 0)
-    others = [F.col(c) if c != text else F.when(F.col("__ld_gone").isNull(), value).otherwise(F.array_join(kept, "\n")).alias(text) for c in df.columns]
+    others = [F.col(c) if c != text else F.when(F.col("__ld_gone").isNull(), value).otherwise(F.array_join(kept, "\n")).alias(text) for c in df.columns if c not in ("n_lines", "n_dropped")]
     return joined.select(*others, F.size(split).cast("long").alias("n_lines"), F.coalesce(F.col("__ld_gone"), F.lit(0)).cast("long").alias("n_dropped"))
 
 

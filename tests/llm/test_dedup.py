@@ -39,7 +39,7 @@ def test_empty_tables(documents, spark):
 
 
 def test_clashing_columns_pass_through(documents):
-    docs = documents([(1, "some shared line\na"), (2, "some shared line\nb")]).withColumn("keep_id", F.lit(9)).withColumn("node", F.lit(1)).withColumn("place", F.lit(2))
+    docs = documents([(1, "some shared line\na"), (2, "some shared line\nb")]).withColumn("keep_id", F.lit(9)).withColumn("node", F.lit(1)).withColumn("place", F.lit(2)).withColumn("n_lines", F.lit("x"))
     assert exact_dedup.exact_duplicates(docs).count() == 2
     assert {(r.doc_id, r.text, r.node) for r in line_dedup.drop_shared_lines(docs).collect()} == {(1, "some shared line\na", 1), (2, "b", 1)}
     assert ngram_join.keep_first_of_each(docs).columns == docs.columns
