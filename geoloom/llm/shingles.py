@@ -17,8 +17,8 @@ _white = np.zeros(256, bool)
 _white[[32, *range(9, 14)]] = True
 _lower = np.arange(256, dtype=np.uint8)
 _lower[65:91] += 32
-_base = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
-_inverse = np.uint64(pow(int(_base), -1, 1 << 64))
+BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
+INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 _bytes = np.random.default_rng(97).integers(1, 1 << 63, 256, np.uint64) | np.uint64(1)
 
 
@@ -29,7 +29,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
+def powers(base: np.uint64, n: int) -> np.ndarray:
     steps = np.full(n, base)
     steps[:1] = 1
     return np.multiply.accumulate(steps)
@@ -46,8 +46,8 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
     inner = starts[(starts > 0) & (starts < len(raw))]
     after[inner - 1] = True
     first, last = np.flatnonzero(before & ~white), np.flatnonzero(after & ~white)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_bytes[_lower[raw]] * _powers(_base, len(raw)), dtype=np.uint64)])
-    words = (sums[last + 1] - sums[first]) * _powers(_inverse, len(raw) + 1)[first]
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_bytes[_lower[raw]] * powers(BASE, len(raw)), dtype=np.uint64)])
+    words = (sums[last + 1] - sums[first]) * powers(INVERSE, len(raw) + 1)[first]
     return mix(words + (last - first).astype(np.uint64)), np.searchsorted(starts, first, "right") - 1
 
 

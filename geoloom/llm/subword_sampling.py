@@ -15,20 +15,21 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import read_table
-from .shingles import _base, _inverse, _powers, mix
+from .shingles import BASE, INVERSE, mix, powers
 
 #: Characters of text that are worked on at once.
-PIECE_CHARS = 1 << 21
+PIECE_CHARS = 1 << 19
 SPACE = "▁"
 _CHUNK = re.compile(f"{SPACE}+[^{SPACE}]*")
 
@@ -46,6 +47,7 @@ class Vocabulary:
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         size = self.model.vocab_size()
         plain = [i for i in range(size) if not (self.model.is_byte(i) or self.model.is_control(i) or self.model.is_unknown(i) or self.model.is_unused(i))]
+        shown = set(plain)
         self.bytes = np.zeros(256, np.int32)
         for i in range(size):
             if self.model.is_byte(i):
@@ -54,22 +56,32 @@ class Vocabulary:
         log -= np.logaddexp.reduce(log)
         pieces = [self.model.id_to_piece(i) for i in plain]
         self.longest = max(map(len, pieces))
-        hashes = np.concatenate([Substrings(np.frombuffer(p.encode("utf-32-le"), np.uint32)).hashes(len(p)) for p in pieces])
+        hashes = np.concatenate([Substrings(np.frombuffer(p.encode("utf-32-le"), np.uint32)).hashes(np.zeros(1, np.int64), len(p)) for p in pieces])
         order = np.argsort(hashes)
         self.hashes, self.ids, self.logs = hashes[order], np.array(plain, np.int32)[order], log[order]
-        self.maybe = np.zeros(1 << 20, bool)
-        self.maybe[self._slot(hashes)] = True
+        slots = self._slot(self.hashes)
+        self.table = np.full(1 << 20, -1, np.int32)  # one piece of each slot
+        self.table[slots] = np.arange(len(slots))
+        self.crowded = np.bincount(slots, minlength=1 << 20) > 1
         self.byte_log = float(log.min())
+        texts = [bytes([int(self.model.id_to_piece(i)[3:5], 16)]) if self.model.is_byte(i) else self.model.id_to_piece(i).replace(SPACE, " ").encode() if i in shown else b"" for i in range(size)]
+        self.piece_bytes = np.frombuffer(b"".join(texts), np.uint8)
+        self.piece_lengths = np.array([len(t) for t in texts])
+        self.piece_starts = np.cumsum(self.piece_lengths) - self.piece_lengths
 
     @staticmethod
     def _slot(hashes: np.ndarray) -> np.ndarray:
-        return (hashes * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(44)
+        return ((hashes * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(44)).astype(np.int64)
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which hashes are pieces, and the pieces' places in ids and logs."""
-        may = np.flatnonzero(self.maybe[self._slot(hashes)])
-        at = np.minimum(np.searchsorted(self.hashes, hashes[may]), len(self.hashes) - 1)
-        hit = self.hashes[at] == hashes[may]
+        slot = self._slot(hashes)
+        at = self.table[slot]
+        may = np.flatnonzero(at >= 0)
+        at, slot, wanted = at[may], slot[may], hashes[may]
+        other = np.flatnonzero((self.hashes[at] != wanted) & self.crowded[slot])
+        at[other] = np.minimum(np.searchsorted(self.hashes, wanted[other]), len(self.hashes) - 1)
+        hit = self.hashes[at] == wanted
         return may[hit], at[hit]
 
 
@@ -77,13 +89,12 @@ class Substrings:
     """Hashes of all substrings of one array of code points, length by length."""
 
     def __init__(self, codes: np.ndarray) -> None:
-        values = mix(codes.astype(np.uint64) + np.uint64(0x1234567)) * _powers(_base, len(codes))
+        values = mix(codes.astype(np.uint64) + np.uint64(0x1234567)) * powers(BASE, len(codes))
         self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
-        self.shift = _powers(_inverse, len(codes) + 1)
+        self.shift = powers(INVERSE, len(codes) + 1)
 
-    def hashes(self, length: int) -> np.ndarray:
-        n = len(self.sums) - length
-        return (self.sums[length:] - self.sums[:n]) * self.shift[:n] + np.uint64(length)
+    def hashes(self, at: np.ndarray, length: int) -> np.ndarray:
+        return (self.sums[at + length] - self.sums[at]) * self.shift[at] + np.uint64(length)
 
 
 class Lattices:
@@ -101,13 +112,16 @@ class Lattices:
         substrings, place = Substrings(codes), np.arange(len(codes))
         froms, tos, pieces, logs = [], [], [], []
         single = np.zeros(len(codes), bool)
-        for n in range(min(vocabulary.longest, int(lengths.max())), 0, -1):  # long pieces tend to be likely
-            at, found = vocabulary.find(substrings.hashes(n))
-            within = at + n <= stop[at]
-            at, found = at[within], found[within]
+        inside = place
+        for n in range(1, min(vocabulary.longest, int(lengths.max())) + 1):
+            inside = inside[stop[inside] - inside >= n]  # substrings of that length within their chunk
+            hit, found = vocabulary.find(substrings.hashes(inside, n))
+            at = inside[hit]
             if n == 1:
                 single[at] = True
             froms.append(at), tos.append(at + n), pieces.append(vocabulary.ids[found].astype(np.int64)), logs.append(vocabulary.logs[found])
+        for found_so_far in (froms, tos, pieces, logs):
+            found_so_far.reverse()  # long pieces tend to be likely: a walk then seldom looks at others
         odd = place[~single]  # a character without a piece: its UTF-8 bytes are one edge
         width = 1 + (codes[odd] >= 0x80) + (codes[odd] >= 0x800) + (codes[odd] >= 0x10000)
         froms.append(odd), tos.append(odd + 1), pieces.append(-1 - codes[odd].astype(np.int64)), logs.append(vocabulary.byte_log * width)
@@ -196,8 +210,10 @@ def sample_segmentations(texts: list[str], seeds: np.ndarray, k: int, vocabulary
     out = []
     if not len(filled):
         return [(empty, np.zeros(0, np.int32), np.zeros(len(empty), np.int64), np.zeros(len(empty)), np.zeros(len(empty)))]
-    names: dict[str, int] = {}
-    chunk = np.array([names.setdefault(c, len(names)) for s in split for c in s])
+    flat_chunks = [c for s in split for c in s]
+    names = dict.fromkeys(flat_chunks)
+    names.update(zip(names, range(len(names)), strict=True))
+    chunk = np.fromiter(map(names.__getitem__, flat_chunks), np.int64, len(flat_chunks))
     lattices = Lattices(list(names), vocabulary)
     begin = (np.cumsum(counts) - counts)[filled]
     doc = np.repeat(np.arange(len(filled)), counts[filled])
@@ -331,7 +347,12 @@ def _vocabulary(path: str, power: float) -> Vocabulary:
     return Vocabulary(path, power)
 
 
-def encode_sampled(df: DataFrame, *, model: str, k: int = 2, power: float = 1.0, seed: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:
+Finish = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def encode_sampled(
+    df: DataFrame, *, model: str, k: int = 2, power: float = 1.0, seed: int = 0, key: str = "doc_id", text: str = "text", finish: tuple[Finish, str] | None = None
+) -> DataFrame:
     """Up to k distinct segmentations of every text, sampled without replacement.
 
     Returns a row per text and sample: key, sample (int, from 1, in the order drawn), ids (array of
@@ -343,7 +364,8 @@ def encode_sampled(df: DataFrame, *, model: str, k: int = 2, power: float = 1.0,
     is beyond the precision of the search and counts as none. A null or empty text has one, without
     ids. Characters without a piece become their UTF-8 bytes. Equal keys with equal texts, repeated
     rows too, get equal samples; a null key is a key like others. Texts of any length are taken
-    whole. Other columns are left out. An empty table gives no row.
+    whole. Other columns are left out. An empty table gives no row. finish, with its schema, is a
+    function over the result's Arrow batches that runs in the same task, before Spark gets them.
     """
     schema = T.StructType(
         [T.StructField(key, df.schema[key].dataType), T.StructField("sample", T.IntegerType()), T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("log_prob", T.DoubleType()), T.StructField("log_inclusion", T.DoubleType())]
@@ -360,7 +382,10 @@ def encode_sampled(df: DataFrame, *, model: str, k: int = 2, power: float = 1.0,
                     yield pa.RecordBatch.from_arrays([own.take(pa.array(rows)), pa.array(np.full(len(rows), rank, np.int32)), lists, pa.array(log), pa.array(inclusion)], names=schema.names)
 
     rows = df.select(F.col(key).alias("__ss_key"), F.col(text).alias("__ss_text"), F.xxhash64(F.lit(seed), F.col(key)).alias("__ss_seed"))
-    return rows.mapInArrow(encode, schema)
+    if finish is None:
+        return rows.mapInArrow(encode, schema)
+    then, finished = finish
+    return rows.mapInArrow(lambda batches: then(encode(batches)), finished)
 
 
 def _runs(texts: list[str]) -> Iterator[slice]:
@@ -374,33 +399,62 @@ def _runs(texts: list[str]) -> Iterator[slice]:
         yield slice(start, len(texts))
 
 
+def decoded_bytes(ids: np.ndarray, counts: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes of texts, one after the other, and where each begins and the last ends."""
+    lengths = vocabulary.piece_lengths[ids]
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    raw = vocabulary.piece_bytes[np.repeat(vocabulary.piece_starts[ids] - (ends - lengths), lengths) + np.arange(total)]
+    begins = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+    first = begins[:-1][begins[1:] > begins[:-1]]
+    first = first[raw[first] == 32]  # the space that encoding puts in front
+    keep = np.ones(len(raw), bool)
+    keep[first] = False
+    return raw[keep], begins - np.searchsorted(first, begins)
+
+
 def decode(df: DataFrame, *, model: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """Add the text of a column of ids; null ids give null. The column text is replaced if present."""
+    """Add the text of a column of ids; null ids give null. The column text is replaced if present.
+
+    Bytes that are no UTF-8, which only ids of other origin can give, are decoded by the model.
+    """
     kept = [c for c in df.columns if c != text]
     schema = T.StructType([*(df.schema[c] for c in kept), T.StructField(text, T.StringType())])
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(model, 1.0)
-        for batch in batches:
-            texts = [None if x is None else vocabulary.model.decode(x) if x else "" for x in batch[ids].to_pylist()]
-            yield batch.append_column(text, pa.array(texts, pa.string()))
+        for whole in batches:
+            for i in range(0, whole.num_rows, 512):
+                batch = whole.slice(i, 512)
+                lists = batch[ids]
+                flat, counts = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), lists.value_lengths().fill_null(0).to_numpy()
+                raw, begins = decoded_bytes(flat, counts, vocabulary)
+                texts = pa.Array.from_buffers(pa.large_string(), len(counts), [None, pa.py_buffer(begins.astype(np.int64)), pa.py_buffer(raw)]).cast(pa.large_binary())
+                try:
+                    texts = texts.cast(pa.string())
+                except pa.ArrowInvalid:
+                    texts = pa.array([vocabulary.model.decode(x or []) for x in lists.to_pylist()], pa.string())
+                yield batch.append_column(text, pc.if_else(lists.is_valid(), texts, pa.scalar(None, pa.string())))
 
     return df.select(*kept).mapInArrow(join, schema)
 
 
-def with_digests(samples: DataFrame) -> DataFrame:
-    """Replace ids and decoded by n_ids, ids_crc32 (little-endian 32-bit words) and decoded_crc32."""
-    kept = [f for f in samples.schema if f.name not in ("ids", "decoded")]
-    schema = T.StructType([*kept, *(T.StructField(n, T.LongType()) for n in ("n_ids", "ids_crc32", "decoded_crc32"))])
+def digests(model: str) -> Finish:
+    """Replace ids by n_ids, ids_crc32 (little-endian 32-bit words) and decoded_crc32, in the task
+    that drew them."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = _vocabulary(model, 1.0)
         for batch in batches:
             lists = batch["ids"]
-            flat, at = lists.values.to_numpy(zero_copy_only=False).astype("<u4"), lists.offsets.to_numpy()
-            columns = [np.diff(at).astype(np.int64), [zlib.crc32(flat[a:b]) for a, b in zip(at, at[1:], strict=False)], [zlib.crc32(t.encode()) for t in batch["decoded"].to_pylist()]]
-            yield pa.RecordBatch.from_arrays([*(batch[f.name] for f in kept), *(pa.array(c, pa.int64()) for c in columns)], names=schema.names)
+            flat, n = lists.flatten().to_numpy(zero_copy_only=False), lists.value_lengths().to_numpy().astype(np.int64)
+            raw, begins = decoded_bytes(flat, n, vocabulary)
+            words, at = flat.astype("<u4"), np.concatenate([[0], np.cumsum(n)])
+            columns = {"n_ids": n, "ids_crc32": [zlib.crc32(words[a:b]) for a, b in zip(at, at[1:], strict=False)], "decoded_crc32": [zlib.crc32(raw[a:b]) for a, b in zip(begins, begins[1:], strict=False)]}
+            rest = batch.drop_columns(["ids"])
+            yield pa.RecordBatch.from_arrays([*rest.columns, *(pa.array(c, pa.int64()) for c in columns.values())], names=[*rest.schema.names, *columns])
 
-    return samples.mapInArrow(digest, schema)
+    return digest
 
 
 def op6_subword_sampling(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
@@ -409,5 +463,5 @@ def op6_subword_sampling(spark: SparkSession, sf_dir: str, model: str | None = N
 
         model = public_tokenizers.path("piece_bpe_32k.model")
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    samples = decode(encode_sampled(docs, model=model, k=2, seed=20240506), model=model)
-    return with_digests(samples).select("doc_id", "sample", "n_ids", "ids_crc32", "log_prob", "log_inclusion", "decoded_crc32")
+    finish = (digests(model), "doc_id long, sample int, log_prob double, log_inclusion double, n_ids long, ids_crc32 long, decoded_crc32 long")
+    return encode_sampled(docs, model=model, k=2, seed=20240506, finish=finish).select("doc_id", "sample", "n_ids", "ids_crc32", "log_prob", "log_inclusion", "decoded_crc32")
