@@ -7,9 +7,11 @@ goes, longest first, into the open window with the least room that still takes i
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -21,10 +23,10 @@ from pyspark.sql import types as T
 
 from .common import read_table
 
-#: Pieces that one run of best-fit decreasing holds, and their tokens: 64 MB.
-RUN_PIECES, RUN_TOKENS = 1 << 15, 1 << 24
+#: Pieces that one run of best-fit decreasing holds, and their tokens: 16 MB.
+RUN_PIECES, RUN_TOKENS = 1 << 14, 1 << 22
 #: Chunks of text whose tokens a worker remembers, and the longest of them.
-MEMO_CHUNKS, MEMO_CHARS = 400_000, 48
+MEMO_CHUNKS, MEMO_CHARS = 900_000, 48
 
 
 class OpenWindows:
@@ -82,34 +84,85 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _BLANK = re.compile(r"[ \t\n\r\x0b\x0c]+")
 _MARK = "\x01"
+#: What may stand behind a word; an apostrophe may belong to it.
+_PUNCTUATION = ".,;:!?*%&$#"
 
 
 class ChunkEncoder:
     """Token ids of texts by way of their white-space chunks, each distinct one encoded once.
 
     It gives what the tokenizer gives for whole texts as long as no token spans white space, which
-    holds for tokenizers that drop it; the constructor checks that on a probe.
+    holds for tokenizers that drop it; the constructor checks that on a probe. Where the vocabulary
+    marks the ends of words, words of letters need no separators when they are encoded together, and
+    a word with punctuation behind it is put together from both.
     """
 
     def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks keep the cores busy
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
-        probe = "One, twoé\n3x — four"
-        apart = [i for chunk in probe.split() for i in self.tokenizer.encode(chunk, add_special_tokens=False).ids]
-        if len(mark) != 1 or apart != self.tokenizer.encode(probe, add_special_tokens=False).ids:
+        mark = self._whole(_MARK)
+        if len(mark) != 1 or self._whole("One, twoé\n3x — four") != [i for c in ("One,", "twoé", "3x", "—", "four") for i in self._whole(c)]:
             raise ValueError("this tokenizer does not drop white space")
         self.mark = mark[0]
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        if suffix:
+            self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
+        self.worded = bool(self.ends.any())
+        self.parted = self.worded and all(self._whole(w + p) == self._whole(w) + self._whole(p) for w in ("ab", "É", "Übung") for p in (*_PUNCTUATION, "!!", "?."))
+        self.plain_case = self._whole("ABC Abc") == self._whole("abc abc")
+        self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self._forget()
 
+    def _whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
     def _forget(self) -> None:
         self.at: dict[str, int] = {}
         self.known = 0
-        self.starts, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.starts, self.counts, self.single = array("q"), array("q"), bytearray()
         self.ids, self.used = np.zeros(1 << 20, np.int32), 0
 
     def _learn(self, chunks: list[str]) -> None:
+        behind = {c: w for c in chunks if self.parted and (w := c.rstrip(_PUNCTUATION)) != c and w.isalpha()}
+        parts = dict.fromkeys(x for c, w in behind.items() for x in (w, c[len(w) :]) if x not in self.at)
+        plain = dict.fromkeys(c for c in chunks if c not in behind) | parts
+        letters = [c for c in plain if c.isalpha()] if self.worded else []
+        odd = self._learn_words(letters)
+        self._learn_marked([*(c for c in plain if not (self.worded and c.isalpha())), *odd])
+        # a word of more than one run of tokens holds other things than letters once normalised
+        apart = [c for c, w in behind.items() if not self.single[self.at[w]]]
+        for c in apart:
+            del behind[c]
+        self._learn_marked(apart)
+        if behind:
+            pair = np.array([(self.at[w], self.at[c[len(w) :]]) for c, w in behind.items()])
+            ids, counts = self._gather(pair.ravel())
+            self._store(list(behind), ids, counts.reshape(-1, 2).sum(axis=1))
+
+    def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of known chunks, one after the other, and how many each has."""
+        starts, counts = np.frombuffer(self.starts, np.int64)[at], np.frombuffer(self.counts, np.int64)[at]
+        ends = np.cumsum(counts)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.ids[np.repeat(starts - (ends - counts), counts) + np.arange(total)], counts
+
+    def _learn_words(self, words: list[str]) -> list[str]:
+        """Learn words of letters; returns those of lines in which words and word ends don't agree."""
+        odd = []
+        lines = [words[i : i + 256] for i in range(0, len(words), 256)]
+        for line, x in zip(lines, self.tokenizer.encode_batch_fast([" ".join(n) for n in lines], add_special_tokens=False), strict=True):
+            ids = np.array(x.ids, np.int32)
+            ends = np.flatnonzero(self.ends[ids])
+            if len(ends) == len(line):
+                self._store(line, ids, np.diff(ends, prepend=-1), single=True)
+            else:
+                odd += line
+        return odd
+
+    def _learn_marked(self, chunks: list[str]) -> None:
         plain, odd = [c for c in chunks if _MARK not in c], [c for c in chunks if _MARK in c]
         # a mark before each chunk, so that chunks can be told apart in the ids of a whole line
         lines = [f"{_MARK} " + f" {_MARK} ".join(plain[i : i + 256]) for i in range(0, len(plain), 256)]
@@ -118,13 +171,14 @@ class ChunkEncoder:
         marks = np.flatnonzero(flat == self.mark)
         self._store(plain, flat[flat != self.mark], np.diff(np.append(marks, len(flat))) - 1)
         for c in odd:
-            own = np.array(self.tokenizer.encode(c, add_special_tokens=False).ids, np.int32)
+            own = np.array(self._whole(c), np.int32)
             self._store([c], own, np.array([len(own)]))
 
-    def _store(self, chunks: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+    def _store(self, chunks: list[str], ids: np.ndarray, counts: np.ndarray, *, single: bool = False) -> None:
+        self.single.extend(bytes([single]) * len(chunks))
         self.at.update(zip(chunks, range(self.known, self.known + len(chunks)), strict=True))
-        self.starts = np.concatenate([self.starts, self.used + np.cumsum(counts) - counts])
-        self.counts = np.concatenate([self.counts, counts])
+        self.starts.frombytes((self.used + np.cumsum(counts) - counts).astype(np.int64).tobytes())
+        self.counts.frombytes(counts.astype(np.int64).tobytes())
         if self.used + len(ids) > len(self.ids):
             self.ids = np.resize(self.ids, 2 * (self.used + len(ids)))
         self.ids[self.used : self.used + len(ids)] = ids
@@ -132,6 +186,8 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and how many each text has."""
+        if self.plain_case:  # fewer distinct chunks, the same ids
+            texts = [low if t.isascii() and not any(s in (low := t.lower()) for s in self.special) else t for t in texts]
         split = [_BLANK.split(t.strip(" \t\n\r\x0b\x0c")) if _SEPARATORS.search(t) else t.split() for t in texts]
         flat = [c for chunks in split for c in chunks]
         new = [c for c in dict.fromkeys(flat) if c not in self.at]
@@ -141,11 +197,8 @@ class ChunkEncoder:
         if new:
             self._learn(new)
         at = np.fromiter(map(self.at.__getitem__, flat), np.int64, len(flat))
-        counts = self.counts[at]
-        ends = np.cumsum(counts)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.ids[np.repeat(self.starts[at] - (ends - counts), counts) + np.arange(total)]
-        upto = np.concatenate([[0], ends])
+        ids, counts = self._gather(at)
+        upto = np.concatenate([[0], np.cumsum(counts)])
         bounds = np.cumsum([0, *map(len, split)])
         for c in new:
             if len(c) > MEMO_CHARS:  # long chunks hardly recur; their ids go at the next _forget
@@ -158,7 +211,12 @@ def _encoder(path: str) -> ChunkEncoder:
     return ChunkEncoder(path)
 
 
-def pack_tokens(df: DataFrame, *, tokenizer: str, capacity: int = 4096, end_id: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
+Finish = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def pack_tokens(
+    df: DataFrame, *, tokenizer: str, capacity: int = 4096, end_id: int = 2, key: str = "doc_id", text: str = "text", finish: tuple[Finish, str] | None = None
+) -> DataFrame:
     """Tokenize every text and pack it into sequences of at most capacity tokens.
 
     Returns a row per piece: key, start (the document's ids before it, long), length (long), ids
@@ -169,7 +227,8 @@ def pack_tokens(df: DataFrame, *, tokenizer: str, capacity: int = 4096, end_id:
     n ids has n // capacity full windows and one piece for the rest, if any. Rows that repeat are
     packed each. A null key stays null. Other columns are left out. An empty table gives no row.
     Each task packs its own rows in runs of RUN_PIECES pieces; a run leaves at most a few windows
-    open, so small partitions pad more.
+    open, so small partitions pad more. finish, with its schema, is a function over the result's
+    Arrow batches that runs in the same task, before Spark gets them.
     """
     key_field = T.StructField(key, df.schema[key].dataType)
     schema = T.StructType([key_field, *(T.StructField(n, T.LongType()) for n in ("start", "length")), T.StructField("ids", T.ArrayType(T.IntegerType())), *(T.StructField(n, T.LongType()) for n in ("doc_tokens", "sequence_id", "offset"))])
@@ -209,7 +268,11 @@ def pack_tokens(df: DataFrame, *, tokenizer: str, capacity: int = 4096, end_id:
         if held:
             yield from close()
 
-    return df.select(F.col(key).alias("__pk_key"), F.col(text).alias("__pk_text")).mapInArrow(pack, schema)
+    rows = df.select(F.col(key).alias("__pk_key"), F.col(text).alias("__pk_text"))
+    if finish is None:
+        return rows.mapInArrow(pack, schema)
+    then, finished = finish
+    return rows.mapInArrow(lambda batches: then(pack(batches)), finished)
 
 
 def _cuts(texts: list[str], chars: int = 1 << 21) -> Iterator[slice]:
@@ -224,19 +287,13 @@ def _cuts(texts: list[str], chars: int = 1 << 21) -> Iterator[slice]:
         yield slice(start, len(texts))
 
 
-def with_id_checksum(pieces: DataFrame) -> DataFrame:
+def id_checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Replace ids by ids_crc32: unsigned CRC-32 of the ids as little-endian 32-bit words."""
-    schema = T.StructType([T.StructField("ids_crc32", T.LongType()) if f.name == "ids" else f for f in pieces.schema])
-
-    def checksum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch["ids"]
-            flat, at = lists.values.to_numpy(zero_copy_only=False).astype("<u4"), lists.offsets.to_numpy()
-            crcs = pa.array([zlib.crc32(flat[a:b]) for a, b in zip(at, at[1:], strict=False)], pa.int64())
-            k = batch.schema.get_field_index("ids")
-            yield batch.set_column(k, "ids_crc32", crcs)
-
-    return pieces.mapInArrow(checksum, schema)
+    for batch in batches:
+        lists = batch["ids"]
+        flat, at = lists.values.to_numpy(zero_copy_only=False).astype("<u4"), lists.offsets.to_numpy()
+        crcs = pa.array([zlib.crc32(flat[a:b]) for a, b in zip(at, at[1:], strict=False)], pa.int64())
+        yield batch.set_column(batch.schema.get_field_index("ids"), "ids_crc32", crcs)
 
 
 def op9_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
@@ -245,4 +302,5 @@ def op9_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None)
 
         tokenizer = public_tokenizers.path("word_bpe_49k.json")
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return with_id_checksum(pack_tokens(docs, tokenizer=tokenizer)).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    finish = (id_checksums, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return pack_tokens(docs, tokenizer=tokenizer, finish=finish)

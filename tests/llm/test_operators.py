@@ -353,4 +353,6 @@ def test_packed_ids_are_the_tokenizers(awkward, corpus, documents):
 def test_packing_checksum(corpus):
     pieces = packing.pack_tokens(corpus, tokenizer=BPE)
     ids = {(r.doc_id, r.start): zlib.crc32(np.array(r.ids, "<u4").tobytes()) for r in pieces.collect()}
-    assert {(r.doc_id, r.start): r.ids_crc32 for r in packing.with_id_checksum(pieces).collect()} == ids
+    finish = (packing.id_checksums, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    rows = packing.pack_tokens(corpus, tokenizer=BPE, finish=finish).collect()
+    assert {(r.doc_id, r.start): r.ids_crc32 for r in rows} == ids and sum(r.length for r in rows) == sum(p.length for p in pieces.collect())
