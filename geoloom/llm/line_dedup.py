@@ -11,7 +11,7 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WHITE, read_table
+from .common import WHITE, read_table, written
 
 _TH, _POS, _H1, _H2 = "__ld_text_hash", "__ld_pos", "__ld_h1", "__ld_h2"
 
@@ -47,6 +47,7 @@ def drop_shared_lines(df: DataFrame, *, text: str = "text", key: str = "doc_id",
     order = F.struct(F.col("__ld_doc").isNull().alias("last"), F.col("__ld_doc").alias("doc"))
     documents = lines.groupBy(_H1, _H2, "__ld_doc").agg(F.lit(1).alias("__ld_one"))
     owners = documents.groupBy(_H1, _H2).agg(F.count(F.lit(1)).alias("__ld_n"), F.min(order).alias("__ld_first")).filter(F.col("__ld_n") >= min_documents)
+    owners = written(owners, "line-owners")  # a join of two plain exchanges is one that Spark can split by size
     # 64 lines to a word of bits: an exact, small form of the positions that go, looked up in O(1)
     words = (
         lines.join(owners, [_H1, _H2])
