@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,14 +68,21 @@ def shuffle_to_shards(df: DataFrame, *, shards: int, key: str = "doc_id", text:
 
 
 def _deal(shuffled: DataFrame, shards: int) -> DataFrame:
-    """Shards and slots of written buckets. Only counts per bucket are brought together."""
-    counts = [tuple(r) for r in shuffled.groupBy(_BUCKET, _PART).count().orderBy(_BUCKET, _PART).toLocalIterator()]
-    ends = np.cumsum([c[2] for c in counts], dtype=np.int64)
-    rows = int(ends[-1]) if counts else 0
-    starts = [(b, p, int(e) - n) for (b, p, n), e in zip(counts, ends, strict=True)]
-    offsets = shuffled.sparkSession.createDataFrame(starts, f"{_BUCKET} long, {_PART} long, __sh_start long")
+    """Shards and slots of written buckets, from the running sum of their row counts.
+
+    The sum is taken over runs of 1024 buckets and then within each run, so that no task holds the
+    counts of all buckets.
+    """
+    counts = shuffled.groupBy(_BUCKET, _PART).count().withColumn("__sh_run", F.expr(f"{_BUCKET} div 1024"))
+    counts = written(counts, "shuffled-counts")
+    buckets, rows = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("count"), F.lit(0))).first()
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    runs = counts.groupBy("__sh_run").agg(F.sum("count").alias("n"))
+    runs = runs.select("__sh_run", F.coalesce(F.sum("n").over(before(Window.orderBy("__sh_run"))), F.lit(0)).alias("__sh_base"))
+    within = F.coalesce(F.sum("count").over(before(Window.partitionBy("__sh_run").orderBy(_BUCKET, _PART))), F.lit(0))
+    offsets = counts.withColumn("__sh_within", within).join(runs, "__sh_run").select(_BUCKET, _PART, (F.col("__sh_base") + F.col("__sh_within")).alias("__sh_start"))
     place = F.col("__sh_start") + F.col(_POS)
-    dealt = shuffled.join(_spread(offsets, len(starts)), [_BUCKET, _PART]).withColumn("shard", F.expr(f"cast((__sh_start + {_POS}) * {shards} div {max(rows, 1)} as int)"))
+    dealt = shuffled.join(_spread(offsets, buckets), [_BUCKET, _PART]).withColumn("shard", F.expr(f"cast((__sh_start + {_POS}) * {shards} div {max(rows, 1)} as int)"))
     first = F.expr(f"(cast(shard as long) * {rows} + {shards - 1}) div {shards}")  # ceil(shard * rows / shards)
     return dealt.withColumn("slot", (place - first).cast("long")).drop(_BUCKET, _PART, _POS, "__sh_start")
 
