@@ -29,6 +29,7 @@ def exact_duplicates(df: DataFrame, *, text: str = "text", key: str = "doc_id",
     # Both counts combine within each task before the shuffle, so a length or prefix that a third
     # of all rows share sends one row per task.
     heads = slim.groupBy(_LEN, _HEAD).agg(F.count(F.lit(1)).alias("__xd_n")).filter("__xd_n > 1").select(_LEN, _HEAD, F.lit(True).alias("__xd_open"))
+    heads = written(heads, "exact-heads")  # a join of two plain exchanges is one that Spark can split by size
     rows = df.select(F.col(key).alias(key), *(F.col(c) for c in carry), value.alias("__xd_text"), F.octet_length(value).alias(_LEN), F.xxhash64(F.substring(value, 1, prefix_chars)).alias(_HEAD))
     # Only survivors of the first two rounds reach sha2. The left side is streamed, never sorted.
     refined = rows.join(heads.hint("shuffle_hash"), [_LEN, _HEAD], "left").select(
@@ -37,7 +38,7 @@ def exact_duplicates(df: DataFrame, *, text: str = "text", key: str = "doc_id",
     refined = written(refined, "exact-dedup")
     last: Column = F.struct(F.col(key).alias("key"), F.col(_ROW).alias("row"))
     groups = refined.filter(F.col(_FULL).isNotNull()).groupBy(_LEN, _FULL).agg(F.max(last).alias("__xd_last"), F.count(F.lit(1)).alias("__xd_size")).filter("__xd_size > 1")
-    joined = refined.join(groups, [_LEN, _FULL], "left")
+    joined = refined.join(written(groups, "exact-groups"), [_LEN, _FULL], "left")
     grouped = F.col("__xd_size").isNotNull()
     return joined.select(
         key,
