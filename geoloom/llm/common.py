@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 #: The ASCII white space that separates words: space and \x09 to \x0D.
@@ -44,7 +45,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of written() that nothing reads any more, where Arrow knows their file system;
+    elsewhere they stay until the session's owner clears the shared folder."""
+    for table in tables:
+        try:
+            fs, inner = pafs.FileSystem.from_uri(table.written_to)
+        except pa.ArrowInvalid:
+            continue
+        fs.delete_dir(inner)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

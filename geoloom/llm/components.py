@@ -5,23 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 
 def _star(edges: DataFrame, *, large: bool) -> DataFrame:
-    """One step over edges (u, v). Nodes of any degree: minima combine before their shuffle, and
-    the join back to the edges is one that Spark can split where a node has very many."""
+    """One step over edges (u, v). Nodes of any degree: minima combine before their shuffle and are
+    written, so that the join back to the edges has two plain exchanges and Spark can split a node
+    that has very many."""
     if large:
         edges = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         edges = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    least = written(edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
     rows = edges.join(least, "u")
     if large:
         out = rows.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         out = rows.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-    return out.filter("u <> v").distinct()
+    out = written(out.filter("u <> v").distinct(), "edges")
+    discard(least)
+    return out
 
 
 def connected_components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -33,7 +36,9 @@ def connected_components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     edges = written(links.select(F.col("a").alias("u"), F.col("b").alias("v")).filter("u <> v").distinct(), "edges")
     state = None
     for _ in range(most_rounds):
-        edges = written(_star(_star(edges, large=True), large=False), "edges")
+        before, middle = edges, _star(edges, large=True)
+        edges = _star(middle, large=False)
+        discard(before, middle)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break

@@ -1,13 +1,12 @@
-"""N-gram Jaccard join: prefix trees over globally ordered n-gram sets.
+"""N-gram Jaccard join by prefix trees over globally ordered n-gram sets.
 
-The global order of n-grams is the order of their hashes. It is cut at fixed values into segments,
-and a set is the word of its segments. Two sets over the threshold differ in at most H n-grams, so
-of more than H segments at least one is the same in both. Documents meet by such segments; each
-meeting place is then joined by a prefix tree whose edges are segments: node pairs carry the overlap
-of their paths, computed once for all sets below, and a pair is dropped as soon as what remains
-below both nodes can't reach the threshold.
+The global order puts rare n-grams first: by a class of the documents that hold any n-gram of the
+same bucket, counted over the whole table, then by hash. Two sets over the threshold share an n-gram
+of their beginnings in that order, so documents meet by those. A tree over the beginnings of all
+that meet in a place, traversed with partial overlaps and bounds on what remains, leaves groups that
+may be linked; a tree over the whole sets of such a group decides which are.
 
-Equal sets are one node of the graph throughout, named by a 64-bit digest of the set.
+Equal sets are one node of the graph throughout, told apart by a 128-bit digest of the set.
 """
 
 from __future__ import annotations
@@ -19,224 +18,189 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import binary_texts, read_table, sorted_groups, written
+from .common import binary_texts, discard, read_table, sorted_groups, written
 from .components import connected_components
-from .shingles import digest, mix, shingle_sets
+from .prefix_tree import CLASS_BITS, CLASS_SHIFT, PrefixTree, beginning, frequency_classes, prefix_lengths, ranked
+from .shingles import digest, shingle_sets
 
-#: Sets, and n-grams, of one block of a meeting place: 16 MB.
+#: Sets, and n-grams, of one tree: 16 MB.
 BLOCK_SETS, BLOCK_GRAMS = 1024, 2_000_000
-#: Segments of a set that are indexed. Up to here every segment is, and a link can't be missed.
-#: Beyond, at least 0.36 of a linked pair's segments are equal and filled, so that the chance of
-#: none among the indexed is below 0.64**96 < 2**-61, about that of two n-grams sharing a hash.
-INDEXED = 96
-
-
-class Segments:
-    """How sets of each size are cut, for links of Jaccard similarity num / den or more."""
-
-    def __init__(self, num: int, den: int) -> None:
-        self.num, self.den = num, den
-        self.tops = [1]  # the largest size of each class; classes grow by a half
-        while self.tops[-1] < 1 << 40:
-            self.tops.append(max(self.tops[-1] + 1, self.tops[-1] * 3 // 2))
-
-    def zones(self, size: int) -> list[int]:
-        """Classes in which a partner of at least this size may lie; the larger set names the class."""
-        own = int(np.searchsorted(self.tops, size))
-        above = (z for z in range(own + 1, len(self.tops)) if (self.tops[z - 1] + 1) * self.num <= size * self.den)
-        return [own, *above]
-
-    def cut(self, zone: int) -> tuple[int, int]:
-        """(most n-grams in which a linked pair of this class differs, segments)."""
-        differ = (self.den - self.num) * 2 * self.tops[zone] // (self.den + self.num)
-        least = max(1, self.tops[zone - 1] * self.num // self.den if zone else 1)
-        slack = 1 + int(2 * (differ + 1) * np.exp(-least / (differ + 1)))
-        return differ, differ + 1 + slack
-
-    def signatures(self, grams: np.ndarray) -> np.ndarray:
-        """Names of a set's segments, as signed 64-bit words."""
-        out, mixed = [], None
-        for zone in self.zones(len(grams)) if len(grams) else []:
-            differ, parts = self.cut(zone)
-            if not differ:
-                continue  # only equal sets could link
-            if mixed is None:
-                mixed = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(grams ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64)])
-            edges = np.searchsorted((grams >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32), np.arange(parts + 1, dtype=np.uint64))
-            names = mix(mix(mixed[edges[1:]] - mixed[edges[:-1]]) + np.uint64(zone << 40) + np.arange(parts, dtype=np.uint64))
-            filled = edges[1:] > edges[:-1]
-            # differ segments may be spoilt and as many as the slack be empty in both: one is left.
-            # A set with more empty ones meets its like by those too.
-            if parts > INDEXED or (parts - np.count_nonzero(filled)) < parts - differ:
-                names = names[:INDEXED][filled[:INDEXED]]
-            out.append(names)
-        return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
-
-
-class PrefixTree:
-    """Sets of one block as words of segments, one array of nodes per level."""
-
-    def __init__(self, sets: list[np.ndarray]) -> None:
-        self.sizes = np.array([len(s) for s in sets])
-        levels = int(np.clip(len(sets), 1, 64))
-        edges = np.stack([np.searchsorted((s >> np.uint64(32)) * np.uint64(levels) >> np.uint64(32), np.arange(levels + 1, dtype=np.uint64)) for s in sets])
-        node = np.zeros(len(sets), np.int64)
-        self.levels = []
-        for k in range(levels):
-            names: dict[bytes, int] = {}
-            segment = np.array([names.setdefault(s[a:b].tobytes(), len(names)) for s, a, b in zip(sets, edges[:, k], edges[:, k + 1], strict=True)])
-            first = np.unique(segment, return_index=True)[1]
-            segments = [sets[i][edges[i, k] : edges[i, k + 1]] for i in first]
-            keys, child = np.unique(node * len(names) + segment, return_inverse=True)
-            left = self.sizes - edges[:, k + 1]
-            most_left, least_size = np.zeros(len(keys), np.int64), np.full(len(keys), np.iinfo(np.int64).max)
-            np.maximum.at(most_left, child, left)
-            np.minimum.at(least_size, child, self.sizes)
-            self.levels.append((keys // len(names), keys % len(names), segments, most_left, least_size))
-            node = child
-        self.leaf_set = np.zeros(int(node.max()) + 1, np.int64)
-        self.leaf_set[node] = np.arange(len(sets))
-
-    @staticmethod
-    def _overlaps(segments: list[np.ndarray]) -> np.ndarray:
-        """N-grams that each two distinct segments of a level share."""
-        owner = np.repeat(np.arange(len(segments)), [len(s) for s in segments])
-        _, gram, count = np.unique(np.concatenate(segments), return_inverse=True, return_counts=True)
-        shared = count[gram] > 1
-        column = np.unique(gram[shared], return_inverse=True)[1]
-        holds = np.zeros((len(segments), int(column.max()) + 1 if len(column) else 1), np.float32)
-        holds[owner[shared], column] = 1
-        overlap = (holds @ holds.T).astype(np.int64)
-        np.fill_diagonal(overlap, [len(s) for s in segments])
-        return overlap
-
-    def links(self, num: int, den: int) -> Iterator[tuple[int, int]]:
-        """Pairs of sets with intersection / union of num / den or more, level by level."""
-        a, b, have = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(1, np.int64)
-        for parent, segment, segments, most_left, least_size in self.levels:
-            overlap = self._overlaps(segments)
-            begin = np.searchsorted(parent, np.arange(int(parent[-1]) + 2))
-            n_a, n_b = (begin[a + 1] - begin[a]), (begin[b + 1] - begin[b])
-            pair = np.repeat(np.arange(len(a)), n_a * n_b)
-            at = np.arange(len(pair)) - np.repeat(np.cumsum(n_a * n_b) - n_a * n_b, n_a * n_b)
-            x, y = begin[a[pair]] + at // n_b[pair], begin[b[pair]] + at % n_b[pair]
-            once = x <= y  # a node with itself gives each pair of its children twice
-            x, y, pair = x[once], y[once], pair[once]
-            reached = have[pair] + overlap[segment[x], segment[y]]
-            may = (num + den) * (reached + np.minimum(most_left[x], most_left[y])) >= num * (least_size[x] + least_size[y])
-            a, b, have = x[may], y[may], reached[may]
-        for x, y, n in zip(self.leaf_set[a].tolist(), self.leaf_set[b].tolist(), have.tolist(), strict=True):
-            if x != y and den * n >= num * (int(self.sizes[x]) + int(self.sizes[y]) - n):
-                yield x, y
-
-
-def forest(n: int, pairs: Iterator[tuple[int, int]]) -> list[tuple[int, int]]:
-    """The edges (member, root) that join the same members as pairs do."""
-    root = list(range(n))
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = i = root[root[i]]
-        return i
-
-    for x, y in pairs:
-        x, y = find(x), find(y)
-        root[max(x, y)] = min(x, y)
-    return [(i, find(i)) for i in range(n) if find(i) != i]
-
-
-def set_digests(df: DataFrame, *, words: int, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """key, n_shingles (long) and node (long; null for a set without n-grams) of every row."""
+#: Sets that a task remembers to pass over their copies.
+REMEMBERED = 1 << 20
+
+
+class _Seen:
+    """Copies within a task say nothing new; what is remembered of them is bounded."""
+
+    def __init__(self) -> None:
+        self.names: set[tuple[int, int]] = set()
+
+    def __call__(self, name: tuple[int, int]) -> bool:
+        if name in self.names:
+            return True
+        if len(self.names) >= REMEMBERED:
+            self.names.clear()
+        self.names.add(name)
+        return False
+
+
+def _scanned(df: DataFrame, *, words: int, text: str, key: str) -> DataFrame:
+    """One row per document (key, n, h1, h2, th), and rows (bucket, count) without the others: how
+    many sets of a task hold n-grams of a bucket."""
     key_type = df.schema[key].dataType.simpleString()
 
-    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, seen, names = np.zeros(1 << CLASS_BITS, np.int64), _Seen(), ["key", "n", "h1", "h2", "th", "bucket", "count"]
+        key_arrow = None
         for batch in batches:
-            sets = [(len(s), digest(s) if len(s) else None) for s in shingle_sets(*binary_texts(batch["__nj_text"]), words)]
-            yield pa.RecordBatch.from_arrays([batch["__nj_key"], pa.array([s[0] for s in sets], pa.int64()), pa.array([s[1] for s in sets], pa.int64())], names=["key", "n", "node"])
+            key_arrow = batch["__nj_key"].type
+            n, h1, h2 = [], [], []
+            for grams in shingle_sets(*binary_texts(batch["__nj_text"]), words):
+                name = digest(grams) if len(grams) else (None, None)
+                n.append(len(grams)), h1.append(name[0]), h2.append(name[1])
+                if len(grams) and not seen(name):
+                    np.add.at(counts, (grams >> CLASS_SHIFT).view(np.int64), 1)
+            none = pa.nulls(batch.num_rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch["__nj_key"], *(pa.array(x, pa.int64()) for x in (n, h1, h2)), batch["__nj_th"], none, none], names=names)
+        used = np.flatnonzero(counts)
+        if len(used):
+            none = pa.nulls(len(used), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(used), key_arrow), none, none, none, none, pa.array(used), pa.array(counts[used])], names=names)
+
+    rows = df.select(F.col(key).alias("__nj_key"), F.col(text).alias("__nj_text"), F.xxhash64(text).alias("__nj_th"))
+    return rows.mapInArrow(scan, f"key {key_type}, n long, h1 long, h2 long, th long, bucket long, count long")
+
+
+def _classes(scanned: DataFrame) -> np.ndarray:
+    """Frequency classes of all buckets: at most 2**18 sums reach the driver, 256 KB the tasks."""
+    sums = scanned.filter("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("count").alias("count")).toArrow()
+    counts = np.zeros(1 << CLASS_BITS, np.int64)
+    counts[sums["bucket"].to_numpy()] = sums["count"].to_numpy()
+    return frequency_classes(counts)
+
+
+def _beginnings(df: DataFrame, class_of: np.ndarray, *, words: int, num: int, den: int, text: str) -> DataFrame:
+    """(h1, h2, n, grams) of every distinct set of a task: its first n-grams as 64-bit words."""
+
+    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = _Seen()
+        for batch in batches:
+            rows = []
+            for grams in shingle_sets(*binary_texts(batch["__nj_text"]), words):
+                if len(grams) and not seen(name := digest(grams)):
+                    rows.append((*name, len(grams), beginning(grams, prefix_lengths(len(grams), num, den)[0], class_of).tobytes()))
+            if rows:
+                h1, h2, n, first = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(n, pa.int64()), pa.array(first, pa.binary())], names=["h1", "h2", "n", "grams"])
+
+    return df.select(F.col(text).alias("__nj_text")).mapInArrow(begin, "h1 long, h2 long, n long, grams binary")
+
 
-    named = df.select(F.col(key).alias("__nj_key"), F.col(text).alias("__nj_text")).mapInArrow(name, f"key {key_type}, n long, node long")
-    return named.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), "node")
+def _words(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.uint64) for x in column.to_pylist()]
 
 
-def _meetings(df: DataFrame, *, words: int, num: int, den: int, text: str) -> DataFrame:
-    """(node, place): nodes that share a segment share a place; each at most once."""
+def _meetings(beginnings: DataFrame, *, num: int, den: int) -> DataFrame:
+    """(h1, n, place): sets whose beginnings share an n-gram share a place; each at most once."""
 
-    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segments, seen = Segments(num, den), set()
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, names = [], []
-            for grams in shingle_sets(*binary_texts(batch["__nj_text"]), words):
-                node = digest(grams)
-                if node in seen:
-                    continue  # copies within a task say nothing new
-                if len(seen) >= 1 << 20:
-                    seen.clear()
-                seen.add(node)
-                names.append(segments.signatures(grams))
-                nodes.append((node, len(names[-1])))
-                if len(nodes) >= 2048:
-                    yield _rows(nodes, names)
-                    nodes, names = [], []
-            if nodes:
-                yield _rows(nodes, names)
-
-    def _rows(nodes: list, names: list) -> pa.RecordBatch:
-        return pa.record_batch({"sig": pa.array(np.concatenate(names)), "node": pa.array(np.repeat([n for n, _ in nodes], [k for _, k in nodes]).astype(np.int64))})
+            grams, sizes = _words(batch["grams"]), batch["n"].to_numpy()
+            counts = [len(g) for g in grams]
+            # the last bit tells n-grams by which a set is only sought from those by which it is found
+            sought = [np.arange(len(g)) >= prefix_lengths(int(n), num, den)[1] for g, n in zip(grams, sizes, strict=True)]
+            size = np.repeat(sizes, counts) * 2 + np.concatenate(sought)
+            yield pa.record_batch({"gram": pa.array(np.concatenate(grams).view(np.int64)), "size": pa.array(size), "h1": pa.array(np.repeat(batch["h1"].to_numpy(), counts))})
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Within sorted rows: the first node of a segment names the place. The first and the last
-        segment of a task may go on in another, so there the segment itself is the place."""
+        """Within sorted rows: the first set that holds an n-gram names the place. Sets of one
+        n-gram are cut where sizes are too far apart for a link. The first and the last n-gram of a
+        task may go on in another, so there the n-gram itself is the place."""
         first = last = None
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def shared(sig: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            begins = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
-            size = np.diff(np.append(begins, len(sig)))
-            place = np.repeat(node[begins], size)
-            edge = (sig == first) | (sig == last)
-            keep = (np.repeat(size, size) > 1) | edge
-            return node[keep], np.where(edge, sig, place)[keep]
+        held: tuple[np.ndarray, ...] | None = None
+
+        def shared(gram: np.ndarray, size: np.ndarray, h1: np.ndarray) -> pa.RecordBatch:
+            n = size >> 1
+            edge = (gram == first) | (gram == last)
+            fresh = (gram[1:] != gram[:-1]) | (~edge[1:] & (n[:-1] * den < n[1:] * num))
+            begins = np.flatnonzero(np.concatenate([[True], fresh]))
+            length = np.diff(np.append(begins, len(gram)))
+            some = np.logical_or.reduceat((size & 1) == 0, begins) & (length > 1)
+            keep = np.repeat(some, length) | edge
+            place = np.where(edge, gram, np.repeat(h1[begins], length))[keep]
+            return pa.RecordBatch.from_arrays([pa.array(h1[keep]), pa.array(n[keep]), pa.array(place)], names=["h1", "n", "place"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sig, node = batch["sig"].to_numpy(), batch["node"].to_numpy()
-            first = sig[0] if first is None else first
+            rows = tuple(batch[c].to_numpy() for c in ("gram", "size", "h1"))
+            first = rows[0][0] if first is None else first
             if held:
-                sig, node = np.concatenate([held[0][0], sig]), np.concatenate([held[0][1], node])
-            cut = int(np.searchsorted(sig, sig[-1]))
+                rows = tuple(np.concatenate(x) for x in zip(held, rows, strict=True))
+            cut = int(np.searchsorted(rows[0], rows[0][-1]))
             if cut:
-                yield pa.RecordBatch.from_arrays(list(map(pa.array, shared(sig[:cut], node[:cut]))), names=["node", "place"])
-            held = [(sig[cut:], node[cut:])]
-            if len(sig) - cut > 1 << 18:  # a segment of very many sets: its rows leave at once, under its own name
-                last = sig[-1]
-                yield pa.RecordBatch.from_arrays(list(map(pa.array, shared(*held[0]))), names=["node", "place"])
-                held = []
+                yield shared(*(x[:cut] for x in rows))
+            held = tuple(x[cut:] for x in rows)
+            if len(held[0]) > 1 << 18:  # an n-gram of very many sets: its rows leave at once, under its own name
+                last = held[0][0]
+                yield shared(*held)
+                held = None
         if held:
-            last = held[0][0][-1]
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, shared(*held[0]))), names=["node", "place"])
-
-    rows = df.select(F.col(text).alias("__nj_text")).mapInArrow(index, "sig long, node long")
-    # range partitions by both columns: a segment that very many sets share is split over tasks
-    dealt = rows.repartitionByRange("sig", "node").sortWithinPartitions("sig", "node")
-    return dealt.mapInArrow(meet, "node long, place long").distinct()
-
-
-def _joined(blocks: DataFrame, *, words: int, num: int, den: int) -> DataFrame:
-    """Links (a, b) of a forest, from rows (place, block, node, text)."""
+            last = held[0][0]
+            yield shared(*held)
+
+    rows = beginnings.mapInArrow(spread, "gram long, size long, h1 long")
+    # range partitions by all columns: an n-gram that very many sets hold is split over tasks
+    dealt = rows.repartitionByRange("gram", "size", "h1").sortWithinPartitions("gram", "size", "h1")
+    return dealt.mapInArrow(meet, "h1 long, n long, place long").distinct()
+
+
+def _grouped(rows: DataFrame, class_of: np.ndarray, *, num: int, den: int) -> DataFrame:
+    """(h1, place): what a tree over the beginnings of a place's sets leaves, a place per group."""
+
+    def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in sorted_groups(batches, ["place"]):
+            place, h1, h2, n = (table[c].to_numpy() for c in ("place", "h1", "h2", "n"))
+            begins = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+            names, groups = [], []
+            for a, b in zip(begins, [*begins[1:], len(place)], strict=True):
+                once = list({(x, y): i for i, (x, y) in enumerate(zip(h1[a:b].tolist(), h2[a:b].tolist(), strict=True))}.values())
+                if len(once) < 2:
+                    continue
+                sets = _words(table["grams"].slice(a, b - a).take(pa.array(once)))
+                label = PrefixTree(ranked(sets, class_of), n[a:b][once]).groups(num, den)
+                label = np.unique(label, return_inverse=True)[1]
+                name, size = h1[a:b][once], np.bincount(label)
+                least = np.full(len(size), np.iinfo(np.int64).max)
+                np.minimum.at(least, label, name)
+                keep = size[label] > 1
+                names.append(name[keep]), groups.append(least[label][keep])
+            if names:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(names)), pa.array(np.concatenate(groups))], names=["h1", "place"])
+
+    return rows.repartition("place").sortWithinPartitions("place").mapInArrow(prune, "h1 long, place long")
+
+
+def _linked(blocks: DataFrame, class_of: np.ndarray, *, words: int, num: int, den: int) -> DataFrame:
+    """Links (a, b) of a forest, from rows (place, block, node, label, h1, h2, text)."""
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in sorted_groups(batches, ["place", "block"]):
-            place, block, node = (table[c].to_numpy() for c in ("place", "block", "node"))
+            place, block, node, label, h1, h2 = (table[c].to_numpy() for c in ("place", "block", "node", "label", "h1", "h2"))
             begins = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (block[1:] != block[:-1])]))
             found: list[tuple[int, int]] = []
             for a, b in zip(begins, [*begins[1:], len(node)], strict=True):
-                sets = dict(zip(node[a:b].tolist(), shingle_sets(*binary_texts(table["text"].slice(a, b - a)), words), strict=True))
-                # rows that repeat a key under another text bring a set that isn't asked for
-                sets = {name: s for name, s in sets.items() if len(s) and digest(s) == name}
-                if len(sets) > 1:
-                    names = sorted(sets)
-                    found += [(names[i], names[j]) for i, j in forest(len(names), PrefixTree([sets[n] for n in names]).links(num, den))]
+                once: dict[int, tuple[int, np.ndarray]] = {}
+                for i, grams in enumerate(shingle_sets(*binary_texts(table["text"].slice(a, b - a)), words), a):
+                    # a text of the same key and hash that is not the node's own brings another set
+                    if len(grams) and digest(grams) == (h1[i], h2[i]):
+                        once[int(node[i])] = (int(label[i]), grams)
+                if len(once) > 1:
+                    names, (labels, sets) = np.array(list(once)), zip(*once.values(), strict=True)
+                    tree = PrefixTree(ranked(list(sets), class_of, frequent_first=True), np.array([len(s) for s in sets]))
+                    group = tree.groups(num, den, np.array(labels))
+                    least = {g: names[group == g].min() for g in np.unique(group)}
+                    found += [(int(x), int(least[g])) for x, g in zip(names, group, strict=True) if least[g] != x]
             if found:
                 yield pa.record_batch({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
@@ -251,47 +215,66 @@ def near_duplicate_components(df: DataFrame, *, words: int = 5, num: int = 4, de
 
     Words are split at ASCII white space, A-Z counts as a-z. A text with fewer words than an n-gram
     has its whole sequence as its one n-gram; a null or empty text, or one without words, has none
-    and is linked with nothing. Equal sets are linked. Rows that repeat are all returned. A null key
-    counts only if a component has no other. An empty table gives an empty result. Other columns are
-    left out.
+    and is linked with nothing. Equal sets are linked. Sets of any size are joined by all n-grams of
+    their beginnings, without a cap. Rows that repeat are all returned. A null key counts only if a
+    component has no other. An empty table gives an empty result. Other columns are left out.
     """
-    docs = written(set_digests(df, words=words, text=text, key=key), "shingle-digests")
-    nodes = docs.filter("node IS NOT NULL").groupBy("node").agg(F.min(key).alias("first"), F.max("n_shingles").alias("n"), F.count(F.lit(1)).alias("rows"))
-    nodes = written(nodes, "shingle-nodes")
-    meetings = written(_meetings(df, words=words, num=num, den=den, text=text), "meetings")
-    sized = meetings.join(nodes.select("node", "first", "n"), "node")
-    sized = written(sized, "meetings-sized")
-    places = sized.groupBy("place").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("grams")).filter("members > 1")
-    places = places.withColumn("blocks", F.greatest(F.ceil(F.col("members") / BLOCK_SETS), F.ceil(F.col("grams") / BLOCK_GRAMS)))
-    places = written(places.select("place", "blocks"), "meeting-places")
-    members = written(sized.join(places, "place").select("place", "blocks", "node", "first"), "meeting-members")
-    texts = df.select(F.col(key).alias("__nj_first"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-
-    def with_texts(rows: DataFrame) -> DataFrame:
+    scanned = written(_scanned(df, words=words, text=text, key=key), "shingle-scan")
+    docs = scanned.filter("bucket IS NULL").drop("bucket", "count")
+    nodes = docs.filter("h1 IS NOT NULL").groupBy("h1", "h2").agg(F.min(F.struct(F.col("key").isNull().alias("last"), "key", "th")).alias("first"), F.max("n").alias("n"), F.count(F.lit(1)).alias("rows"))
+    nodes = written(nodes.select(F.monotonically_increasing_id().alias("node"), "h1", "h2", F.col("first.key").alias("first"), F.col("first.th").alias("th"), "n", "rows"), "shingle-nodes")
+    class_of = _classes(scanned)
+    beginnings = written(_beginnings(df, class_of, words=words, num=num, den=den, text=text), "set-beginnings")
+    meetings = written(_meetings(beginnings, num=num, den=den), "meetings")
+    places = meetings.groupBy("place").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("grams")).filter("members > 1")
+    places = written(places.select("place", F.expr(f"members > {BLOCK_SETS} OR grams > {BLOCK_GRAMS}").alias("large")), "meeting-places")
+    met = written(meetings.join(places, "place"), "meetings-shared")
+    small = beginnings.join(met.filter("NOT large").select("h1", "place").hint("shuffle_hash"), "h1")
+    groups = _grouped(small, class_of, num=num, den=den).unionByName(_banded(met.filter("large"), num, den))
+    groups = written(groups.distinct(), "set-groups")
+    discard(meetings, beginnings, places, met)
+    members = written(groups.join(nodes, "h1").select("place", "node", "n"), "group-nodes")
+    sizes = members.groupBy("place").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("grams")).filter("members > 1")
+    sizes = sizes.withColumn("blocks", F.greatest(F.ceil(F.col("members") / BLOCK_SETS), F.ceil(F.col("grams") / BLOCK_GRAMS)))
+    members = written(members.join(written(sizes.select("place", "blocks"), "group-sizes"), "place"), "group-members")
+    texts = df.select(F.col(key).alias("__nj_key"), F.xxhash64(text).alias("__nj_th"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+
+    def linked(rows: DataFrame) -> DataFrame:
+        """Links within blocks (place, block, node, label)."""
+        rows = rows.join(nodes.select("node", "h1", "h2", "first", "th"), "node")
         # the small side is hashed at every size; a broadcast would depend on it
-        rows = texts.join(rows.hint("shuffle_hash"), F.col("first").eqNullSafe(F.col("__nj_first")))
-        return rows.select("place", "block", "node", "text")
+        rows = texts.join(rows.hint("shuffle_hash"), (F.col("th") == F.col("__nj_th")) & F.col("first").eqNullSafe(F.col("__nj_key")))
+        return _linked(rows.select("place", "block", "node", "label", "h1", "h2", "text"), class_of, words=words, num=num, den=den)
 
-    def shuffled(seed: int) -> DataFrame:
-        return F.pmod(F.xxhash64(F.lit(seed), "node"), F.col("blocks"))
-
-    links = written(_joined(with_texts(members.withColumn("block", shuffled(1))), words=words, num=num, den=den), "links")
+    links = written(linked(members.select("place", _dealt(1).alias("block"), "node", F.col("node").alias("label"))), "links")
     large = members.filter("blocks > 1")
     if not large.isEmpty():
-        links = _between_blocks(large, links, with_texts, shuffled, words=words, num=num, den=den)
+        links = _between_blocks(large, links, linked)
     labels = connected_components(links)
-    return _labelled(docs, nodes, labels, key)
+    found = _labelled(docs, nodes, labels, key)
+    discard(groups, members, links)
+    return found
+
+
+def _banded(large: DataFrame, num: int, den: int) -> DataFrame:
+    """(h1, place) with a large place's sets dealt by size: linked sizes are in one band or in two
+    bands side by side, so each set goes to its own band and to the next."""
+    band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(max(den / num, 1.0) + 1e-9))).cast("long")
+    return large.select("h1", "place", F.explode(F.array(band, band + 1)).alias("band")).select("h1", F.xxhash64("place", "band").alias("place"))
+
+
+def _dealt(seed: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(seed), "node"), F.col("blocks"))
 
 
-def _between_blocks(large: DataFrame, links: DataFrame, with_texts: Callable[[DataFrame], DataFrame], shuffled: Callable[[int], Column], *, words: int, num: int, den: int) -> DataFrame:
-    """Links between the blocks of large meeting places.
+def _between_blocks(large: DataFrame, links: DataFrame, linked: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Links between the blocks of large groups.
 
-    Another random deal into blocks joins most of what belongs together. Members of a place outside
+    Another random deal into blocks joins most of what belongs together. Members of a group outside
     its largest component are then held against all of its members, block by block, so no pair of
     different components is left out.
     """
-    links = links.unionByName(_joined(with_texts(large.withColumn("block", shuffled(2))), words=words, num=num, den=den))
-    links = written(links, "links")
+    links = written(links.unionByName(linked(large.select("place", _dealt(2).alias("block"), "node", F.col("node").alias("label")))), "links")
     labels = connected_components(links)
     named = written(large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "large-members")
     sizes = named.groupBy("place", "label").agg(F.count(F.lit(1)).alias("size"))
@@ -301,20 +284,21 @@ def _between_blocks(large: DataFrame, links: DataFrame, with_texts: Callable[[Da
     if odd.isEmpty():
         return links
     rows = written(named.join(odd, "place"), "odd-members")
-    own_block, own_ask = shuffled(3), F.pmod(F.xxhash64(F.lit(4), "node"), F.col("asks"))
+    own_block, own_ask = _dealt(3), F.pmod(F.xxhash64(F.lit(4), "node"), F.col("asks"))
     against = rows.withColumn("ask", F.explode(F.sequence(F.lit(0).cast("long"), F.col("asks") - 1))).withColumn("block", own_block * F.col("asks") + F.col("ask"))
     asking = rows.filter("label <> main").withColumn("in", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).withColumn("block", F.col("in") * F.col("asks") + own_ask)
-    both = against.select("place", "block", "node", "first").unionByName(asking.select("place", "block", "node", "first")).distinct()
-    found = _joined(with_texts(both), words=words, num=num, den=den)
-    return written(links.unionByName(found), "links")
+    both = against.select("place", "block", "node", "label").unionByName(asking.select("place", "block", "node", "label")).distinct()
+    return written(links.unionByName(linked(both)), "links")
 
 
 def _labelled(docs: DataFrame, nodes: DataFrame, labels: DataFrame, key: str) -> DataFrame:
-    grouped = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    grouped = written(nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "labelled-nodes")
     reach = grouped.groupBy("label").agg(F.min("first").alias("component"), F.sum("rows").alias("size")).filter("size > 1")
+    # written, so that both sides are plain exchanges and a component of very many nodes can be split;
     # only what differs from the document's own key is joined back
-    known = written(grouped.join(reach, "label").select("node", "component"), "components")
-    return docs.join(known, "node", "left").select(key, "n_shingles", F.coalesce("component", key).alias("component_id"))
+    known = written(grouped.join(written(reach, "component-keys"), "label").select("h1", "h2", "component"), "components")
+    joined = docs.join(known, ["h1", "h2"], "left")
+    return joined.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "key").alias("component_id"))
 
 
 def keep_first_of_each(df: DataFrame, *, words: int = 5, num: int = 4, den: int = 5, text: str = "text", key: str = "doc_id") -> DataFrame:

@@ -7,11 +7,12 @@ the hashes is the global order of n-grams: the same everywhere and unrelated to
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 
-#: Bytes of text that are worked on at once.
-PIECE_BYTES = 4 << 20
+#: Bytes of text that are worked on at once: their arrays fit into a processor's cache.
+PIECE_BYTES = 1 << 20
 
 _white = np.zeros(256, bool)
 _white[[32, *range(9, 14)]] = True
@@ -30,11 +31,27 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
+    """base to the power of 0, 1, ... n - 1; those that a usual piece needs are kept."""
+    return _kept_powers(int(base))[:n] if n <= PIECE_BYTES + 1 else _powers(base, n)
+
+
+def _powers(base: np.uint64, n: int) -> np.ndarray:
     steps = np.full(n, base)
     steps[:1] = 1
     return np.multiply.accumulate(steps)
 
 
+@lru_cache(4)
+def _kept_powers(base: int) -> np.ndarray:
+    return _powers(np.uint64(base), PIECE_BYTES + 1)
+
+
+def distinct(grams: np.ndarray) -> np.ndarray:
+    """Sorted without repeats; a plain sort is faster here than numpy's hashed unique."""
+    grams = np.sort(grams)
+    return grams[np.concatenate([[True], grams[1:] != grams[:-1]])]
+
+
 def word_hashes(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each word and the text it belongs to; starts: where each text begins in raw."""
     white = _white[raw]
@@ -75,7 +92,7 @@ def shingle_sets(raw: np.ndarray, offsets: np.ndarray, width: int) -> Iterator[n
         for d in range(j - i):
             n = at[d + 1] - at[d]
             if n >= width:
-                yield np.unique(grams[at[d] : at[d + 1] - width + 1])
+                yield distinct(grams[at[d] : at[d + 1] - width + 1])
             elif n:
                 yield whole_sequence(words[at[d] : at[d + 1]])
             else:
@@ -90,7 +107,8 @@ def whole_sequence(words: np.ndarray) -> np.ndarray:
     return gram
 
 
-def digest(grams: np.ndarray) -> int:
-    """A signed 64-bit name of a set."""
-    named = mix(np.array([np.add.reduce(mix(grams ^ np.uint64(0xA5A5A5A5A5A5A5A5))) + np.uint64(len(grams))], np.uint64))
-    return int(named.view(np.int64)[0])
+def digest(grams: np.ndarray) -> tuple[int, int]:
+    """A name of a set: 128 bits, as two signed words."""
+    mixed = mix(grams ^ np.uint64(0xA5A5A5A5A5A5A5A5))
+    named = mix(np.array([np.add.reduce(mixed) + np.uint64(len(grams)), np.bitwise_xor.reduce(mixed)], np.uint64)).view(np.int64)
+    return int(named[0]), int(named[1])

@@ -8,8 +8,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from geoloom.llm import exact_dedup, line_dedup, ngram_join
+from geoloom.llm import exact_dedup, line_dedup, ngram_join, shingles
 from geoloom.llm.components import connected_components
+from geoloom.llm.prefix_tree import CLASS_BITS, PrefixTree, beginning, prefix_lengths, ranked
 from geoloom.llm.shingles import shingle_sets
 
 from .conftest import AWKWARD
@@ -124,32 +125,109 @@ def test_ngram_join_over_several_blocks(documents, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK_SETS", 8)
     rng = random.Random(3)
     base = [f"w{i}" for i in range(120)]
-    rows = [(i, " ".join(mutated(rng, base, rng.choice([0.01, 0.03, 0.06])))) for i in range(60)]
+    rows = [(i, " ".join(mutated(rng, base[: rng.choice([120, 120, 118, 100, 60])], rng.choice([0.01, 0.03, 0.06])))) for i in range(90)]
     got = ngram_join.near_duplicate_components(documents(rows), words=2, num=9, den=10)
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == plain_components(rows, 2, 9, 10)
 
 
-def test_prefix_tree_finds_every_pair():
-    rng = np.random.default_rng(1)
-    base = rng.integers(0, 2**63, 60, np.uint64)
-    sets = list({s.tobytes(): s for s in (np.unique(np.where(rng.random(60) < 0.05, rng.integers(0, 2**63, 60, np.uint64), base)) for _ in range(70))}.values())
-    tree = {frozenset(p) for p in ngram_join.PrefixTree(sets).links(9, 10)}
-    plain = {frozenset((i, j)) for i in range(len(sets)) for j in range(i) if 10 * len(np.intersect1d(sets[i], sets[j])) >= 9 * len(np.union1d(sets[i], sets[j]))}
-    assert tree == plain and plain
+def related_sets(rng, many, size, rate):
+    """Sets that share most of a common base, and as many that share little of it."""
+    base = rng.integers(0, 2**63, size, np.uint64) * np.uint64(2)
+    out = []
+    for k in range(many):
+        new = rng.random(size) < (rate if k % 2 else 0.7)
+        out.append(np.unique(np.where(new, rng.integers(0, 2**63, size, np.uint64), base)))
+    return list({s.tobytes(): s for s in out}.values())
+
+
+def plain_groups(sets, num, den):
+    root = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if den * both >= num * (len(sets[i]) + len(sets[j]) - both):
+                root = [root[j] if r == root[i] else r for r in root]
+    return root
 
 
-def test_linked_sets_share_a_segment():
-    """The pigeonhole: sets at the very threshold meet, also where segments are empty."""
+def same_groups(a, b):
+    return len(set(zip(a, b, strict=True))) == len(set(a)) == len(set(b))
+
+
+@pytest.mark.parametrize(("num", "den"), [(9, 10), (4, 5), (1, 2), (1, 5), (1, 1)])
+def test_prefix_tree_finds_every_group(num, den):
+    rng = np.random.default_rng(1)
+    class_of = rng.integers(0, 6, 1 << CLASS_BITS).astype(np.uint8)
+    for size, rate in ((5, 0.1), (60, 0.03), (300, 0.06)):
+        sets = related_sets(rng, 40, size, rate)
+        sizes = np.array([len(s) for s in sets])
+        plain = plain_groups(sets, num, den)
+        for frequent_first in (False, True):
+            assert same_groups(PrefixTree(ranked(sets, class_of, frequent_first=frequent_first), sizes).groups(num, den).tolist(), plain)
+        known = np.array([p if k % 3 else len(sets) + k for k, p in enumerate(plain)])  # some known before
+        assert same_groups(PrefixTree(ranked(sets, class_of), sizes).groups(num, den, known).tolist(), plain)
+        heads = [beginning(s, prefix_lengths(len(s), num, den)[0], class_of) for s in sets]
+        left = PrefixTree(ranked(heads, class_of), sizes).groups(num, den).tolist()
+        assert all(left[i] == left[plain[i]] for i in range(len(sets)))  # beginnings never part what is linked
+
+
+def test_beginnings_of_unlike_sets_are_pruned():
+    """Sets that share a passage and nothing else leave the tree before their whole sets are read."""
+    rng = np.random.default_rng(3)
+    class_of = np.zeros(1 << CLASS_BITS, np.uint8)
+    passage = rng.integers(0, 2**63, 20, np.uint64)
+    sets = [np.unique(np.concatenate([passage, rng.integers(0, 2**63, 300, np.uint64)])) for _ in range(50)]
+    heads = [beginning(s, prefix_lengths(len(s), 9, 10)[0], class_of) for s in sets]
+    assert sum(len(np.intersect1d(heads[0], h)) > 0 for h in heads) > 1
+    assert len(set(PrefixTree(ranked(heads, class_of), np.array([len(s) for s in sets])).groups(9, 10).tolist())) == 50
+
+
+@pytest.mark.parametrize(("num", "den"), [(9, 10), (4, 5), (1, 2), (1, 5)])
+def test_linked_sets_share_an_ngram_of_their_beginnings(num, den):
     rng = np.random.default_rng(2)
-    for num, den in ((9, 10), (4, 5), (1, 2)):
-        segments = ngram_join.Segments(num, den)
-        for size in (*range(1, 60), 150, 700):
-            for _ in range(6):
-                grams = np.unique(rng.integers(0, 2**63, size, np.uint64) * np.uint64(2))
-                keep = -(-size * num // den)  # a subset that just reaches the threshold
-                other = np.sort(rng.permutation(grams)[:keep])
-                if len(other) < len(grams):
-                    assert np.intersect1d(segments.signatures(grams), segments.signatures(other)).size, (num, den, size)
+    class_of = rng.integers(0, 4, 1 << CLASS_BITS).astype(np.uint8)
+    for size in (*range(1, 40), 150, 700, 5000):
+        for _ in range(4):
+            grams = np.unique(rng.integers(0, 2**63, size, np.uint64) * np.uint64(2))
+            keep = -(-size * num // den)  # a subset that just reaches the threshold
+            other = np.sort(rng.permutation(grams)[:keep])
+            (sought, _), (_, found) = prefix_lengths(len(grams), num, den), prefix_lengths(len(other), num, den)
+            assert np.intersect1d(beginning(grams, sought, class_of), beginning(other, found, class_of)).size, size
+
+
+@pytest.mark.parametrize(("words", "num", "den"), [(3, 9, 10), (5, 4, 5)])
+def test_very_long_texts_are_joined_whole(documents, monkeypatch, words, num, den):
+    """Sets of thousands of n-grams at the threshold, and texts longer than a piece."""
+    monkeypatch.setattr(shingles, "PIECE_BYTES", 5000)
+    rng = random.Random(4)
+    rows, doc = [], 0
+    for size in (2300, 2600, 9000):
+        base = [f"w{rng.randrange(10**7)}" for _ in range(size)]
+        for part in (1, num / den + 0.002, num / den - 0.002, 0.5):
+            rows.append((doc, " ".join(base[: int(size * part)])))
+            doc += 1
+        for rate in (0.01, 0.02, 0.03, 0.04):
+            rows.append((doc, " ".join(mutated(rng, base, rate))))
+            doc += 1
+    got = ngram_join.near_duplicate_components(documents(rows), words=words, num=num, den=den)
+    plain = plain_components(rows, words, num, den)
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == plain and len({c for _, _, c in plain}) > 6
+
+
+def test_a_passage_that_all_share_links_nothing(documents):
+    """Documents that hold the same passage and own text: none is linked, and no place is large."""
+    rng = random.Random(6)
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, " ".join([*(f"w{rng.randrange(10**7)}" for _ in range(90)), passage])) for i in range(300)] + [(1000 + i, f"{passage} {i}") for i in range(40)]
+    got = ngram_join.near_duplicate_components(documents(rows), words=3, num=9, den=10)
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == plain_components(rows, 3, 9, 10)
+
+
+def test_null_keys_and_repeated_keys_keep_their_own_texts(documents):
+    base = [f"w{i}" for i in range(50)]
+    rows = [(None, " ".join([*base, str(i)])) for i in range(30)] + [(7, " ".join([*base, "x"])), (7, "something else entirely here"), (8, "something else entirely here")]
+    got = ngram_join.near_duplicate_components(documents(rows), words=3, num=9, den=10)
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == plain_components(rows, 3, 9, 10)
 
 
 def test_shingles_of_bytes():
