@@ -5,35 +5,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .dedup import guard_unique
+#: Releases of a calendar, at most: one a year. The ranges are broadcast as one row a day.
+MOST_RELEASES = 1000
 
 
 def calendar_ranges(calendar: DataFrame) -> DataFrame:
     """When each vintage is the newest one known: from the day after its release to the next release.
 
-    The last range is open. Null vintages or dates, repeated ones, and vintages that do not rise with
-    the release date are errors. The calendar is a small dimension: one row a year.
+    The last range is open. Null vintages or dates, repeated ones, vintages that do not rise with the
+    release date, and more than MOST_RELEASES rows are errors. The calendar is read once.
     """
-    if calendar.filter("acs_vintage IS NULL OR acs_release_date IS NULL").limit(1).count():
+    rows = calendar.limit(MOST_RELEASES + 1).collect()
+    if len(rows) > MOST_RELEASES:
+        raise ValueError(f"calendar: more than {MOST_RELEASES} releases")
+    if any(r["acs_vintage"] is None or r["acs_release_date"] is None for r in rows):
         raise ValueError("calendar: null vintage or release date")
-    guard_unique(calendar, ["acs_vintage"], name="calendar")
-    guard_unique(calendar, ["acs_release_date"], name="calendar")
-    order = Window.orderBy("acs_release_date")
-    ranges = calendar.withColumns({"__before": F.lag("acs_vintage").over(order), "eligible_start_date": F.date_add("acs_release_date", 1), "eligible_end_date": F.lead("acs_release_date").over(order)})
-    if ranges.filter("__before >= acs_vintage").limit(1).count():
+    rows.sort(key=lambda r: r["acs_release_date"])
+    for name in ("acs_vintage", "acs_release_date"):
+        if len({r[name] for r in rows}) < len(rows):
+            raise ValueError(f"calendar: keys {name} are not unique")
+    if any(a["acs_vintage"] >= b["acs_vintage"] for a, b in zip(rows, rows[1:], strict=False)):
         raise ValueError("calendar: vintages must rise with their release dates")
-    return ranges.drop("__before")
+    checked = calendar.sparkSession.createDataFrame(rows, calendar.schema)
+    order = Window.orderBy("acs_release_date")
+    return checked.withColumns({"eligible_start_date": F.date_add("acs_release_date", 1), "eligible_end_date": F.lead("acs_release_date").over(order)})
 
 
 def attach_vintage(events: DataFrame, ranges: DataFrame, *, day: str = "occurred_date") -> DataFrame:
     """The vintage eligible on each event's day, left outer: selected_acs_vintage and release date.
 
     Ranges become single days up to the last event, so the join is an equality on the day, hashed,
-    instead of a nested loop over ranges. A day before the first release, or a null day, matches
+    instead of a nested loop over ranges. Days are few whatever the events are, one row each, so they
+    are broadcast and events stay where they are. A day before the first release, or a null day, matches
     nothing. Ranges don't overlap, so no event is doubled.
     """
-    last = events.agg(F.max(day)).first()[0]  # one value: how far the open range has to reach
-    until = F.lit(last).cast("date")
+    until = events.agg(F.max(day)).scalar()  # how far the open range has to reach
     bounded = ranges.withColumn("__to", F.least(F.coalesce("eligible_end_date", until), until)).filter("eligible_start_date <= __to")
     days = bounded.select(F.explode(F.sequence("eligible_start_date", "__to")).alias("__day"), F.col("acs_vintage").alias("selected_acs_vintage"), F.col("acs_release_date").alias("selected_acs_release_date"), "tiger_line_year", "tract_definition_vintage")
-    return events.join(days, F.col(day) == F.col("__day"), "left").drop("__day")
+    return events.join(F.broadcast(days), F.col(day) == F.col("__day"), "left").drop("__day")

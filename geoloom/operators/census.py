@@ -84,13 +84,13 @@ def payload_records(df: DataFrame, *, payload: str = "payload", vintage: str = "
 
     A record has the payload's fields as a map, geoid (state, county and tract together) and the
     five-year period that ends with the vintage. Rows as wide as the header are records; other rows,
-    and payloads that do not parse, are invalid.
+    payloads that do not parse, and those whose header repeats a name are invalid.
     """
     table = df.withColumn("__table", F.from_json(payload, "array<array<string>>"))
     table = table.withColumn("__header", F.try_element_at("__table", F.lit(1)))
     body = F.expr("slice(__table, 2, greatest(size(__table) - 1, 0))")
     rows = table.select("*", F.explode_outer(body).alias("__row"))
-    valid, invalid = split_valid(rows, {"parses": F.col("__header").isNotNull(), "as_wide_as_header": F.size("__row") == F.size("__header")})
+    valid, invalid = split_valid(rows, {"parses": F.col("__header").isNotNull(), "as_wide_as_header": F.size("__row") == F.size("__header"), "names_once": F.size(F.array_distinct("__header")) == F.size("__header")})
     valid = valid.withColumn("record", F.map_from_arrays("__header", "__row"))
     part = lambda name: F.try_element_at("record", F.lit(name))
     valid = valid.withColumns({"geoid": F.concat(part("state"), part("county"), part("tract")), "period_start_year": (F.col(vintage) - 4).cast("int"), "period_end_year": F.col(vintage).cast("int")})

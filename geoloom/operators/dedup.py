@@ -51,6 +51,18 @@ def guard_unique(df: DataFrame, keys: Sequence[str], *, name: str) -> DataFrame:
     return df
 
 
+def one_row_per_key(lookup: DataFrame, keys: Sequence[str], *, name: str) -> DataFrame:
+    """A lookup with each key once; a key that occurs twice is an error when the rows are read.
+
+    The check is part of the aggregation that a join on the keys would shuffle for anyway, so nothing
+    runs twice and nothing runs before the result is asked for.
+    """
+    others = [c for c in lookup.columns if c not in keys]
+    per_key = lookup.groupBy(*keys).agg(F.first(F.struct(*others)).alias("__row"), F.count(F.lit(1)).alias("__n"))
+    several = F.raise_error(F.concat(F.lit(f"{name}: keys are not unique: "), F.to_json(F.struct(*keys)), F.lit(" occurs "), F.col("__n").cast("string"), F.lit(" times"))).cast("boolean")
+    return per_key.filter(F.when(F.col("__n") == 1, F.lit(True)).otherwise(several)).select(*keys, *(F.col("__row")[c].alias(c) for c in others))
+
+
 def guard_identities(df: DataFrame, key: str = "incident_id") -> DataFrame:
     """df itself, once every id is there and occurs once."""
     lacking = df.filter(~all_not_null([key])).limit(20).collect()

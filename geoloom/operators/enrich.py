@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import require_columns
-from .dedup import guard_unique
+from .dedup import one_row_per_key
 
 CENSUS_ATTRIBUTES = ("geography_name", "population", "population_moe", "median_age", "median_age_moe", "median_household_income", "median_household_income_moe", "poverty_rate", "unemployment_rate", "vacancy_rate", "renter_occupied_rate", "no_vehicle_rate")
 
@@ -16,16 +16,16 @@ CENSUS_ATTRIBUTES = ("geography_name", "population", "population_moe", "median_a
 def enrich(df: DataFrame, lookup: DataFrame, on: Mapping[str, str], attributes: Mapping[str, str], *, flag: str | None, name: str, guard: bool = True) -> DataFrame:
     """Left join on equal columns (df column: lookup column), adding attributes under new names.
 
-    With guard, a lookup key that occurs twice is an error, so rows are never multiplied. flag tells
+    With guard, a lookup key that occurs twice is an error of the query, so rows are never multiplied. flag tells
     whether a row found its match, also where all attributes are null. Null keys match nothing.
     Whether the lookup is broadcast is left to Spark, which knows its size.
     """
     require_columns(df, on, context=name)
     require_columns(lookup, [*on.values(), *attributes], context=f"{name} lookup")
-    if guard:
-        guard_unique(lookup, list(on.values()), name=name)
     keys = {left: f"__key_{i}" for i, left in enumerate(on)}
     slim = lookup.select(*(F.col(right).alias(keys[left]) for left, right in on.items()), *(F.col(a).alias(b) for a, b in attributes.items()), F.lit(True).alias("__found"))
+    if guard:
+        slim = one_row_per_key(slim, list(keys.values()), name=name)
     condition = [F.col(left) == F.col(k) for left, k in keys.items()]
     joined = df.join(slim, condition, "left").drop(*keys.values())
     return joined.drop("__found") if flag is None else joined.withColumn(flag, F.coalesce("__found", F.lit(False))).drop("__found")
@@ -42,11 +42,12 @@ def attach_socioeconomic(df: DataFrame, census: DataFrame) -> DataFrame:
 def weather_lookup(events: DataFrame, weather: DataFrame, *, provider: str, model: str, resolution: int) -> DataFrame:
     """Hours of one provider, model and resolution that events can ask for.
 
-    The events' first and last day become literals, which prune partitions; their cells reduce the
-    rest by a semi-join.
+    The events' first and last day are a subquery, which prunes partitions when the query runs;
+    their cells reduce the rest by a semi-join. Events without any date are an error of the query.
     """
-    bounds = events.agg(F.min("occurred_date").alias("first"), F.max("occurred_date").alias("last")).first()
-    wanted = (F.col("provider") == provider) & (F.col("model") == model) & (F.col("h3_resolution") == resolution) & F.col("weather_date").between(F.lit(bounds["first"]).cast("date"), F.lit(bounds["last"]).cast("date"))
+    dateless = F.raise_error(F.lit("weather lookup: no event has a date")).cast("date")
+    first, last = (events.agg(F.coalesce(f("occurred_date"), dateless)).scalar() for f in (F.min, F.max))
+    wanted = (F.col("provider") == provider) & (F.col("model") == model) & (F.col("h3_resolution") == resolution) & F.col("weather_date").between(first, last)
     columns = ("weather_query_cell_id", "weather_timestamp", "provider", "model", "h3_resolution", "request_id", "source_row_hash", "temperature_2m_c", "grid_elevation")
     cells = events.select("weather_query_cell_id").filter("weather_query_cell_id IS NOT NULL").distinct()
     return weather.filter(wanted).select(*columns).join(cells, "weather_query_cell_id", "left_semi")

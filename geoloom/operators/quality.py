@@ -105,7 +105,7 @@ def check_rows(df: DataFrame, checks: Mapping[str, Column], *, dataset: str, cov
         if not 0 <= least <= 1:
             raise ValueError(f"{name}: a threshold lies between 0 and 1")
         share = (n - row[name]) / n if n else 0.0
-        out.append(Check(dataset, name, share >= least, row[name], n, metric=share, threshold=least))
+        out.append(Check(dataset, name, share >= least, 0 if share >= least else row[name], n, metric=share, threshold=least))
     return out
 
 

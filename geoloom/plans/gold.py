@@ -12,6 +12,7 @@ from ..functions.grid import with_cell
 from ..operators import asof, enrich, lighting, spatial
 from ..operators.dedup import guard_identities
 from ..operators.quality import Report, validate_features
+from ..sources.scratch import publish, restore
 
 
 def feature_rows(
@@ -65,8 +66,10 @@ def run(
 ) -> Report:
     """Materialise lookups, build the feature table in a staging folder, check it, then publish.
 
-    Checks run on what was written. A table that fails stays in staging and target is untouched.
+    Checks run on what was written. A table that fails stays in staging and target is untouched. One
+    that passes is renamed into place; the former table is there until then.
     """
+    restore(target)
     guard_identities(incidents)
     spatial.validate_boundaries(calendar, boundaries)
     with_cells = incidents if "weather_query_cell_id" in incidents.columns else with_cell(incidents, resolution=resolution)
@@ -77,7 +80,8 @@ def run(
     rows.write.mode("overwrite").parquet(staging)
     built = spark.read.parquet(staging)
     report = validate_features(built, source_count=incidents.count(), least=least)
-    built.write.mode("overwrite").parquet(target)
+    if not publish(staging, target):  # a file system without renames
+        built.write.mode("overwrite").parquet(target)
     return report
 
 

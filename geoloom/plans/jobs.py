@@ -48,14 +48,14 @@ def clean_incidents(raw: Mapping[str, DataFrame], *, resolution: int = 6) -> Dat
 def upsert_weather(spark: SparkSession, bronze: str, schema: T.StructType, *, log: str, checkpoint: str) -> DataFrame:
     """Upsert all new responses as hours; returns the current state."""
     hours = weather.hourly_weather(ingest.stream_table(spark, bronze, schema))
-    upsert.drain_upserts(hours, log=log, checkpoint=checkpoint, deduplicate=dedup.latest_weather)
+    upsert.drain_upserts(hours, log=log, checkpoint=checkpoint, deduplicate=dedup.latest_weather, keys=WEATHER_KEYS)
     return upsert.current(spark, log, WEATHER_KEYS)
 
 
 def upsert_census(spark: SparkSession, bronze: str, schema: T.StructType, *, log: str, checkpoint: str) -> DataFrame:
     """Upsert all new tract rows; returns the current state."""
     tracts = census.census_tracts(ingest.stream_table(spark, bronze, schema))
-    upsert.drain_upserts(tracts, log=log, checkpoint=checkpoint, deduplicate=dedup.latest_census)
+    upsert.drain_upserts(tracts, log=log, checkpoint=checkpoint, deduplicate=dedup.latest_census, keys=CENSUS_KEYS)
     return upsert.current(spark, log, CENSUS_KEYS)
 
 

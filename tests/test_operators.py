@@ -228,8 +228,23 @@ def test_enrich(spark):
     lookup = spark.createDataFrame([(1, None), (3, "q")], "id int, a string")
     out = {r.v: (r.b, r.found) for r in enrich.enrich(df, lookup, {"k": "id"}, {"a": "b"}, flag="found", name="t").collect()}
     assert out == {"x": (None, True), "y": (None, False), "z": (None, False)}
-    with pytest.raises(ValueError, match="not unique"):
-        enrich.enrich(df, lookup.unionByName(lookup), {"k": "id"}, {"a": "b"}, flag=None, name="t")
+    with pytest.raises(Exception, match="t: keys are not unique"):
+        enrich.enrich(df, lookup.unionByName(lookup), {"k": "id"}, {"a": "b"}, flag=None, name="t").collect()
+
+
+def test_weather_lookup_needs_a_date(spark):
+    schema = "weather_query_cell_id long, weather_timestamp timestamp, provider string, model string, h3_resolution int, request_id string, source_row_hash string, temperature_2m_c double, grid_elevation double, weather_date date"
+    weather = spark.createDataFrame([(1, T(2024, 1, d), "p", "m", 6, "r", "h", float(d), 1.0, D(2024, 1, d)) for d in (1, 2, 3)] + [(2, T(2024, 1, 2), "p", "m", 6, "r", "h", 9.0, 1.0, D(2024, 1, 2))], schema)
+    found = lambda rows: enrich.weather_lookup(spark.createDataFrame(rows, "weather_query_cell_id long, occurred_date date"), weather, provider="p", model="m", resolution=6)
+    assert {r.temperature_2m_c for r in found([(1, D(2024, 1, 2)), (1, D(2024, 1, 3)), (None, None)]).collect()} == {2.0, 3.0}
+    with pytest.raises(Exception, match="no event has a date"):
+        found([(1, None)]).collect()
+
+
+def test_calendar_is_bounded(spark, calendar, monkeypatch):
+    monkeypatch.setattr(asof, "MOST_RELEASES", 1)
+    with pytest.raises(ValueError, match="more than 1"):
+        asof.calendar_ranges(calendar)
 
 
 def test_coverage(spark):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from geoloom.operators.dedup import one_per_key
-from geoloom.sources import boundaries, readers, sinks
+from geoloom.sources import boundaries, readers, scratch, sinks
 from geoloom.streaming import ingest, upsert
 
 
@@ -101,12 +101,40 @@ def test_upserts_survive_replay(spark, tmp_path):
     assert drain("c1") == {(1, "b"), (2, "a"), (3, "d")} == drain("c1")
     replayed = drain("lost")
     assert {k for k, _ in replayed} == {1, 2, 3} and len(replayed) == 3
-    upsert.compact(spark, log, str(tmp_path / "compact"), ["id"])
-    assert spark.read.parquet(str(tmp_path / "compact")).count() == 3
     upsert.upsert_batch(spark.createDataFrame([], schema), 9, log=log, deduplicate=newest)
     assert len(upsert.current(spark, log, ["id"]).collect()) == 3
 
 
+def test_a_compacted_log_keeps_its_state(spark, tmp_path):
+    log, newest = str(tmp_path / "log"), lambda df: one_per_key(df, ["id"], ["value"])
+    batch = lambda n: spark.createDataFrame([(i, f"{n}") for i in range(n % 3, 20, 3)] + [(100 + n, "own")], "id long, value string")
+
+    def state():
+        return {(r.id, r.value) for r in upsert.current(spark, log, ["id"]).collect()}
+
+    for n in range(6):
+        upsert.upsert_batch(batch(n), n, log=log, deduplicate=newest)
+    before = state()
+    assert upsert.compact(spark, log, ["id"], keep=8) == 0 and upsert.compact(spark, log, ["id"], keep=3) == 4
+    assert state() == before and upsert.batches(spark, log) == [4, 5]
+    upsert.upsert_batch(batch(5), 5, log=log, deduplicate=newest)  # the last batch is replayed
+    assert state() == before
+    for n in range(6, 9):
+        upsert.upsert_batch(batch(n), n, log=log, deduplicate=newest)
+    before = state()
+    assert upsert.compact(spark, log, ["id"], keep=3) == 3 and state() == before and len(before) == 29
+
+
+def test_publish_and_restore(spark, tmp_path):
+    staging, target = str(tmp_path / "staging"), str(tmp_path / "target")
+    values = lambda: {r.id for r in spark.read.parquet(target).collect()}
+    for n in (1, 2):
+        spark.range(n, n + 1).write.parquet(staging)
+        assert scratch.publish(staging, target) and values() == {n} and not (tmp_path / "staging").exists()
+    (tmp_path / "target").rename(tmp_path / "target__former")  # a crash between the two renames
+    assert scratch.restore(target) and values() == {2} and not scratch.restore(target)
+
+
 def test_windowed_counts_on_a_stream(spark, tmp_path):
     landing = tmp_path / "in"
     landing.mkdir()
