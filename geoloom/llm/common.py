@@ -1,64 +1,40 @@
-"""What the operators of this package share: written tables and grouped Arrow streams."""
+"""What the operators of this package share: written tables, a filter before shuffles, and grouped Arrow streams."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-#: The ASCII white space that separates words: space and \x09 to \x0D.
-WHITE = " \t\n\x0b\x0c\r"
+from ..sources.scratch import discard, fresh_path, shared_dir, written
 
-_local: dict[str, str] = {}
+__all__ = ["WHITE", "binary_texts", "discard", "each_group", "fresh_path", "may_hold", "read_table", "shared_dir", "sorted_groups", "written"]
 
+#: The ASCII white space that separates words: space and \x09 to \x0D.
+WHITE = " \t\n\x0b\x0c\r"
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as spark.checkpoint.dir names it.
+def may_hold(keys: DataFrame, slots: int = 1 << 23) -> Callable[..., Column]:
+    """A test of columns against the rows of keys: false only where no row of keys holds the values.
 
-    Only a local master may go without the setting: driver and executors are one process there.
+    Keys set bits of one map, 1 MB at any number of keys, which reaches tasks as the value of a scalar
+    subquery. A bit that other values set lets a row through, so what follows must be exact by itself;
+    far beyond slots keys nearly every row passes. Used to leave rows out before they are shuffled.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _local:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        _local[app] = "file://" + tempfile.mkdtemp(prefix="spark-")
-    return _local[app]
-
+    slot = F.pmod(F.xxhash64(*keys.columns), F.lit(slots))
+    ones = keys.select(slot.alias("slot")).selectExpr("slot div 64 AS word", "shiftleft(1L, cast(slot % 64 AS int)) AS bits")
+    every = keys.sparkSession.range(slots // 64).selectExpr("id AS word", "0L AS bits")
+    words = ones.unionByName(every).groupBy("word").agg(F.expr("bit_or(bits)").alias("bits"))
+    bits = words.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda x: x["bits"])).scalar()
 
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    def test(*columns: Column | str) -> Column:
+        at = F.pmod(F.xxhash64(*columns), F.lit(slots))
+        word = F.get(bits, F.floor(at / 64).cast("int"))
+        return F.call_function("shiftright", word, (at % 64).cast("int")).bitwiseAND(F.lit(1)) == 1
 
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write df as Parquet into the shared folder and read it back.
-
-    A lost executor costs later stages nothing but a new read of these files.
-    """
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.write.parquet(path)
-    table = spark.read.schema(df.schema).parquet(path)
-    table.written_to = path
-    return table
-
-
-def discard(*tables: DataFrame) -> None:
-    """Delete tables of written() that nothing reads any more, where Arrow knows their file system;
-    elsewhere they stay until the session's owner clears the shared folder."""
-    for table in tables:
-        try:
-            fs, inner = pafs.FileSystem.from_uri(table.written_to)
-        except pa.ArrowInvalid:
-            continue
-        fs.delete_dir(inner)
+    return test
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -97,3 +73,12 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterato
         held.append(batch.slice(cut))
     if held:
         yield pa.Table.from_batches(held)
+
+
+def each_group(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """One table per group, from batches that come sorted by keys without nulls."""
+    for table in sorted_groups(batches, keys):
+        values = [table[k].to_numpy() for k in keys]
+        begins = np.flatnonzero(np.concatenate([[True], np.logical_or.reduce([v[1:] != v[:-1] for v in values])]))
+        for a, b in zip(begins, [*begins[1:], table.num_rows], strict=True):
+            yield table.slice(a, b - a)

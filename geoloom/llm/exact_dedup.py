@@ -1,7 +1,9 @@
 """Exact deduplication by progressive refinement, with DataFrame functions only.
 
-Rows are grouped by text length, then by a hash of a short prefix, and only rows of groups that
-still have two members have their full text hashed.
+Three rounds: rows are grouped by text length; rows of a length that two share by a hash of a short
+prefix as well; rows that are still together by a hash of the full text. A round learns which groups
+of the round before are open from a bit map of fixed size, so texts are read where they lie and are
+never shuffled.
 """
 
 from __future__ import annotations
@@ -9,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, written
+from .common import may_hold, read_table, written
 
 _LEN, _HEAD, _FULL, _ROW = "__xd_length", "__xd_head", "__xd_full", "__xd_row"
 
@@ -25,20 +27,21 @@ def exact_duplicates(df: DataFrame, *, text: str = "text", key: str = "doc_id",
     empty result. Other columns of df, whatever their names, are left out.
     """
     value = F.coalesce(F.col(text), F.lit(""))
-    slim = df.select(F.octet_length(value).alias(_LEN), F.xxhash64(F.substring(value, 1, prefix_chars)).alias(_HEAD))
-    # Both counts combine within each task before the shuffle, so a length or prefix that a third
-    # of all rows share sends one row per task.
-    heads = slim.groupBy(_LEN, _HEAD).agg(F.count(F.lit(1)).alias("__xd_n")).filter("__xd_n > 1").select(_LEN, _HEAD, F.lit(True).alias("__xd_open"))
-    heads = written(heads, "exact-heads")  # a join of two plain exchanges is one that Spark can split by size
-    rows = df.select(F.col(key).alias(key), *(F.col(c) for c in carry), value.alias("__xd_text"), F.octet_length(value).alias(_LEN), F.xxhash64(F.substring(value, 1, prefix_chars)).alias(_HEAD))
-    # Only survivors of the first two rounds reach sha2. The left side is streamed, never sorted.
-    refined = rows.join(heads.hint("shuffle_hash"), [_LEN, _HEAD], "left").select(
-        key, *carry, _LEN, _HEAD, F.when(F.col("__xd_open"), F.sha2(F.col("__xd_text"), 256)).alias(_FULL), F.monotonically_increasing_id().alias(_ROW)
-    )
-    refined = written(refined, "exact-dedup")
+    length, head, full = F.octet_length(value), F.xxhash64(F.substring(value, 1, prefix_chars)), F.unhex(F.sha2(value, 256))
+    # Counts combine within each task before the shuffle, so a length or prefix that a third of all
+    # rows share sends one row per task.
+    lengths = df.groupBy(length.alias(_LEN)).count().filter("count > 1").select(_LEN)
+    in_lengths = may_hold(lengths)
+    heads = df.filter(in_lengths(length)).groupBy(length.alias(_LEN), head.alias(_HEAD)).count().filter("count > 1").select(_LEN, _HEAD)
+    in_heads = may_hold(heads)
+    rows = df.select(F.col(key).alias(key), *(F.col(c) for c in carry), length.alias(_LEN), F.when(in_heads(length, head), full).alias(_FULL), F.monotonically_increasing_id().alias(_ROW))
+    refined = written(rows, "exact-dedup")
     last: Column = F.struct(F.col(key).alias("key"), F.col(_ROW).alias("row"))
     groups = refined.filter(F.col(_FULL).isNotNull()).groupBy(_LEN, _FULL).agg(F.max(last).alias("__xd_last"), F.count(F.lit(1)).alias("__xd_size")).filter("__xd_size > 1")
-    joined = refined.join(written(groups, "exact-groups"), [_LEN, _FULL], "left")
+    groups = written(groups, "exact-groups")  # a join of two plain exchanges is one that Spark can split by size
+    # rows that stand alone get a length of their own, so that the join deals them evenly
+    spread = refined.withColumn(_LEN, F.when(F.col(_FULL).isNull(), -1 - F.pmod(F.col(_ROW), F.lit(1 << 30))).otherwise(F.col(_LEN)).cast("int"))
+    joined = spread.join(groups, [_LEN, _FULL], "left")
     grouped = F.col("__xd_size").isNotNull()
     return joined.select(
         key,
