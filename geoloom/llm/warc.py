@@ -212,44 +212,57 @@ def write_archives(pages: DataFrame, folder: str, *, page: str = "page_id", url:
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, inner = pafs.FileSystem.from_uri(folder)
-        fs.create_dir(inner, recursive=True)
         task = TaskContext.get()
-        held: list[tuple[int | None, bytes]] = []
-        size, made = 0, 0
-
-        def close() -> pa.RecordBatch:
-            nonlocal size, made
-            name = f"pages-{task.partitionId():06d}-{made:04d}.zip"
-            open_name = posixpath.join(inner, f".{name}.{task.taskAttemptId()}")
-            with fs.open_output_stream(open_name) as out:
-                out.write(package(held))
-            fs.move(open_name, posixpath.join(inner, name))  # another attempt writes the same records
-            row = pa.record_batch({"path": [f"{folder}/{name}"], "records": pa.array([len(held)], pa.int64())})
-            held.clear()
-            size, made = 0, made + 1
-            return row
-
-        for batch in batches:
-            for r in batch.to_pylist():
-                data = packed(record(r["page"], r["url"], r["body"].encode(), r["first"], r["revisit"], date))
-                held.append((r["page"], data))
-                size += len(data)
-                if size >= package_bytes:
-                    yield close()
-        if held:
-            yield close()
+        return write_packages(batches, folder, f"{task.partitionId():06d}", str(task.taskAttemptId()), package_bytes=package_bytes, date=date)
 
     return written(marked.mapInArrow(write, "path string, records long"), "warc-packages")
 
 
-def read_archives(paths: DataFrame, *, records_per_range: int = 2000) -> DataFrame:
+def write_packages(batches: Iterator[pa.RecordBatch], folder: str, part: str, attempt: str, *, package_bytes: int, date: str) -> Iterator[pa.RecordBatch]:
+    """Write rows (page, url, body, first, revisit) of one task; a row (path, records) per package.
+
+    Rows may come to another attempt in another order, so attempts never share a file; only packages
+    of the attempt that Spark commits are listed and read.
+    """
+    fs, inner = pafs.FileSystem.from_uri(folder)
+    fs.create_dir(inner, recursive=True)
+    held: list[tuple[int | None, bytes]] = []
+    size, made = 0, 0
+
+    def close() -> pa.RecordBatch:
+        nonlocal size, made
+        name = f"pages-{part}-{made:04d}-{attempt}.zip"
+        with fs.open_output_stream(posixpath.join(inner, f".{name}")) as out:
+            out.write(package(held))
+        fs.move(posixpath.join(inner, f".{name}"), posixpath.join(inner, name))
+        row = pa.record_batch({"path": [f"{folder}/{name}"], "records": pa.array([len(held)], pa.int64())})
+        held.clear()
+        size, made = 0, made + 1
+        return row
+
+    for batch in batches:
+        for r in batch.to_pylist():
+            data = packed(record(r["page"], r["url"], r["body"].encode(), r["first"], r["revisit"], date))
+            held.append((r["page"], data))
+            size += len(data)
+            if size >= package_bytes:
+                yield close()
+    if held:
+        yield close()
+
+
+#: Records of one range, and ranges of one reading task.
+RANGE_RECORDS, TASK_RANGES = 2000, 16
+
+
+def read_archives(packages: DataFrame, *, records_per_range: int = RANGE_RECORDS) -> DataFrame:
     """A row per record of the packages named in column path.
 
     Columns: page_id, payload_bytes, payload_digest, record_type, refers_to, payload (null for a
     revisit). The first step reads directories and indexes and plans ranges; the second, dealt out
-    anew, reads records. Members that are compressed or lie elsewhere are passed over; a damaged
-    package is an error. No path, no row.
+    over as many tasks as the ranges fill, reads each run of records that lie side by side at once.
+    Members that are compressed or lie elsewhere are passed over; a damaged package is an error. No
+    path, no row.
     """
 
     def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,13 +284,31 @@ def read_archives(paths: DataFrame, *, records_per_range: int = 2000) -> DataFra
         for batch in batches:
             for row in batch.to_pylist():
                 with _ranged(row["path"]) as f:
-                    at = list(zip(row["offsets"], row["lengths"], strict=True))
-                    for i in range(0, len(at), 200):
-                        yield pa.RecordBatch.from_pylist([parse_record(unpacked(_exactly(f, o, n))) for o, n in at[i : i + 200]], schema)
-
-    spread = paths.select("path").repartition("path")
-    ranges = spread.mapInArrow(plan, "path string, offsets array<long>, lengths array<long>").repartition(F.col("path"), F.col("offsets")[0])
-    return ranges.mapInArrow(read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload string")
+                    for offset, lengths in runs(list(zip(row["offsets"], row["lengths"], strict=True))):
+                        data, at, records = _exactly(f, offset, sum(lengths)), 0, []
+                        for n in lengths:
+                            records.append(parse_record(unpacked(data[at : at + n])))
+                            at += n
+                        yield pa.RecordBatch.from_pylist(records, schema)
+
+    planned = written(packages.select("path").repartition("path").mapInArrow(plan, "path string, offsets array<long>, lengths array<long>"), "warc-ranges")
+    # a number of tasks, so that Spark does not merge the small rows that stand for large ranges
+    tasks = max(planned.sparkSession.sparkContext.defaultParallelism, -(-planned.count() // TASK_RANGES))
+    return planned.repartition(tasks).mapInArrow(read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload string")
+
+
+def runs(spans: list[tuple[int, int]], most: int = 200) -> Iterator[tuple[int, list[int]]]:
+    """Records (offset, length) that lie side by side, as the offset of the first and all lengths."""
+    start, lengths = 0, []
+    for offset, n in spans:
+        if lengths and (offset != start + sum(lengths) or len(lengths) == most):
+            yield start, lengths
+            lengths = []
+        if not lengths:
+            start = offset
+        lengths = [*lengths, n]
+    if lengths:
+        yield start, lengths
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
