@@ -8,8 +8,6 @@ the tables.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,37 +18,9 @@ from ..operators import asof, census, dedup, enrich, incidents, lighting, manife
 from ..sources import readers, sinks
 from ..streaming import ingest, upsert
 from . import gold
+from .registry import ntz, oracle_sql, queries, query, table
 
-Query = Callable[[SparkSession, str], DataFrame]
-_queries: dict[str, Query] = {}
-_sql: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def register(f: Query) -> Query:
-        _queries[f.__name__] = f
-        if sql:
-            _sql[f.__name__] = sql
-        return f
-
-    return register
-
-
-def queries() -> dict[str, Query]:
-    return dict(_queries)
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(_sql)
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def ntz(column: Column | str) -> Column:
-    return (F.col(column) if isinstance(column, str) else column).cast("timestamp_ntz")
-
+__all__ = ["oracle_sql", "queries"]
 
 # --- names, hashes, contract
 
@@ -139,10 +109,15 @@ def safe_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("""SELECT event_id, NULL::BIGINT AS z, '{"k":"' || json_extract_string(props, '$.k') || '"}' AS _rescued_data FROM events""")
+@query(
+    """SELECT event_id, CASE WHEN event_id % 10 = 1 THEN user_id END AS z, CASE event_id % 10 WHEN 0 THEN 'broken {' || event_id WHEN 1 THEN NULL WHEN 2 THEN '{"z":"no"}'
+    ELSE '{"k":"' || json_extract_string(props, '$.k') || '"}' END AS _rescued_data FROM events"""
+)
 def rescued_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").select("event_id", F.col("props").alias("value"))
-    return readers.rescued(events, T.StructType([T.StructField("z", T.LongType())]))
+    """Unknown fields, a field of another type, lines that are no object, and lines that fit."""
+    n = F.col("event_id") % 10
+    line = F.when(n == 0, F.concat(F.lit("broken {"), F.col("event_id"))).when(n == 1, F.to_json(F.struct(F.col("user_id").alias("z")))).when(n == 2, '{"z": "no"}').otherwise(F.col("props"))
+    return readers.rescued(table(spark, sf_dir, "events").select("event_id", line.alias("value")), T.StructType([T.StructField("z", T.LongType())]))
 
 
 # --- deduplication
@@ -201,10 +176,10 @@ def change_log_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- weather and census
 
 
-def _responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _responses(events: DataFrame) -> DataFrame:
     """One archive response per user: JSON text with parallel arrays, some of them broken."""
     pair = F.struct(F.date_format(F.date_trunc("hour", F.col("ts")), "yyyy-MM-dd'T'HH:mm").alias("time"), F.col("event_id"), F.when(F.col("event_id") % 11 == 0, "bad").otherwise(F.col("event_id").cast("string")).alias("v"))
-    users = table(spark, sf_dir, "events").groupBy("user_id").agg(F.sort_array(F.collect_list(pair)).alias("p"))
+    users = events.groupBy("user_id").agg(F.sort_array(F.collect_list(pair)).alias("p"))
     times = F.when(F.col("user_id") % 13 == 0, F.array().cast("array<string>")).otherwise(F.col("p.time"))
     hourly = F.to_json(F.struct(times.alias("time"), F.col("p.v").alias("temperature_2m")))
     return users.select(
@@ -227,7 +202,7 @@ def _responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     CASE WHEN event_id % 11 <> 0 THEN event_id::DOUBLE END AS temperature_2m_c, 'C' AS temperature_unit FROM events WHERE user_id % 13 <> 0 AND user_id % 17 <> 0"""
 )
 def weather_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = weather.hourly_weather(_responses(spark, sf_dir))
+    rows = weather.hourly_weather(_responses(table(spark, sf_dir, "events")))
     return rows.select("weather_query_cell_id", "h3_resolution", ntz("weather_timestamp").alias("weather_timestamp"), "weather_date", "temperature_2m_c", "temperature_unit")
 
 
@@ -236,7 +211,7 @@ def weather_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM (SELECT DISTINCT user_id FROM events) WHERE user_id % 17 = 0 OR user_id % 13 = 0"""
 )
 def invalid_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return weather.valid_responses(_responses(spark, sf_dir))[1].select("user_id", "failed_checks")
+    return weather.valid_responses(_responses(table(spark, sf_dir, "events")))[1].select("user_id", "failed_checks")
 
 
 def _census_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -372,10 +347,37 @@ def pending_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.pending_requests(asked, asked.filter("event_count % 3 = 0")).select("request_id", "event_count")
 
 
-@query("SELECT request_id, ['provider_known'] AS failed_checks FROM (%s) WHERE event_count %% 2 = 0" % _MANIFEST)
+def _broken_at(n: Column, breaks: dict[str, list[Column]]) -> dict[str, Column]:
+    """Columns with one value broken per row, in turn by the number n; the others stay."""
+    turns = [(name, value) for name, values in breaks.items() for value in values]
+    out: dict[str, Column] = {}
+    for i, (name, value) in enumerate(turns):
+        out[name] = F.when(n % (len(turns) + 1) == i, value).otherwise(out.get(name, F.col(name)))
+    return out
+
+
+_REQUEST_BREAKS = ("request_id_not_empty", "provider_known", "model_known", "resolution_range", "location_valid", "dates_in_order", "timezone_not_empty", "cell_selection_known", "variables_not_empty", "variables_unique")
+_REQUEST_NUMBER = "(weather_query_cell_id + event_count)"
+
+
+@query(
+    f"""SELECT weather_query_cell_id, year(start_date)::INTEGER AS year, [{list(_REQUEST_BREAKS)!r}[({_REQUEST_NUMBER} % 11 + 1)::INTEGER]] AS failed_checks FROM ({_MANIFEST}) WHERE {_REQUEST_NUMBER} % 11 < 10"""
+)
 def invalid_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    asked = _manifest(spark, sf_dir).withColumn("provider", F.when(F.col("event_count") % 2 == 0, "other").otherwise(F.col("provider")))
-    return quality.split_valid(asked, manifest.manifest_checks())[1].select("request_id", "failed_checks")
+    """Every predicate of a request is broken on a share of the rows, and on no other."""
+    breaks = {
+        "request_id": [F.lit("  ")],
+        "provider": [F.lit("other")],
+        "model": [F.lit("era6")],
+        "h3_resolution": [F.lit(16)],
+        "query_latitude": [F.lit(91.0)],
+        "end_date": [F.date_sub("start_date", 1)],
+        "timezone": [F.lit("")],
+        "cell_selection": [F.lit("lake")],
+        "hourly_variables": [F.array(F.lit("rain"), F.lit(" ")), F.array(F.lit("rain"), F.lit("rain"))],
+    }
+    asked = _manifest(spark, sf_dir).withColumns(_broken_at(F.col("weather_query_cell_id") + F.col("event_count"), breaks))
+    return quality.split_valid(asked, manifest.manifest_checks())[1].select("weather_query_cell_id", F.year("start_date").alias("year"), "failed_checks")
 
 
 # --- light
@@ -559,11 +561,13 @@ def quality_report_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     _failures_sql(
         f"SELECT * FROM ({_WEATHER})",
-        {"keys_not_null": "true", "on_the_hour": "true", "provider_allowed": "true", "model_allowed": "true", "resolution_allowed": "true", "temperature_plausible": "t * 40 <= 70"},
+        {n: f"hour(h) % 6 <> {i}" for i, n in enumerate(("keys_not_null", "on_the_hour", "provider_allowed", "model_allowed", "resolution_allowed"))} | {"temperature_plausible": "t * 40 <= 70"},
     )
 )
 def quality_report_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _weather_table(spark, sf_dir).withColumn("temperature_2m_c", F.col("temperature_2m_c") * 40)
+    rows = _weather_table(spark, sf_dir).withColumns({"temperature_2m_c": F.col("temperature_2m_c") * 40, "__hour": F.hour("weather_timestamp")})
+    breaks = {"weather_query_cell_id": [F.lit(None)], "weather_timestamp": [F.col("weather_timestamp") + F.expr("interval 1 second")], "provider": [F.lit("x")], "model": [F.lit(None)], "h3_resolution": [F.lit(5)]}
+    rows = rows.withColumns(_broken_at(F.col("__hour"), breaks))
     return _failures(rows, quality.weather_checks(providers=["open_meteo"], models=["era5"], resolutions=[6]))
 
 
@@ -576,29 +580,57 @@ def _estimate(name: str) -> str:
 @query(
     _failures_sql(
         "SELECT * FROM customer WHERE c_custkey % 50 <> 0",
-        {"keys_not_null": "true", "geoid_format": "true", "vintage_plausible": "true"}
+        {"keys_not_null": "c_custkey % 4 <> 0", "geoid_format": "c_custkey % 4 > 1", "vintage_plausible": "c_custkey % 4 <> 2"}
         | {f"{rate}_valid": f"coalesce(({_estimate(b)}) <= 0 OR ({_estimate(a)}) <= ({_estimate(b)}), true)" for rate, (a, b) in census.RATES.items()},
     )
 )
 def quality_report_census(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _failures(census.census_tracts(_census_raw(spark, sf_dir)), quality.census_checks())
+    tracts = census.census_tracts(_census_raw(spark, sf_dir)).withColumn("__key", F.col("geoid").cast("long"))
+    breaks = {"geoid": [F.lit(None), F.concat(F.lit("0"), F.col("geoid"))], "acs_vintage": [F.lit(1990)]}
+    return _failures(tracts.withColumns(_broken_at(F.col("__key"), breaks)), quality.census_checks())
+
+
+_LIGHTING_BREAKS = ("keys_not_null", "active_version", "on_the_hour", "elevation_range", "apparent_elevation_range", "zenith_range", "azimuth_range", "class_consistent", "daylight_consistent", "model_version_not_empty")
 
 
-@query(_failures_sql(f"{_SOLAR} SELECT * FROM s", {n: "true" for n in ("keys_not_null", "active_version", "on_the_hour", "elevation_range", "apparent_elevation_range", "zenith_range", "azimuth_range", "class_consistent", "daylight_consistent", "model_version_not_empty")}))
+@query(_failures_sql(f"{_SOLAR} SELECT * FROM s", {n: f"weather_query_cell_id % 11 <> {i}" + (" AND NOT (weather_query_cell_id % 11 = 3 AND el < 0)" if n in ("class_consistent", "daylight_consistent") else "") for i, n in enumerate(_LIGHTING_BREAKS)}))
 def quality_report_lighting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lit = lighting.lighting_conditions(lighting.lighting_keys(grid.with_cell(_located(spark, sf_dir))))
-    return _failures(lit, quality.lighting_checks(version=lighting.DEFINITION_VERSION))
+    """Every predicate is broken on a share of the rows. An elevation of 95 is daylight, so at night
+    its class and flag are wrong as well."""
+    lit = lighting.lighting_conditions(lighting.lighting_keys(grid.with_cell(_located(spark, sf_dir)))).withColumn("__cell", F.col("weather_query_cell_id"))
+    breaks = {
+        "weather_query_cell_id": [F.lit(None)],
+        "lighting_definition_version": [F.lit("v0")],
+        "solar_timestamp_hour": [F.col("solar_timestamp_hour") + F.expr("interval 1 minute")],
+        "solar_elevation_deg": [F.lit(95.0)],
+        "apparent_solar_elevation_deg": [F.lit(92.0)],
+        "solar_zenith_deg": [F.lit(float("nan"))],
+        "solar_azimuth_deg": [F.lit(None)],
+        "lighting_condition": [F.lit("dim")],
+        "is_daylight": [~F.col("is_daylight")],
+        "solar_model_version": [F.lit(" ")],
+    }
+    return _failures(lit.withColumns(_broken_at(F.col("__cell"), breaks)), quality.lighting_checks(version=lighting.DEFINITION_VERSION))
 
 
 @query(
     _failures_sql(
-        f"{_FEATURES} SELECT * FROM f",
-        {"id_not_null": "true", "flags_not_null": "true", "no_leakage": "true", "weather_lineage": "true", "lighting_lineage": "true", "tract_coverage": "tract_geoid IS NOT NULL", "socioeconomic_coverage": "socioeconomic_match_found", "weather_coverage": "weather_match_found", "lighting_coverage": "lighting_match_found"},
+        f"{_FEATURES} SELECT *, incident_id::BIGINT AS n FROM f",
+        {"id_not_null": "n % 6 <> 0", "flags_not_null": "n % 6 <> 1", "no_leakage": "n % 6 <> 2", "weather_lineage": "NOT weather_match_found OR n % 6 <> 3", "lighting_lineage": "NOT lighting_match_found OR n % 6 <> 4", "tract_coverage": "tract_geoid IS NOT NULL", "socioeconomic_coverage": "socioeconomic_match_found AND n % 6 <> 1", "weather_coverage": "weather_match_found", "lighting_coverage": "lighting_match_found"},
     )
 )
 def quality_report_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every predicate is broken on a share of the rows; a row without a flag is not covered either."""
     coverages = {n: p for n, (p, _) in quality.feature_coverages({}).items()}
-    return _failures(_features(spark, sf_dir), {**quality.feature_checks(), **coverages})
+    rows = _features(spark, sf_dir).withColumn("__id", F.col("event_id"))
+    breaks = {
+        "incident_id": [F.lit(None)],
+        "socioeconomic_match_found": [F.lit(None)],
+        "selected_acs_release_date": [F.col("occurred_date")],
+        "weather_source_row_hash": [F.lit(None)],
+        "lighting_solar_model_version": [F.lit(None)],
+    }
+    return _failures(rows.withColumns(_broken_at(F.col("__id"), breaks)), {**quality.feature_checks(), **coverages})
 
 
 @query(
@@ -628,3 +660,6 @@ def count_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 def windowed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = ingest.windowed_counts(table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")), at="ts", size="6 hours", late="1 hour", keys=("event_type",))
     return counts.withColumn("window_start", ntz("window_start"))
+
+
+from . import catalog_files  # noqa: E402, F401  registers its queries, which build on those above
