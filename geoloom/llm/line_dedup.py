@@ -44,6 +44,7 @@ def drop_shared_lines(df: DataFrame, *, text: str = "text", key: str = "doc_id",
         # two hashes with independent seeds: 128 bits tell lines apart at any corpus size
         .select("__ld_doc", _TH, _POS, F.xxhash64("__ld_key").alias(_H1), F.xxhash64(F.lit(1), F.col("__ld_key")).alias(_H2))
     )
+    lines = written(lines, "line-hashes")  # texts are taken apart and hashed once
     order = F.struct(F.col("__ld_doc").isNull().alias("last"), F.col("__ld_doc").alias("doc"))
     documents = lines.groupBy(_H1, _H2, "__ld_doc").agg(F.lit(1).alias("__ld_one"))
     owners = documents.groupBy(_H1, _H2).agg(F.count(F.lit(1)).alias("__ld_n"), F.min(order).alias("__ld_first")).filter(F.col("__ld_n") >= min_documents)
