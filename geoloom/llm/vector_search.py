@@ -1,61 +1,128 @@
 """Exact top-k search by inner product over vector-approximation files.
 
-Rows are dealt into blocks. A block keeps, besides its vectors, a few bits per component: the cell
-of a grid. A search scans the cells, which give bounds on every score, and then reads exact vectors
-in the order of their bounds until the k-th result is certain.
+Vectors are written once, and beside them an approximation file: one byte per component, the cell of
+a grid. A search scans the cells of all rows, which give bounds on every score; rows whose upper
+bound reaches the k-th lower bound are left. Exact vectors are read for those alone, first for the k
+best bounds of a query and then for whatever could still beat the k-th score found.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import read_table
-
-
-class ApproximationFile:
-    """Cell codes and exact vectors of one block."""
-
-    def __init__(self, vectors: np.ndarray, cells: int = 16) -> None:
-        self.exact = vectors
-        low, high = vectors.min(axis=0), vectors.max(axis=0)
-        width = np.where(high > low, (high - low) / cells, 1)
-        self.codes = np.clip(np.floor((vectors - low) / width), 0, cells - 1).astype(np.uint8)
-        # the least and the largest component found in each cell: bounds that no rounding can break
-        self.least = np.full((cells, vectors.shape[1]), np.inf)
-        self.most = np.full((cells, vectors.shape[1]), -np.inf)
-        at = np.broadcast_to(np.arange(vectors.shape[1]), vectors.shape)
-        np.minimum.at(self.least, (self.codes, at), vectors)
-        np.maximum.at(self.most, (self.codes, at), vectors)
-
-    def bounds(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Lower and upper bounds on every score, from the codes alone."""
-        at = np.arange(self.codes.shape[1])
-        least, most = self.least[self.codes, at].T, self.most[self.codes, at].T
-        plus, minus = np.maximum(queries, 0), np.minimum(queries, 0)
-        return plus @ least + minus @ most, plus @ most + minus @ least
-
-    def search(self, query: np.ndarray, ids: np.ndarray, lower: np.ndarray, upper: np.ndarray, k: int, step: int = 64) -> list[tuple[float, int]]:
-        """The k best (score, id), ties to the smaller id. Rows that may not win have upper -inf."""
-        alive = np.flatnonzero(upper > -np.inf)
-        if len(alive) > k:
-            certain = np.partition(lower[alive], len(alive) - k)[len(alive) - k]
-            alive = alive[upper[alive] >= certain]
-        alive = alive[np.argsort(-upper[alive], kind="stable")]
-        scores, names = np.zeros(0), np.zeros(0, np.int64)
-        for i in range(0, len(alive), step):
-            if len(scores) >= k and scores[k - 1] > upper[alive[i]]:
-                break
-            read = alive[i : i + step]
-            scores, names = np.concatenate([scores, self.exact[read] @ query]), np.concatenate([names, ids[read]])
-            best = np.lexsort((names, -scores))[:k]
-            scores, names = scores[best], names[best]
-        return list(zip(scores.tolist(), names.tolist(), strict=True))
-
-
-def exact_top_k(rows: DataFrame, queries: DataFrame, *, key: str = "vec_id", vector: str = "vector", k: int = 5, rows_per_block: int = 8192, queries_per_block: int = 1024) -> DataFrame:
+from .common import discard, may_hold, read_table, written
+
+#: Cells of a component: a code is one byte.
+CELLS = 256
+
+
+class Grid:
+    """Cells of whole-numbered vectors: codes, and bounds on inner products from codes alone.
+
+    Cells of a component are equally wide and hold whole numbers, so every sum here is exact.
+    """
+
+    def __init__(self, low: np.ndarray, width: np.ndarray) -> None:
+        self.low, self.width = low, width
+
+    @classmethod
+    def around(cls, vectors: np.ndarray) -> Grid:
+        low, high = np.floor(vectors.min(axis=0)), np.ceil(vectors.max(axis=0))
+        return cls(low, np.ceil((high - low + 1) / CELLS))
+
+    def codes(self, vectors: np.ndarray) -> np.ndarray:
+        return ((vectors - self.low) // self.width).astype(np.uint8)
+
+    def bounds(self, codes: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of the cells' centres (queries x rows), and how far each query's scores may lie
+        from them."""
+        half = (self.width - 1) / 2
+        centres = (queries * self.width) @ codes.astype(np.float64).T + (queries @ (self.low + half))[:, None]
+        return centres, np.abs(queries) @ half
+
+
+def _approximated(vectors: DataFrame, rows_per_block: int) -> DataFrame:
+    """A row per block of the approximation file: ids, rows, codes and the grid."""
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
+
+        def close(dim: int) -> pa.RecordBatch:
+            ids, rows, exact = (np.concatenate(x) for x in zip(*held.pop(dim), strict=True))
+            grid = Grid.around(exact)
+            block = {"dim": pa.array([dim], pa.int32()), "block": pa.array([rows[0]], pa.int64()), "n": pa.array([len(ids)], pa.int64())}
+            blobs = {"ids": ids, "rows": rows, "codes": grid.codes(exact), "low": grid.low, "width": grid.width}
+            return pa.record_batch(block | {name: pa.array([x.tobytes()], pa.binary()) for name, x in blobs.items()})
+
+        for batch in batches:
+            dims = batch["dim"].to_numpy()
+            for dim in np.unique(dims).tolist():
+                part = batch.filter(pa.array(dims == dim))
+                exact = part["v"].flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+                held.setdefault(dim, []).append((part["id"].to_numpy(), part["row"].to_numpy(), exact))
+                if sum(len(ids) for ids, _, _ in held[dim]) >= rows_per_block:
+                    yield close(dim)
+        for dim in list(held):
+            yield close(dim)
+
+    return vectors.select("row", "id", "dim", "v").mapInArrow(encode, "dim int, block long, n long, ids binary, rows binary, codes binary, low binary, width binary")
+
+
+def _scanned(blocks: DataFrame, asked: DataFrame, k: int, queries_per_block: int) -> DataFrame:
+    """(query_id, row, lower, upper): rows of each block that may be among the k best of it.
+
+    Every block of codes meets every block of queries once; a byte per component is all that is
+    copied of the rows.
+    """
+    asks = max(1, -(-asked.count() // queries_per_block))
+    names = written(blocks.select("dim", "block"), "block-names")
+    left = blocks.withColumn("ask", F.explode(F.sequence(F.lit(0), F.lit(asks - 1))))
+    right = asked.withColumn("ask", F.pmod(F.xxhash64("id"), F.lit(asks)).cast("int")).join(names, "dim")
+
+    def scan(block: pa.Table, queries: pa.Table) -> pa.Table:
+        found: list[tuple[np.ndarray, ...]] = []
+        for b in block.to_pylist() if queries.num_rows else []:
+            ids, rows = np.frombuffer(b["ids"], np.int64), np.frombuffer(b["rows"], np.int64)
+            codes = np.frombuffer(b["codes"], np.uint8).reshape(b["n"], b["dim"])
+            grid = Grid(np.frombuffer(b["low"]), np.frombuffer(b["width"]))
+            wanted, exact = queries["id"].to_numpy(), queries["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, b["dim"])
+            for i in range(0, len(wanted), 128):
+                centres, radius = grid.bounds(codes, exact[i : i + 128])
+                centres[wanted[i : i + 128, None] == ids[None, :]] = -np.inf  # not a query's own row
+                least = np.partition(centres, len(ids) - k, axis=1)[:, len(ids) - k] if len(ids) > k else np.full(len(centres), -np.inf)
+                q, r = np.nonzero((centres >= least[:, None] - 2 * radius[:, None]) & (centres > -np.inf))
+                found.append((wanted[i + q], rows[r], centres[q, r] - radius[q], centres[q, r] + radius[q]))
+        columns = [np.concatenate(x) for x in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 2 + [np.zeros(0)] * 2
+        return pa.table(dict(zip(("query_id", "row", "lower", "upper"), map(pa.array, columns), strict=True)))
+
+    keys = ("dim", "block", "ask")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(scan, "query_id long, row long, lower double, upper double")
+
+
+def _best(rows: DataFrame, k: int, *order: Column | str) -> DataFrame:
+    return rows.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order))).filter(F.col("rank") <= k)
+
+
+def _reaching(rows: DataFrame, certain: DataFrame, k: int) -> DataFrame:
+    """Rows whose upper bound reaches the least of a query's k certain scores (query_id, score)."""
+    bars = certain.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).otherwise(float("-inf")).alias("bar"))
+    return rows.join(written(bars, "bars"), "query_id").filter("upper >= bar").drop("bar")
+
+
+def exact_scores(pairs: DataFrame, vectors: DataFrame, asked: DataFrame) -> DataFrame:
+    """(query_id, vec_id, score) of pairs (query_id, row): the one place that reads exact vectors."""
+    wanted = vectors.filter(may_hold(pairs.select("row"))("row")).select("row", F.col("id").alias("vec_id"), "v")
+    both = pairs.select("query_id", "row").join(wanted, "row").join(asked.select(F.col("id").alias("query_id"), F.col("v").alias("q")), "query_id")
+    score = F.aggregate(F.zip_with("q", "v", lambda a, b: a * b), F.lit(0.0), lambda total, x: total + x)
+    return both.select("query_id", "vec_id", score.cast("long").alias("score"))
+
+
+def exact_top_k(rows: DataFrame, queries: DataFrame, *, key: str = "vec_id", vector: str = "vector", k: int = 5, rows_per_block: int = 16384, queries_per_block: int = 1024) -> DataFrame:
     """For each query the k rows with the highest inner product, other than rows with its own key.
 
     Vectors are arrays of whole numbers as doubles; sums of products must stay below 2**53. Returns
@@ -64,46 +131,29 @@ def exact_top_k(rows: DataFrame, queries: DataFrame, *, key: str = "vec_id", vec
     Rows or queries whose vector is null, or holds null or non-finite components, take no part, nor
     do those with a null key. Only vectors of equal length are compared. A query key that occurs
     more than once is asked once, with the least of its vectors. Rows that repeat are each a result.
-    Empty tables give an empty result, and fewer than k rows give fewer results.
+    Other columns are left out. Empty tables give an empty result, and fewer than k rows give fewer
+    results.
     """
-    rows = rows.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).filter(F.col("id").isNotNull() & _whole(F.col("v")))
-    queries = queries.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).filter(F.col("id").isNotNull() & _whole(F.col("v")))
-    queries = queries.groupBy("id").agg(F.min("v").alias("v"))
-    blocks, asked = max(1, -(-rows.count() // rows_per_block)), max(1, -(-queries.count() // queries_per_block))
-    # Every block of rows meets every block of queries once: each is copied once per block of the other side.
-    own = F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(blocks))
-    left = rows.select("id", "v", F.size("v").alias("dim"), own.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(asked - 1))).alias("ask"))
-    right = queries.select("id", "v", F.size("v").alias("dim"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"), F.pmod(F.xxhash64("id"), F.lit(asked)).cast("int").alias("ask"))
-    schema = "query_id long, vec_id long, score long"
-
-    def scan(block: pa.Table, asks: pa.Table) -> pa.Table:
-        found: list[tuple[int, int, int]] = []
-        if block.num_rows and asks.num_rows:
-            ids, wanted = block["id"].to_numpy(), asks["id"].to_numpy()
-            exact, probes = _matrix(block["v"]), _matrix(asks["v"])
-            file = ApproximationFile(exact)
-            for i in range(0, len(wanted), 128):
-                lower, upper = file.bounds(probes[i : i + 128])
-                for j, name in enumerate(wanted[i : i + 128]):
-                    lower[j][ids == name] = upper[j][ids == name] = -np.inf
-                    found += [(int(name), other, int(score)) for score, other in file.search(probes[i + j], ids, lower[j], upper[j], k)]
-        return pa.table({n: pa.array([f[i] for f in found], pa.int64()) for i, n in enumerate(("query_id", "vec_id", "score"))})
-
-    keys = ("dim", "block", "ask")
-    local = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(scan, schema)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return local.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    columns = (F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    vectors = rows.select(*columns).filter(F.col("id").isNotNull() & _whole(F.col("v"))).withColumn("dim", F.size("v"))
+    vectors = written(vectors.withColumn("row", F.monotonically_increasing_id()), "vectors")
+    asked = queries.select(*columns).filter(F.col("id").isNotNull() & _whole(F.col("v"))).groupBy("id").agg(F.min("v").alias("v"))
+    asked = written(asked.withColumn("dim", F.size("v")), "queries")
+    blocks = written(_approximated(vectors, rows_per_block), "approximation")
+    found = written(_scanned(blocks, asked, k, queries_per_block), "bounded")
+    lower = _best(found, k, F.desc("lower")).select("query_id", F.col("lower").alias("score"))
+    left = written(_best(_reaching(found, lower, k), 1 << 30, F.desc("upper")), "candidates")
+    first = written(exact_scores(left.filter(F.col("rank") <= k), vectors, asked), "first-scores")
+    rest = exact_scores(_reaching(left.filter(F.col("rank") > k), first, k), vectors, asked)
+    scores = written(first.unionByName(rest), "scores")
+    discard(blocks, found, left, first, vectors, asked)
+    return _best(scores, k, F.desc("score"), "vec_id").select("query_id", "rank", "vec_id", "score")
 
 
 def _whole(vector: Column) -> Column:
     return F.coalesce((F.size(vector) > 0) & F.forall(vector, lambda x: x.isNotNull() & (F.abs(x) < float("inf")) & ~F.isnan(x)), F.lit(False))
 
 
-def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    flat = column.combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(column), -1)
-
-
 def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     whole = F.transform("embedding", lambda x: F.when(x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")), x.cast("double") * 256))
