@@ -1,28 +1,33 @@
 """Two-pass external shuffle into shards.
 
-Pass one scatters rows over memory-sized buckets by a seeded hash of their key. Pass two reads one
-bucket at a time, runs a Fisher-Yates shuffle over it and writes it. The written buckets, one after
-the other, are a shuffled order of the whole table; shards are equal runs of that order.
+Pass one scatters rows over memory-sized buckets by a seeded hash. Pass two reads one bucket after
+the other, runs a Fisher-Yates shuffle over each and writes it. The written buckets, one after the
+other, are a shuffled order of the whole table; shards are equal runs of that order.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import read_table, written
+from .common import each_group, read_table, written
 
-_BUCKET, _PART, _POS, _ORDER = "__sh_bucket", "__sh_part", "__sh_pos", "__sh_order"
+_RUN, _BUCKET, _PART, _POS, _ORDER = "__sh_run", "__sh_bucket", "__sh_part", "__sh_pos", "__sh_order"
 
-#: Rows up to which a table of buckets is broadcast: 24 bytes each, 24 MB in all.
-BROADCAST_BUCKETS = 1_000_000
+#: Buckets that one task of pass two works through, at most; 2 GB of the usual size.
+RUN_BUCKETS = 64
+#: Rows up to which a table of runs or of overfull buckets is broadcast: 24 bytes each, 24 MB in
+#: all. A million runs are 2 PB, and a million overfull buckets 64 TB of repeated rows.
+BROADCAST_ROWS = 1_000_000
 
 
 def _spread(table: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(table) if rows <= BROADCAST_BUCKETS else table
+    return F.broadcast(table) if rows <= BROADCAST_ROWS else table
 
 
 def shuffle_to_shards(df: DataFrame, *, shards: int, key: str = "doc_id", text: str = "text", seed: int = 0, bucket_bytes: int = 32 << 20, least_buckets: int = 64) -> DataFrame:
@@ -30,61 +35,62 @@ def shuffle_to_shards(df: DataFrame, *, shards: int, key: str = "doc_id", text:
 
     Returns df with size (UTF-8 bytes of text plus 1, long), shard (int) and slot (long, gapless
     from 0 in each shard, the shuffled order). The order depends on seed, keys and texts, not on how
-    the table is laid out.
+    the table is laid out, unless rows of one key and text overfill a bucket: those are dealt over
+    parts by their place in the table.
 
-    A null text has size 1 and a null key is a key like others. Rows that repeat are all dealt. A
-    bucket that repeated keys make larger than two buckets is split by row, so no task gets more
-    than about two buckets' bytes and one row. An empty table gives an empty result. Other columns
-    are passed through; those named size, shard or slot are replaced.
+    A null text has size 1 and a null key is a key like others. Rows that repeat are all dealt. No
+    task holds more than about two buckets' bytes and one row at once. An empty table gives an empty
+    result. Other columns are passed through; those named size, shard or slot are replaced.
     """
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
     base = df.drop("shard", "slot").withColumn("size", size)
     total = base.agg(F.sum("size")).first()[0] or 0
     buckets = max(least_buckets, -(-total // bucket_bytes))
-    placed = base.withColumn(_BUCKET, F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(buckets)))
+    in_run = max(1, min(RUN_BUCKETS, buckets // 1024))
+    placed = base.withColumn(_BUCKET, F.pmod(F.xxhash64(F.lit(seed), F.col(key), F.col(text)), F.lit(buckets)))
     heavy = placed.groupBy(_BUCKET).agg(F.sum("size").alias("__sh_bytes")).filter(F.col("__sh_bytes") > 2 * bucket_bytes)
-    heavy = heavy.select(_BUCKET, F.ceil(F.col("__sh_bytes") / bucket_bytes).alias("__sh_parts"))
-    some = heavy.limit(BROADCAST_BUCKETS + 1).collect() if total > 2 * bucket_bytes else []
-    if some:
-        parts = df.sparkSession.createDataFrame(some, heavy.schema) if len(some) <= BROADCAST_BUCKETS else heavy
-        placed = placed.join(_spread(parts, len(some)), _BUCKET, "left")
+    heavy = written(heavy.select(_BUCKET, F.ceil(F.col("__sh_bytes") / bucket_bytes).alias("__sh_parts")), "overfull-buckets")
+    overfull, parts = heavy.agg(F.count(F.lit(1)), F.coalesce(F.sum("__sh_parts"), F.lit(0))).first()
+    if overfull:
+        placed = placed.join(_spread(heavy, overfull), _BUCKET, "left")
         row = F.xxhash64(F.lit(seed), F.monotonically_increasing_id())
         placed = placed.withColumn(_PART, F.coalesce(F.pmod(row, F.col("__sh_parts")), F.lit(0).cast("long"))).drop("__sh_parts")
     else:
         placed = placed.withColumn(_PART, F.lit(0).cast("long"))
-    placed = placed.withColumn(_ORDER, F.xxhash64(F.lit(seed), F.col(key), F.col(text)))
-
-    schema = T.StructType([*(f for f in placed.schema if f.name != _ORDER), T.StructField(_POS, T.LongType())])
-
-    def fisher_yates(bucket: pa.Table) -> pa.Table:
-        order = np.argsort(bucket[_ORDER].to_numpy(), kind="stable")  # the order rows came in is chance
-        rng = np.random.default_rng([seed & 0xFFFFFFFF, bucket[_BUCKET][0].as_py(), bucket[_PART][0].as_py()])
-        rng.shuffle(order)
-        dealt = bucket.drop_columns([_ORDER]).take(pa.array(order))
-        return dealt.append_column(_POS, pa.array(np.arange(len(order))))
-
-    shuffled = written(placed.groupBy(_BUCKET, _PART).applyInArrow(fisher_yates, schema), "shuffled")
+    # a run is what one task takes; parts of a bucket are runs of their own
+    placed = placed.withColumn(_RUN, F.expr(f"{_BUCKET} div {in_run}")).withColumn(_ORDER, F.xxhash64(F.lit(seed + 1), F.col(key), F.col(text)))
+    tasks = min(-(-buckets // in_run) + parts, 100_000)
+
+    schema = T.StructType([*(f for f in placed.schema if f.name not in (_ORDER, _BUCKET)), T.StructField(_POS, T.LongType())])
+
+    def fisher_yates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run, at = None, 0
+        for bucket in each_group(batches, [_RUN, _PART, _BUCKET]):
+            name = (bucket[_RUN][0].as_py(), bucket[_PART][0].as_py())
+            run, at = name, at if name == run else 0  # positions go on through the buckets of a run
+            order = np.argsort(bucket[_ORDER].to_numpy(), kind="stable")  # the order rows came in is chance
+            rng = np.random.default_rng([seed & 0xFFFFFFFF, bucket[_BUCKET][0].as_py(), name[1]])
+            rng.shuffle(order)
+            dealt = bucket.drop_columns([_ORDER, _BUCKET]).take(pa.array(order))
+            yield from dealt.append_column(_POS, pa.array(at + np.arange(len(order)))).to_batches(10_000)
+            at += len(order)
+
+    scattered = placed.repartition(tasks, _RUN, _PART).sortWithinPartitions(_RUN, _PART, _BUCKET)
+    shuffled = written(scattered.mapInArrow(fisher_yates, schema), "shuffled")
     return _deal(shuffled, shards)
 
 
 def _deal(shuffled: DataFrame, shards: int) -> DataFrame:
-    """Shards and slots of written buckets, from the running sum of their row counts.
-
-    The sum is taken over runs of 1024 buckets and then within each run, so that no task holds the
-    counts of all buckets.
-    """
-    counts = shuffled.groupBy(_BUCKET, _PART).count().withColumn("__sh_run", F.expr(f"{_BUCKET} div 1024"))
-    counts = written(counts, "shuffled-counts")
-    buckets, rows = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("count"), F.lit(0))).first()
-    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
-    runs = counts.groupBy("__sh_run").agg(F.sum("count").alias("n"))
-    runs = runs.select("__sh_run", F.coalesce(F.sum("n").over(before(Window.orderBy("__sh_run"))), F.lit(0)).alias("__sh_base"))
-    within = F.coalesce(F.sum("count").over(before(Window.partitionBy("__sh_run").orderBy(_BUCKET, _PART))), F.lit(0))
-    offsets = counts.withColumn("__sh_within", within).join(runs, "__sh_run").select(_BUCKET, _PART, (F.col("__sh_base") + F.col("__sh_within")).alias("__sh_start"))
+    """Shards and slots of written runs, from the running sum of their row counts: one row per run,
+    so that the sum is one small task and its result is broadcast, without a second shuffle."""
+    counts = written(shuffled.groupBy(_RUN, _PART).count(), "shuffled-counts")
+    runs, rows = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("count"), F.lit(0))).first()
+    before = Window.orderBy(_RUN, _PART).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(_RUN, _PART, F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__sh_start"))
     place = F.col("__sh_start") + F.col(_POS)
-    dealt = shuffled.join(_spread(offsets, buckets), [_BUCKET, _PART]).withColumn("shard", F.expr(f"cast((__sh_start + {_POS}) * {shards} div {max(rows, 1)} as int)"))
+    dealt = shuffled.join(_spread(starts, runs), [_RUN, _PART]).withColumn("shard", F.expr(f"cast((__sh_start + {_POS}) * {shards} div {max(rows, 1)} as int)"))
     first = F.expr(f"(cast(shard as long) * {rows} + {shards - 1}) div {shards}")  # ceil(shard * rows / shards)
-    return dealt.withColumn("slot", (place - first).cast("long")).drop(_BUCKET, _PART, _POS, "__sh_start")
+    return dealt.withColumn("slot", (place - first).cast("long")).drop(_RUN, _PART, _POS, "__sh_start")
 
 
 def write_shards(dealt: DataFrame, path: str) -> None:
