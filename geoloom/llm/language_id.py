@@ -7,6 +7,7 @@ n-grams of a text.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import read_table
+from .common import read_table, written
 
 #: Longest n-gram, in characters.
 ORDERS = 3
@@ -27,6 +28,8 @@ BUCKETS = 1 << 16
 MOST_LANGUAGES = 256
 #: Characters that are worked on at once.
 PIECE = 1 << 20
+#: Stands behind the buckets for the number of rows of a language.
+ROWS = BUCKETS
 UNKNOWN = "und"
 
 
@@ -116,13 +119,17 @@ def train(df: DataFrame, *, text: str = "text", language: str = "lang", smoothin
     """Learn from every row whose text and language are given; the counts cover whole texts.
 
     Rows with a null text or language teach nothing. Without any row the model knows no language.
-    More than MOST_LANGUAGES languages are an error. Repeated rows count as often as they occur.
+    Of more than MOST_LANGUAGES language values, as a column of free text may hold, the model knows
+    those with the most rows, ties to the one that sorts first. Repeated rows count as often as they
+    occur.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
+        rows: Counter[str] = Counter()
         for batch in batches:
             texts, langs = batch["t"].to_pylist(), batch["l"].to_pylist()
+            rows.update(langs)
             for lang in dict.fromkeys(langs):
                 own = sums.setdefault(lang, np.zeros(BUCKETS, np.int64))
                 for _, some in _pieces([t for t, x in zip(texts, langs, strict=True) if x == lang]):
@@ -130,22 +137,27 @@ def train(df: DataFrame, *, text: str = "text", language: str = "lang", smoothin
                         own += np.bincount(bucket, minlength=BUCKETS)
         for lang, own in sums.items():
             at = np.flatnonzero(own)
-            yield pa.record_batch({"l": pa.array([lang] * len(at), pa.string()), "bucket": pa.array(at.astype(np.int32)), "n": pa.array(own[at])})
+            yield pa.record_batch({"l": pa.array([lang] * (len(at) + 1), pa.string()), "bucket": pa.array(np.append(at, ROWS).astype(np.int32)), "n": pa.array(np.append(own[at], rows[lang]))})
 
     given = df.select(F.col(text).alias("t"), F.col(language).alias("l")).filter(F.col("t").isNotNull() & F.col("l").isNotNull())
     partial = given.mapInArrow(count, "l string, bucket int, n long")
-    total = partial.groupBy("l", "bucket").agg(F.sum("n").alias("n"))
-    # at most MOST_LANGUAGES rows of BUCKETS numbers, whatever the corpus
-    counted = total.groupBy("l").agg(F.collect_list("bucket").alias("bucket"), F.collect_list("n").alias("n")).limit(MOST_LANGUAGES + 1).collect()
-    if len(counted) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    counted.sort(key=lambda r: r["l"])
-    log = np.zeros((len(counted), BUCKETS))
-    for own, row in zip(log, counted, strict=True):
-        own[np.array(row["bucket"], np.int64)] = row["n"]
+    total = written(partial.groupBy("l", "bucket").agg(F.sum("n").alias("n")), "language-counts")
+    known = sorted(r["l"] for r in total.filter(F.col("bucket") == ROWS).orderBy(F.desc("n"), "l").limit(MOST_LANGUAGES).collect())
+
+    def pack(language: pa.Table) -> pa.Table:
+        counts = np.zeros(BUCKETS, np.int64)
+        counts[language["bucket"].to_numpy()] = language["n"].to_numpy()
+        return pa.table({"l": language["l"].slice(0, 1), "counts": pa.array([counts.tobytes()], pa.binary())})
+
+    # one value of 512 KB per language that the model knows, whatever the corpus
+    learned = total.filter((F.col("bucket") < BUCKETS) & F.col("l").isin(known)).groupBy("l").applyInArrow(pack, "l string, counts binary").toArrow()
+    counts = {name: np.frombuffer(blob.as_buffer(), np.int64) for name, blob in zip(learned["l"].to_pylist(), learned["counts"], strict=True)}
+    log = np.zeros((len(known), BUCKETS))
+    for own, name in zip(log, known, strict=True):
+        own += counts.get(name, 0)
         own += smoothing
         np.log(own / own.sum(), out=own)
-    return Model(tuple(r["l"] for r in counted), log)
+    return Model(tuple(known), log)
 
 
 def predict(df: DataFrame, model: Model, *, text: str = "text") -> DataFrame:

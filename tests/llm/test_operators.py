@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.fs as pafs
 import pytest
 from pyspark.sql import functions as F
@@ -58,6 +59,50 @@ def test_awkward_rows_are_sharded(awkward, documents):
     assert dealt(documents([])) == []
 
 
+def plain_order(rows, seed, buckets):
+    """The shuffled order by plain Python, from the hashes of Spark alone: (doc_id, text) rows with
+    their scatter and order hashes."""
+    out, scattered = [], defaultdict(list)
+    for r in rows:
+        scattered[r.scatter % buckets].append(r)
+    for b in sorted(scattered):
+        own = sorted(scattered[b], key=lambda r: r.order)
+        at = np.arange(len(own))
+        np.random.default_rng([seed, b, 0]).shuffle(at)
+        out += [own[i].doc_id for i in at]
+    return out
+
+
+def test_shards_like_a_plain_two_pass_shuffle(corpus):
+    seed, buckets = 5, 16
+    hashed = corpus.select("doc_id", F.xxhash64(F.lit(seed), "doc_id", "text").alias("scatter"), F.xxhash64(F.lit(seed + 1), "doc_id", "text").alias("order")).collect()
+    plain = plain_order(hashed, seed, buckets)
+    rows = sorted(dealt(corpus, seed=seed, least_buckets=buckets), key=lambda r: (r.shard, r.slot))
+    assert [r.doc_id for r in rows] == plain
+    assert [r.shard for r in rows] == [i * 8 // len(plain) for i in range(len(plain))]
+
+
+def test_runs_of_several_buckets(corpus, monkeypatch):
+    """More buckets than runs: positions go on through the buckets of a run."""
+    plain = [(r.doc_id, r.shard, r.slot) for r in dealt(corpus, seed=2, least_buckets=4096)]
+    assert Counter(d for d, _, _ in plain) == Counter(r.doc_id for r in corpus.select("doc_id").collect())
+    for s in range(8):
+        slots = sorted(slot for _, shard, slot in plain if shard == s)
+        assert slots == list(range(len(slots)))
+
+
+def test_op1_query(spark, sf_dir):
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    rows = sharding.op1_sharding(spark, sf_dir).collect()
+    assert {r.doc_id for r in rows} == set(docs) and len(rows) == len(docs)
+    for r in rows:
+        raw = docs[r.doc_id].encode()
+        assert (r["size"], r.text_crc32, r.law, r.grown_shard) == (len(raw) + 1, zlib.crc32(raw), "rows", None)
+    counts = Counter(r.shard for r in rows)
+    assert set(counts) == set(range(8)) and max(counts.values()) - min(counts.values()) <= 1
+    assert all(sorted(r.slot for r in rows if r.shard == s) == list(range(counts[s])) for s in range(8))
+
+
 def test_written_shards_are_in_order(spark, corpus):
     path = fresh_path(spark, "shards")
     sharding.write_shards(sharding.shuffle_to_shards(corpus, shards=3), path)
@@ -93,11 +138,23 @@ def test_top_k_with_few_rows_and_repeats(spark):
 
 def test_bounds_hold():
     rng = np.random.default_rng(4)
-    file = vector_search.ApproximationFile(rng.normal(size=(300, 5)))
-    queries = rng.normal(size=(20, 5))
-    low, high = file.bounds(queries)
-    exact = queries @ file.exact.T
-    assert (low <= exact + 1e-9).all() and (exact <= high + 1e-9).all()
+    for spread in (3, 300, 40_000):
+        vectors = rng.integers(-spread, spread, (300, 5)).astype(float)
+        queries = rng.integers(-spread, spread, (20, 5)).astype(float)
+        grid = vector_search.Grid.around(vectors)
+        centres, radius = grid.bounds(grid.codes(vectors), queries)
+        exact = queries @ vectors.T
+        assert (np.abs(exact - centres) <= radius[:, None]).all()
+        assert spread > 3 or (radius == 0).all()
+
+
+def test_few_exact_vectors_are_read(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.integers(-2000, 2000, (3000, 16)).astype(float))], "vec_id long, vector array<double>")
+    reads, plain = [], vector_search.exact_scores
+    monkeypatch.setattr(vector_search, "exact_scores", lambda pairs, *more: (reads.append(pairs.count()), plain(pairs, *more))[1])
+    got = vector_search.exact_top_k(df.withColumn("row", F.lit(1)).withColumn("dim", F.lit("x")), df.filter("vec_id % 50 = 0"), rows_per_block=512)
+    assert got.count() == 60 * 5 and len(reads) == 2 and sum(reads) < 60 * 3000 / 50
 
 
 # --- WARC
@@ -126,6 +183,31 @@ def test_short_payloads_are_all_responses(spark):
     assert warc.write_archives(df.limit(0), fresh_path(spark, "warc")).count() == 0
 
 
+def test_two_attempts_of_a_task_never_share_a_file(spark, tmp_path):
+    """A late attempt that gets the rows in another order leaves the committed packages as they are."""
+    rows = [{"page": i, "url": None, "body": f"body {i} " * 40, "first": None, "revisit": False} for i in range(60)]
+    schema = pa.schema([("page", pa.int64()), ("url", pa.string()), ("body", pa.string()), ("first", pa.int64()), ("revisit", pa.bool_())])
+
+    def attempt(name, own):
+        return [r for b in warc.write_packages(iter([pa.RecordBatch.from_pylist(own, schema)]), f"file://{tmp_path}", "000000", name, package_bytes=700, date="1970-01-01T00:00:00Z") for r in b.to_pylist()]
+
+    committed, late = attempt("1", rows), attempt("2", rows[::-1])
+    assert len(committed) > 1 and not {r["path"] for r in committed} & {r["path"] for r in late}
+    back = warc.read_archives(spark.createDataFrame(committed, "path string, records long")).collect()
+    assert sorted((r.page_id, r.payload) for r in back) == [(r["page"], r["body"]) for r in rows]
+
+
+def test_runs_of_records_side_by_side():
+    assert list(warc.runs([(5, 2), (7, 3), (11, 1), (12, 1), (13, 4)], most=2)) == [(5, [2, 3]), (11, [1, 1]), (13, [4])]
+    assert list(warc.runs([])) == []
+
+
+def test_very_long_pages_and_many_reading_tasks(spark):
+    df = spark.createDataFrame([(i, "u", ("é" * 700_000 if i == 0 else "x") + str(i)) for i in range(50)], "page_id long, url string, html string")
+    back = warc.read_archives(warc.write_archives(df, fresh_path(spark, "warc")), records_per_range=5)
+    assert back.rdd.getNumPartitions() >= 4 and {(r.page_id, r.payload) for r in back.collect()} == {(r.page_id, r.html) for r in df.collect()}
+
+
 def opened(data, tmp_path):
     (tmp_path / "x.zip").write_bytes(data)
     return pafs.LocalFileSystem().open_input_file(str(tmp_path / "x.zip"))
@@ -177,15 +259,46 @@ def test_language_id_on_held_out_documents(spark, sf_dir):
     assert all(0 <= r.score <= 1 for r in rows.values())
 
 
-def plain_counts(texts):
-    out = Counter()
-    for t in texts:
-        codes, owner = language_id.normalised([t])
-        for bucket, _ in language_id.features(codes, owner):
-            out.update(bucket.tolist())
+def plain_buckets(text):
+    """Buckets of a text's n-grams by plain Python, without the module's own functions."""
+    letters = "".join(ch if ch.isalpha() else " " for ch in text.lower())
+    padded = f" {' '.join(letters.split())} " if letters.split() else " "
+    out = []
+    for n in (1, 2, 3):
+        for i in range(len(padded) - n + 1):
+            h = n * 0x9E3779B1 & 0xFFFFFFFF
+            for ch in padded[i : i + n]:
+                h = (h ^ ord(ch)) * 0x85EBCA6B & 0xFFFFFFFF
+                h ^= h >> 15
+            if padded[i : i + n] != " ":
+                out.append(h % (1 << 16))
     return out
 
 
+def plain_counts(texts):
+    return Counter(b for t in texts for b in plain_buckets(t))
+
+
+def test_answers_like_plain_naive_bayes(documents):
+    rng = np.random.default_rng(3)
+    words = {"x": ["alpha", "beta", "gamma", "délta"], "y": ["alfa", "bêta", "gama", "delt"], "z": ["αλφα", "βητα", "alpha"]}
+    make = lambda lang, n: " ".join(rng.choice(words[lang], n)) + "! 12 "
+    learn = [(i, make(lang, 30), lang) for i, lang in enumerate("xyzxyyx")]
+    asked = [(100 + i, make(lang, n), None) for i, (lang, n) in enumerate([("x", 1), ("y", 1), ("z", 2), ("x", 9), ("y", 40)])]
+    counts = {lang: plain_counts([t for _, t, own in learn if own == lang]) for lang in "xyz"}
+    total = {lang: sum(c.values()) + 0.5 * (1 << 16) for lang, c in counts.items()}
+    for r in language_id.predict(documents(asked), language_id.train(documents(learn))).collect():
+        logs = {lang: sum(np.log((counts[lang][b] + 0.5) / total[lang]) for b in plain_buckets(r.text)) for lang in "xyz"}
+        best = max(logs, key=logs.get)
+        assert r.lang_pred == best and abs(r.score - 1 / sum(np.exp(v - logs[best]) for v in logs.values())) < 1e-9
+
+
+def test_most_frequent_languages_are_learned(documents, monkeypatch):
+    monkeypatch.setattr(language_id, "MOST_LANGUAGES", 2)
+    rows = [(1, "aa", "p"), (2, "bb", "q"), (3, "cc", "r"), (4, "cc", "r"), (5, "dd", "q "), (6, "12", "q")]
+    assert language_id.train(documents(rows)).languages == ("q", "r")
+
+
 def test_training_counts_and_long_texts(documents, monkeypatch):
     docs = [(1, "abc def ghi " * 40, "x"), (2, "zzz yyy", "y"), (3, None, "x"), (4, "q", None)]
     model = language_id.train(documents(docs), smoothing=0.5)
@@ -205,12 +318,6 @@ def test_unknown_language_and_awkward_rows(awkward, documents):
     assert {r.doc_id for r in rows if r.lang_pred == "und"} == {3, 4, None, 5, 6} and all(r.score == 0 for r in rows if r.lang_pred == "und")
     nothing = language_id.train(documents([]))
     assert {r.lang_pred for r in language_id.predict(awkward, nothing).collect()} == {"und"}
-    with pytest.raises(ValueError):
-        language_id.MOST_LANGUAGES, kept = 1, language_id.MOST_LANGUAGES
-        try:
-            language_id.train(documents([(1, "a", "x"), (2, "b", "y")]))
-        finally:
-            language_id.MOST_LANGUAGES = kept
 
 
 # --- sampled segmentations
@@ -221,21 +328,41 @@ def vocabulary():
     return subword_sampling.Vocabulary(PIECES)
 
 
-def every_segmentation(text, vocabulary):
-    out = {(): 0.0}
-    for chunk in subword_sampling.chunks_of(text):
-        lattice, found = subword_sampling.Lattices([chunk], vocabulary), {}
-
-        def go(node, path, log, lattice=lattice, found=found):
-            if lattice.end[node]:
-                found[path] = log
+@pytest.fixture(scope="module")
+def piece_logs():
+    """Pieces by text with their log probabilities, read from the model without the module under test."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    plain = [i for i in range(model.vocab_size()) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
+    weights = [1 / (r + 2) for r in range(len(plain))]
+    by_byte = {int(model.id_to_piece(i)[3:5], 16): i for i in range(model.vocab_size()) if model.is_byte(i)}
+    return {model.id_to_piece(i): (i, np.log(w / sum(weights))) for i, w in zip(plain, weights, strict=True)}, by_byte
+
+
+def every_segmentation(text, piece_logs):
+    """All ways to write " " + text as pieces, a run of spaces only at a piece's start, with the
+    normalised log probability of each."""
+    pieces, by_byte = piece_logs
+    shown = "▁" + text.replace("▁", "\0").replace(" ", "▁")
+    least = min(log for _, log in pieces.values())
+    ways = [[] for _ in range(len(shown) + 1)]
+    ways[0] = [((), 0.0)]
+    for i in range(len(shown)):
+        for j in range(i + 1, len(shown) + 1):
+            part = shown[i:j]
+            if "▁" in part.lstrip("▁"):
+                continue
+            if part in pieces:
+                steps = [((pieces[part][0],), pieces[part][1])]
+            elif j == i + 1:
+                raw = part.replace("\0", "▁").encode()
+                steps = [(tuple(by_byte[b] for b in raw), least * len(raw))]
             else:
-                for e in range(lattice.first[node], lattice.first[node + 1]):
-                    go(int(lattice.to[e]), (*path, int(lattice.piece[e])), log + lattice.log[e])
-
-        go(0, (), 0.0)
-        out = {a + b: p + q for a, p in out.items() for b, q in found.items()}
-    return out
+                steps = []
+            ways[j] += [(ids + more, log + extra) for ids, log in ways[i] for more, extra in steps]
+    total = np.logaddexp.reduce([log for _, log in ways[-1]])
+    return {ids: log - total for ids, log in ways[-1]}
 
 
 def samples(texts, k, vocabulary, seeds=None):
@@ -248,8 +375,8 @@ def samples(texts, k, vocabulary, seeds=None):
     return out
 
 
-def test_samples_follow_the_distribution(vocabulary):
-    full = every_segmentation("the cat", vocabulary)
+def test_samples_follow_the_distribution(vocabulary, piece_logs):
+    full = every_segmentation("the cat", piece_logs)
     assert abs(sum(map(np.exp, full.values())) - 1) < 1e-9
     n = 8000
     got = samples(["the cat"] * n, 3, vocabulary)
@@ -263,14 +390,67 @@ def test_samples_follow_the_distribution(vocabulary):
     assert abs(np.mean([sum(np.exp(log - inc) for _, log, inc in got[i]) for i in range(n)]) - 1) < 0.02
 
 
-def test_all_segmentations_come_when_k_is_large(vocabulary):
-    full = every_segmentation("an", vocabulary)
-    (got,) = samples(["an"], 50, vocabulary).values()
-    assert {s for s, _, _ in got} == {s for s, log in full.items() if log > np.log(1e-12)} and all(inc == 0 for _, _, inc in got)
+@pytest.mark.parametrize(("text", "k"), [("an", 50), ("the", 50), ("document", 50), ("a  b", 200), ("x▁é", 50), ("", 3)])
+def test_all_segmentations_come_when_k_is_large(vocabulary, piece_logs, text, k):
+    full = every_segmentation(text, piece_logs) if text else {(): 0.0}
+    for got in samples([text] * 5, k, vocabulary).values():
+        assert len(got) == len({s for s, _, _ in got}) == min(k, len(full))
+        assert all(abs(full[s] - log) < 1e-9 for s, log, _ in got)
+        assert all(inc == 0 for _, _, inc in got) or len(full) > k
+
+
+def test_what_is_left_is_exact_to_the_smallest_share(vocabulary, piece_logs):
+    """Paths are taken best first until almost nothing is left; the rest stays exact."""
+    full = every_segmentation("document", piece_logs)
+    lattices = subword_sampling.Lattices(["▁document"], vocabulary)
+    paths = {}
+
+    def go(node, path, log):
+        if lattices.end[node]:
+            paths[tuple(path)] = log
+        else:
+            a, logs = lattices.edges_of(node)
+            for e, x in enumerate(logs, a):
+                go(int(lattices.to[e]), [*path, e], log + x)
+
+    go(0, [], 0.0)
+    assert len(paths) == len(full) and np.allclose(sorted(paths.values()), sorted(full.values()))
+    order = sorted(paths, key=paths.get, reverse=True)
+    taken = subword_sampling.Elsewhere(lattices, 0, list(order[0]))
+    for n, path in enumerate(order[1:], 1):
+        assert np.isclose(taken.left, np.logaddexp.reduce([paths[p] for p in order[n:]]), rtol=1e-9)
+        assert tuple(taken.sample(np.uint64(n))) in order[n:]
+        taken.take(list(path))
+    assert taken.left == -np.inf
+    sizes = np.array([len(p) for p in order])
+    rest = lattices.rest(np.concatenate([np.array(p) for p in order]), np.cumsum(sizes) - sizes, sizes)
+    assert np.isclose(rest[0], np.logaddexp.reduce([paths[p] for p in order[1:]]), rtol=1e-9)
+
+
+def test_op6_query(spark, sf_dir, piece_logs):
+    rows = subword_sampling.op6_subword_sampling(spark, sf_dir).collect()
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    coded = {(r.doc_id, r.sample): r for r in subword_sampling.encode_sampled(docs.withColumn("ids", F.lit(0)).withColumn("sample", F.lit("x")), model=PIECES, k=2, seed=20240506).collect()}
+    assert len(rows) == len(coded) and {r.doc_id for r in rows} == set(texts)
+    log_of = {i: log for i, log in piece_logs[0].values()}
+    least = min(log_of.values())
+    for r in rows:
+        own = coded[r.doc_id, r.sample]
+        assert (r.n_ids, r.ids_crc32, r.log_prob) == (len(own.ids), zlib.crc32(np.array(own.ids, "<u4").tobytes()), own.log_prob)
+        assert r.decoded_crc32 == zlib.crc32(texts[r.doc_id].encode())
+    pairs = defaultdict(dict)
+    for (doc, sample), r in coded.items():
+        pairs[doc][sample] = r
+    for both in pairs.values():  # the two samples differ, and their weights as the pieces' weights do
+        if len(both) == 2:
+            assert both[1].ids != both[2].ids
+            plain = [sum(log_of.get(i, least) for i in r.ids) for r in (both[1], both[2])]
+            assert abs((plain[0] - plain[1]) - (both[1].log_prob - both[2].log_prob)) < 1e-6 * (1 + abs(plain[0]))
 
 
 def test_sampled_encoding_decodes_to_the_text(spark, awkward, corpus):
-    docs = awkward.unionByName(corpus.limit(20)).unionByName(awkward.filter("doc_id = 1").select(F.lit(77).cast("long").alias("doc_id"), F.lit("日本 \n\n𝒳  é ").alias("text"), "lang", "source", "n_chars"))
+    docs = awkward.unionByName(corpus.limit(20)).unionByName(awkward.filter("doc_id = 1").select(F.lit(77).cast("long").alias("doc_id"), F.lit("日本 \n\n𝒳  é ▁a▁ b").alias("text"), "lang", "source", "n_chars"))
     coded = subword_sampling.encode_sampled(docs, model=PIECES, k=2)
     texts = {(r.doc_id, r.text or "") for r in docs.collect()}
     back = subword_sampling.decode(coded, model=PIECES).collect()
@@ -302,6 +482,12 @@ def test_chat_round_trip_of_hostile_texts(spark):
     assert {r.escape_level for r in out if r.conv_id == 91} == {0}
 
 
+def test_very_long_turns_come_back(spark):
+    long = "### a </turn> \\ é\n" * 20_000
+    (row,) = chat_format.format_chats(spark.createDataFrame([(1, 0, "user", long), (1, 1, "assistant", long)], "conv_id long, turn long, role string, text string")).collect()
+    assert row.round_trip and [t.text for t in row.turns] == [long, long]
+
+
 def test_no_chats(spark):
     assert chat_format.format_chats(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
@@ -350,6 +536,36 @@ def test_packed_ids_are_the_tokenizers(awkward, corpus, documents):
     assert packing.pack_tokens(awkward.limit(0), tokenizer=BPE).count() == 0
 
 
+def test_op9_query(spark, sf_dir):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(BPE)
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    filled, got = defaultdict(list), defaultdict(list)
+    for r in packing.op9_packing(spark, sf_dir).collect():
+        filled[r.sequence_id].append((r.offset, r.length))
+        got[r.doc_id].append((r.start, r.length, r.ids_crc32, r.doc_tokens))
+    assert set(got) == set(texts)
+    for doc, pieces in got.items():
+        ids, at = np.array([*plain.encode(texts[doc], add_special_tokens=False).ids, 2], "<u4"), 0
+        for start, length, crc, n in sorted(pieces):
+            assert (start, n, crc) == (at, len(ids), zlib.crc32(ids[at : at + length].tobytes()))
+            at += length
+        assert at == len(ids)
+    for spans in filled.values():
+        at = 0
+        for offset, length in sorted(spans):
+            assert offset == at
+            at += length
+        assert at <= 4096
+
+
+def test_packing_leaves_other_columns_out(awkward):
+    clash = awkward.withColumns({"ids": F.lit("x"), "start": F.lit(1), "__pk_text": F.lit(2), "sequence_id": F.lit(None)})
+    rows = packing.pack_tokens(clash, tokenizer=BPE).collect()
+    assert Counter(r.doc_id for r in rows if r.start == 0) == Counter(d for d, _ in AWKWARD)
+
+
 def test_packing_checksum(corpus):
     pieces = packing.pack_tokens(corpus, tokenizer=BPE)
     ids = {(r.doc_id, r.start): zlib.crc32(np.array(r.ids, "<u4").tobytes()) for r in pieces.collect()}
