@@ -13,6 +13,7 @@ Random numbers are hashes of the row's key, so a row gets the same samples where
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Callable, Iterator
@@ -31,6 +32,8 @@ from .shingles import BASE, INVERSE, mix, powers
 #: Characters of text that are worked on at once.
 PIECE_CHARS = 1 << 19
 SPACE = "▁"
+#: Stands for a U+2581 of the text itself, which becomes its UTF-8 bytes; no text holds a surrogate.
+LITERAL = "\ud800"
 _CHUNK = re.compile(f"{SPACE}+[^{SPACE}]*")
 
 
@@ -146,6 +149,28 @@ class Lattices:
         self.upto[self.first[1:][self.first[1:] > self.first[:-1]] - 1] = 2.0  # the last edge takes what is left
         self.end = np.zeros(nodes, bool)
         self.end[self.base + lengths] = True
+        self.others = self._others(node)
+
+    def _others(self, node: np.ndarray) -> np.ndarray:
+        """What the other edges of an edge's node hold: a sum of theirs, so that it is exact next to
+        an edge that takes nearly all, and 0 only where there is no other."""
+        share, out = np.exp(self.log), np.zeros(len(node))
+        at = np.arange(len(node))
+        for step in range(1, int(np.bincount(node).max(initial=0))):
+            at = at[: np.searchsorted(at, len(node) - step)]
+            at = at[node[at] == node[at + step]]
+            out[at] += share[at + step]
+            out[at + step] += share[at]  # each at + step occurs once
+        return out
+
+    def rest(self, edges: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Log of what all other paths of a chunk hold, for paths one after the other: at each edge
+        the choice of another one, anything behind it."""
+        upto = np.cumsum(self.log[edges])
+        before = upto - self.log[edges]
+        before -= np.repeat(before[starts], sizes)
+        with np.errstate(divide="ignore"):
+            return np.log(np.add.reduceat(np.exp(before) * self.others[edges], starts))
 
     def walk(self, chunk: np.ndarray, noise: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sampled edges of each chunk, one chunk after the other, and how many each has."""
@@ -167,28 +192,71 @@ class Lattices:
         owner = np.concatenate(owner)
         return np.concatenate(edges)[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(chunk))
 
-    def walk_elsewhere(self, chunk: int, others: list[tuple[int, ...]], noise: int) -> tuple[int, ...] | None:
-        """Sampled edges of one chunk that are none of others; None if there are no more."""
-        node, path, step = int(self.base[chunk]), [], 0
-        while not self.end[node]:
-            step += 1
-            a, b = int(self.first[node]), int(self.first[node + 1])
-            share = np.exp(self.log[a:b])
-            for o in others:
-                share[o[len(path)] - a] -= np.exp(self.log[list(o[len(path) :])].sum())
-            share = np.where(share > 1e-12, share, 0)
-            if not share.sum():
-                return None
-            k = int(np.searchsorted(np.cumsum(share), uniform(np.array([noise], np.uint64), step)[0] * share.sum(), "right"))
-            path.append(a + min(k, b - a - 1))
-            others = [o for o in others if o[len(path) - 1] == path[-1]]
-            node = int(self.to[path[-1]])
-        return tuple(path)
-
-
-def uniform(noise: np.ndarray, stream: int) -> np.ndarray:
+    def edges_of(self, node: int) -> tuple[int, list[float]]:
+        """First edge of a node, and the logs of all its edges."""
+        a, b = int(self.first[node]), int(self.first[node + 1])
+        return a, self.log[a:b].tolist()
+
+
+class Elsewhere:
+    """Paths of one chunk that are taken, as a tree, and the log of what is left beside them.
+
+    What is left below a node is a sum over its edges: all of an edge that no taken path goes
+    through, and what is left behind one that a path does. Nothing is subtracted, so the smallest
+    rest is as exact as the largest, and it is -inf only if every path is taken.
+    """
+
+    def __init__(self, lattices: Lattices, chunk: int, taken: list[int]) -> None:
+        self.lattices, self.node = lattices, int(lattices.base[chunk])
+        self.root: dict = {}
+        self.take(taken)
+
+    @property
+    def left(self) -> float:
+        return self.root["left"]
+
+    def _weights(self, node: int, taken: dict) -> tuple[int, list[float]]:
+        a, logs = self.lattices.edges_of(node)
+        for e, below in taken.items():
+            if e != "left":
+                logs[e - a] += below["left"]
+        return a, logs
+
+    def take(self, path: list[int]) -> None:
+        at, trail = self.root, [(self.node, self.root)]
+        for e in path:
+            at = at.setdefault(e, {})
+            trail.append((int(self.lattices.to[e]), at))
+        at["left"] = -np.inf
+        for node, taken in reversed(trail[:-1]):
+            _, logs = self._weights(node, taken)
+            most = max(logs)
+            taken["left"] = most + math.log(sum(math.exp(x - most) for x in logs)) if most > -np.inf else -np.inf
+
+    def sample(self, noise: np.uint64) -> list[int]:
+        """A path that is not taken, in proportion to its share of what is left."""
+        node, taken, path, random = self.node, self.root, [], []
+        while not self.lattices.end[node]:
+            if len(path) == len(random):
+                random += uniform(np.full(16, noise), np.arange(len(path) + 1, len(path) + 17)).tolist()
+            a, logs = self._weights(node, taken) if taken else self.lattices.edges_of(node)
+            left = taken["left"] if taken else 0.0
+            u, k, last = random[len(path)], 0, 0
+            for k, log in enumerate(logs):
+                if log > -np.inf:
+                    last = k
+                    u -= math.exp(log - left)
+                    if u < 0:
+                        break
+            path.append(a + last)
+            node, taken = int(self.lattices.to[a + last]), taken.get(a + last, {})
+        return path
+
+
+def uniform(noise: np.ndarray, stream: int | np.ndarray) -> np.ndarray:
     """Numbers in (0, 1), one per noise word and stream."""
-    return ((mix(noise + np.uint64(stream * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) >> np.uint64(12)).astype(np.float64) + 0.5) / (1 << 52)
+    step = np.asarray(stream).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) if isinstance(stream, np.ndarray) else np.uint64(stream * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+    return ((mix(noise + step) >> np.uint64(12)).astype(np.float64) + 0.5) / (1 << 52)
 
 
 def gumbel(noise: np.ndarray, stream: int) -> np.ndarray:
@@ -197,7 +265,7 @@ def gumbel(noise: np.ndarray, stream: int) -> np.ndarray:
 
 def chunks_of(text: str) -> list[str]:
     """Chunks of the normalised text: a space in front, every space shown; none for an empty text."""
-    return _CHUNK.findall(SPACE + text.replace(" ", SPACE)) if text else []
+    return _CHUNK.findall(SPACE + text.replace(SPACE, LITERAL).replace(" ", SPACE)) if text else []
 
 
 def sample_segmentations(texts: list[str], seeds: np.ndarray, k: int, vocabulary: Vocabulary) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -226,10 +294,6 @@ def sample_segmentations(texts: list[str], seeds: np.ndarray, k: int, vocabulary
         upto = np.cumsum(log) - log
         return upto - upto[begin[doc]]
 
-    def rest(log: np.ndarray) -> np.ndarray:
-        share = np.exp(np.minimum(log, 0))
-        return np.where(share < 1 - 1e-12, np.log1p(-np.minimum(share, 1 - 1e-12)), -np.inf)
-
     def perturbed(mass: np.ndarray, top: np.ndarray, noise: np.ndarray, stream: int) -> np.ndarray:
         with np.errstate(divide="ignore"):
             return np.where(mass > -np.inf, -np.logaddexp(-top, -(mass + gumbel(noise, stream))), -np.inf)
@@ -240,12 +304,12 @@ def sample_segmentations(texts: list[str], seeds: np.ndarray, k: int, vocabulary
     starts, sizes = [np.cumsum(n) - n], [n]
     logs = [np.add.reduceat(lattices.log[edges], starts[0])]
     top = gumbel(seed, 1 << 20)
-    values = [perturbed(before(logs[0]) + rest(logs[0]), top[doc], noise, 1 << 21)]
-    excluded: dict[tuple[int, int], list[tuple[int, ...]]] = {}
+    values = [perturbed(before(logs[0]) + lattices.rest(edges, starts[0], n), top[doc], noise, 1 << 21)]
+    elsewhere: dict[tuple[int, int], Elsewhere] = {}
     emitted = [(np.arange(len(filled)), top)]
 
-    def path(j: int, i: int, flat: np.ndarray) -> tuple[int, ...]:
-        return tuple(flat[starts[j][i] : starts[j][i] + sizes[j][i]].tolist())
+    def path(j: int, i: int, flat: np.ndarray) -> list[int]:
+        return flat[starts[j][i] : starts[j][i] + sizes[j][i]].tolist()
 
     for rank in range(1, k + 1):
         stack = np.stack(values)
@@ -276,32 +340,26 @@ def sample_segmentations(texts: list[str], seeds: np.ndarray, k: int, vocabulary
         if len(behind):
             log[behind] = np.add.reduceat(lattices.log[fresh], np.cumsum(n) - n)
         used += len(fresh)
-        front, value = np.full(len(chunk), -np.inf), np.full(len(chunk), -np.inf)
-        went = []
+        ahead = before(log)  # holds up to each text's turn; behind it once the turn's own path is known
+        mass = np.full(len(chunk), -np.inf)
         for d in alive.tolist():
             i, j = int(turn[d]), int(source[d])
-            others = excluded.pop((j, i), None) or [path(j, i, flat)]
+            taken = elsewhere.pop((j, i), None) or Elsewhere(lattices, int(chunk[i]), path(j, i, flat))
             values[j][i] = -np.inf
-            other = lattices.walk_elsewhere(int(chunk[i]), others, int(mix(noise[i : i + 1] + np.uint64(rank))[0]))
-            if other is None:
-                continue  # what was left is below the precision of a double
-            went.append(d)
+            other = taken.sample(mix(noise[i : i + 1] + np.uint64(rank))[0])
             pool.append(np.array(other))
-            start[i], size[i], log[i] = used, len(other), lattices.log[list(other)].sum()
+            start[i], size[i], log[i] = used, len(other), lattices.log[other].sum()
             used += len(other)
-            excluded[rank, i] = [*others, other]
-            front[i] = np.log(max(1 - sum(np.exp(lattices.log[list(o)].sum()) for o in excluded[rank, i]), 1e-300))
-        went = np.array(went, np.int64)
+            taken.take(other)
+            elsewhere[rank, i] = taken
+            mass[i] = ahead[i] + taken.left
         ahead = before(log)
-        mass = np.full(len(chunk), -np.inf)
-        mass[behind] = ahead[behind] + rest(log[behind])
-        mass[turn[went]] = np.where(front[turn[went]] > np.log(1e-12), ahead[turn[went]] + front[turn[went]], -np.inf)
+        if len(behind):
+            mass[behind] = ahead[behind] + lattices.rest(fresh, np.cumsum(n) - n, n)
         with np.errstate(invalid="ignore"):
             value = perturbed(mass, np.where(is_alive, best, 0.0)[doc], noise, (1 << 21) + rank)
-        lost = np.setdiff1d(alive, went)
-        value[np.isin(doc, lost)] = -np.inf
         starts.append(start), sizes.append(size), logs.append(log), values.append(value)
-        emitted.append((went, best[went]))
+        emitted.append((alive, best[alive]))
     flat = np.concatenate(pool)
     bound = best  # the perturbed value of the segmentation that would come next
     for rank, (who, _) in enumerate(emitted):
@@ -330,7 +388,7 @@ def _ids(pieces: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.nda
     odd = np.flatnonzero(pieces < 0)
     if not len(odd):
         return pieces.astype(np.int32), np.ones(len(pieces), np.int64)
-    known: dict[int, np.ndarray] = {int(p): vocabulary.bytes[list(chr(-1 - int(p)).encode("utf-8", "surrogatepass"))] for p in np.unique(pieces[odd])}
+    known: dict[int, np.ndarray] = {int(p): vocabulary.bytes[list(chr(-1 - int(p)).replace(LITERAL, SPACE).encode("utf-8"))] for p in np.unique(pieces[odd])}
     counts = np.ones(len(pieces), np.int64)
     counts[odd] = [len(known[p]) for p in pieces[odd].tolist()]
     out = np.repeat(pieces, counts)
@@ -360,9 +418,9 @@ def encode_sampled(
     probability is among the k drawn, given the value of the one that would have come next).
 
     The first sample follows the distribution of whole segmentations. A text with fewer than k
-    segmentations gives them all, with a chance of 1 each; what holds less than 1e-12 of a chunk's mass
-    is beyond the precision of the search and counts as none. A null or empty text has one, without
-    ids. Characters without a piece become their UTF-8 bytes. Equal keys with equal texts, repeated
+    segmentations gives them all, with a chance of 1 each, however small their share. A null or empty
+    text has one, without ids. Characters without a piece, and a U+2581 of the text itself, become
+    their UTF-8 bytes. Equal keys with equal texts, repeated
     rows too, get equal samples; a null key is a key like others. Texts of any length are taken
     whole. Other columns are left out. An empty table gives no row. finish, with its schema, is a
     function over the result's Arrow batches that runs in the same task, before Spark gets them.
