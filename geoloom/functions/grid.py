@@ -45,8 +45,14 @@ def cell_id(latitude: Column, longitude: Column, resolution: int) -> Column:
 
 
 def with_cell(df: DataFrame, *, resolution: int = 6, latitude: str = "latitude", longitude: str = "longitude", output: str = "weather_query_cell_id") -> DataFrame:
+    """Add the cell of each row's point; null where it is not on the globe.
+
+    The id is handed on through a generator of one element. Filters on it, and on a centre derived
+    from it, would else be pushed below the projection as copies of the whole expression, which is
+    then evaluated many times a row.
+    """
     check_resolution(resolution)
-    return df.withColumn(output, cell_id(F.col(latitude), F.col(longitude), resolution))
+    return df.withColumn(output, F.explode(F.array(cell_id(F.col(latitude), F.col(longitude), resolution))))
 
 
 def with_center(df: DataFrame, *, cell: str = "weather_query_cell_id") -> DataFrame:

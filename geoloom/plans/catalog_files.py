@@ -7,6 +7,8 @@ shared folder where an operator reads files, and taken through the same jobs as
 from __future__ import annotations
 
 import datetime as dt
+import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -395,6 +397,44 @@ def census_rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _report_rows(spark, "census", report).select("check_name", "failed", "checked", F.lit(stored).cast("long").alias("stored"))
 
 
+# --- what guards reject
+
+
+def _rejected(f: Callable[[], object], pattern: str) -> int:
+    """How many examples an error names; -1 without an error."""
+    try:
+        f()
+    except Exception as e:  # errors of analysis are ValueError, errors of a query are Spark's
+        return len(re.findall(pattern, str(e)))
+    return -1
+
+
+@query(
+    """SELECT 'columns' AS guard, 2 AS examples UNION ALL SELECT 'ids', least(20, count(*))::INTEGER FROM events WHERE event_id % 3 = 0 AND event_id % 4 > 1
+    UNION ALL SELECT 'identities_null', least(20, count(*))::INTEGER FROM events WHERE event_id % 9 = 0
+    UNION ALL SELECT 'identities_twice', least(20, count(*))::INTEGER FROM (SELECT user_id FROM events GROUP BY user_id HAVING count(*) > 1)
+    UNION ALL SELECT 'lookup_twice', 1 UNION ALL SELECT 'ambiguous_tract', 1 UNION ALL SELECT 'contract', 1 UNION ALL SELECT 'calendar', 1"""
+)
+def rejected_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each guard on rows that break it, with the number of examples its error names."""
+    events, keys = table(spark, sf_dir, "events"), base._incident_keys(spark, sf_dir)
+    users = events.select(F.col("user_id").cast("string").alias("incident_id"))
+    overlapping = boundaries.boundary_table({2020: _wkt(spark, sf_dir, 0.0).unionByName(_wkt(spark, sf_dir, 0.2).withColumn("geoid", F.concat("geoid", F.lit("x"))))})
+    points = spatial.unique_locations(base._located(spark, sf_dir).withColumn("tiger_line_year", F.lit(2020)))
+    years = events.select((F.col("event_id") % 3).cast("int").alias("acs_vintage"), F.to_date("ts").alias("acs_release_date")).limit(40)
+    found = {
+        "columns": _rejected(lambda: c.require_columns(events, ["event_id", "zeta", "alpha"], context="events"), "alpha|zeta"),
+        "ids": _rejected(lambda: incidents.guard_ids(incidents.with_incident_id(keys.withColumn("source_record_id", F.lit(None).cast("string")))), "'source_city':"),
+        "identities_null": _rejected(lambda: dedup.guard_identities(events.select(F.when(F.col("event_id") % 9 != 0, F.col("event_id").cast("string")).alias("incident_id"))), "'incident_id': None"),
+        "identities_twice": _rejected(lambda: dedup.guard_identities(users), "'row_count':"),
+        "lookup_twice": _rejected(lambda: dedup.one_row_per_key(events.select("user_id", "value"), ["user_id"], name="users").collect(), "users: keys are not unique"),
+        "ambiguous_tract": _rejected(lambda: spatial.map_locations(points, overlapping, tile=0.5).collect(), "inside several polygons"),
+        "contract": _rejected(lambda: incidents.assert_contract(base._canonical(spark, sf_dir).withColumn("beat", F.lit(1))), "'beat', 'int'"),
+        "calendar": _rejected(lambda: asof.calendar_ranges(years), "not unique"),
+    }
+    return spark.createDataFrame(list(found.items()), "guard string, examples int").selectExpr("guard", "least(examples, CASE WHEN guard IN ('lookup_twice', 'ambiguous_tract', 'contract', 'calendar') THEN 1 ELSE 20 END) AS examples")
+
+
 # --- calendars and the whole pipeline
 
 _RELEASES = [(2019, dt.date(2020, 12, 10), 2019, "2010"), (2022, dt.date(2023, 12, 7), 2022, "2020"), (2023, dt.date(2024, 1, 15), 2022, "2020")]

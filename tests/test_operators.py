@@ -144,6 +144,18 @@ def test_payloads(spark):
     assert invalid.count() == 3
 
 
+def test_a_header_that_repeats_a_name_is_invalid(spark):
+    rows = [('[["NAME", "state", "state"], ["a", "1", "2"]]', 2020), ('[["NAME", "state"], ["a", "1"]]', 2020)]
+    records, invalid = census.payload_records(spark.createDataFrame(rows, "payload string, acs_vintage int"))
+    assert records.count() == 1 and [r.failed_checks for r in invalid.collect()] == [["names_once"]]
+
+
+def test_a_coverage_that_is_met_counts_no_failures(spark):
+    df = spark.createDataFrame([(1,), (None,)], "x int")
+    met, missed = (quality.check_rows(df, {}, dataset="t", coverages={"c": (F.col("x").isNotNull(), least)})[0] for least in (0.5, 0.6))
+    assert (met.passed, met.failed, met.metric) == (True, 0, 0.5) and (missed.passed, missed.failed) == (False, 1)
+
+
 # --- polygons and calendars
 
 SQUARES = [("a", "POLYGON ((0 0, 2 0, 2 2, 0 2, 0 0))"), ("b", "POLYGON ((2 0, 4 0, 4 2, 2 2, 2 0))"), ("c", "POLYGON ((10 10, 11 10, 10.5 11, 10 10))")]
