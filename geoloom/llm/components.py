@@ -27,23 +27,28 @@ def _star(edges: DataFrame, *, large: bool) -> DataFrame:
     return out
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether edges are stars: every u has one v, which is no u itself."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.agg(F.coalesce(F.max("up"), F.lit(0)) <= 1, F.coalesce(F.max(F.col("up") * F.col("down")), F.lit(0)) == 0).first() == (True, True)
+
+
 def connected_components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, label) of every node that a link (a, b) names; the label is the least node reached.
 
     Each round is written to the shared folder, so lineage stays short and a lost executor costs one
     round at most. Links of a node with itself and repeated links change nothing; no link, no row.
     """
-    edges = written(links.select(F.col("a").alias("u"), F.col("b").alias("v")).filter("u <> v").distinct(), "edges")
-    state = None
-    for _ in range(most_rounds):
+    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
+    edges = written(edges, "edges")
+    rounds = 0
+    while not _settled(edges):
+        rounds += 1
+        if rounds > most_rounds:
+            raise RuntimeError(f"components did not settle in {most_rounds} rounds")
         before, middle = edges, _star(edges, large=True)
         edges = _star(middle, large=False)
         discard(before, middle)
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
-            break
-        state = now
-    else:
-        raise RuntimeError(f"components did not settle in {most_rounds} rounds")
     roots = edges.select(F.col("v").alias("node")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(roots.select("node", F.col("node").alias("label")))
