@@ -19,10 +19,10 @@ from .common import each_group, read_table, written
 
 _RUN, _BUCKET, _PART, _POS, _ORDER = "__sh_run", "__sh_bucket", "__sh_part", "__sh_pos", "__sh_order"
 
-#: Buckets that one task of pass two works through, at most; 2 GB of the usual size.
+#: Buckets that one task of pass two works through, at most; 512 MB of the usual size.
 RUN_BUCKETS = 64
 #: Rows up to which a table of runs or of overfull buckets is broadcast: 24 bytes each, 24 MB in
-#: all. A million runs are 2 PB, and a million overfull buckets 64 TB of repeated rows.
+#: all. A million runs are 512 TB, and a million overfull buckets 16 TB of repeated rows.
 BROADCAST_ROWS = 1_000_000
 
 
@@ -30,7 +30,7 @@ def _spread(table: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(table) if rows <= BROADCAST_ROWS else table
 
 
-def shuffle_to_shards(df: DataFrame, *, shards: int, key: str = "doc_id", text: str = "text", seed: int = 0, bucket_bytes: int = 32 << 20, least_buckets: int = 64) -> DataFrame:
+def shuffle_to_shards(df: DataFrame, *, shards: int, key: str = "doc_id", text: str = "text", seed: int = 0, bucket_bytes: int = 8 << 20, least_buckets: int = 16) -> DataFrame:
     """Shuffle all rows and deal them to shards whose row counts differ by one at most.
 
     Returns df with size (UTF-8 bytes of text plus 1, long), shard (int) and slot (long, gapless
@@ -75,7 +75,8 @@ def shuffle_to_shards(df: DataFrame, *, shards: int, key: str = "doc_id", text:
             yield from dealt.append_column(_POS, pa.array(at + np.arange(len(order)))).to_batches(10_000)
             at += len(order)
 
-    scattered = placed.repartition(tasks, _RUN, _PART).sortWithinPartitions(_RUN, _PART, _BUCKET)
+    # a run per task, without two in one by chance
+    scattered = placed.repartitionById(tasks, F.pmod(F.col(_RUN) + F.col(_PART), F.lit(tasks)).cast("int")).sortWithinPartitions(_RUN, _PART, _BUCKET)
     shuffled = written(scattered.mapInArrow(fisher_yates, schema), "shuffled")
     return _deal(shuffled, shards)
 
