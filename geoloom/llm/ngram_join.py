@@ -15,16 +15,19 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import binary_texts, discard, read_table, sorted_groups, written
+from .common import binary_texts, discard, may_hold, read_table, sorted_groups, written
 from .components import connected_components
 from .prefix_tree import CLASS_BITS, CLASS_SHIFT, PrefixTree, beginning, frequency_classes, prefix_lengths, ranked
 from .shingles import digest, shingle_sets
 
 #: Sets, and n-grams, of one tree: 16 MB.
 BLOCK_SETS, BLOCK_GRAMS = 1024, 2_000_000
+#: Buckets of n-grams whose counts make one row.
+COUNTED = 8192
 #: Sets that a task remembers to pass over their copies.
 REMEMBERED = 1 << 20
 
@@ -45,12 +48,12 @@ class _Seen:
 
 
 def _scanned(df: DataFrame, *, words: int, text: str, key: str) -> DataFrame:
-    """One row per document (key, n, h1, h2, th), and rows (bucket, count) without the others: how
-    many sets of a task hold n-grams of a bucket."""
+    """One row per document (key, n, h1, h2, th), and rows (block, at, counts) without the others:
+    how many sets of a task hold n-grams of each bucket, a run of buckets a row."""
     key_type = df.schema[key].dataType.simpleString()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, seen, names = np.zeros(1 << CLASS_BITS, np.int64), _Seen(), ["key", "n", "h1", "h2", "th", "bucket", "count"]
+        counts, seen, names = np.zeros(1 << CLASS_BITS, np.uint32), _Seen(), ["key", "n", "h1", "h2", "th", "block", "at", "counts"]
         key_arrow = None
         for batch in batches:
             key_arrow = batch["__nj_key"].type
@@ -60,26 +63,61 @@ def _scanned(df: DataFrame, *, words: int, text: str, key: str) -> DataFrame:
                 n.append(len(grams)), h1.append(name[0]), h2.append(name[1])
                 if len(grams) and not seen(name):
                     np.add.at(counts, (grams >> CLASS_SHIFT).view(np.int64), 1)
-            none = pa.nulls(batch.num_rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch["__nj_key"], *(pa.array(x, pa.int64()) for x in (n, h1, h2)), batch["__nj_th"], none, none], names=names)
-        used = np.flatnonzero(counts)
-        if len(used):
-            none = pa.nulls(len(used), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(used), key_arrow), none, none, none, none, pa.array(used), pa.array(counts[used])], names=names)
+            none = [pa.nulls(batch.num_rows, kind) for kind in (pa.int64(), pa.binary(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch["__nj_key"], *(pa.array(x, pa.int64()) for x in (n, h1, h2)), batch["__nj_th"], *none], names=names)
+        blocks = counts.reshape(-1, COUNTED)
+        used = np.flatnonzero(blocks.any(axis=1))
+        for i in range(0, len(used), 512):
+            some = used[i : i + 512]
+            none, (at, own) = pa.nulls(len(some), pa.int64()), zip(*(_packed(blocks[b]) for b in some), strict=True)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(some), key_arrow), none, none, none, none, pa.array(some), pa.array(at, pa.binary()), pa.array(own, pa.binary())], names=names)
 
     rows = df.select(F.col(key).alias("__nj_key"), F.col(text).alias("__nj_text"), F.xxhash64(text).alias("__nj_th"))
-    return rows.mapInArrow(scan, f"key {key_type}, n long, h1 long, h2 long, th long, bucket long, count long")
+    return rows.mapInArrow(scan, f"key {key_type}, n long, h1 long, h2 long, th long, block long, at binary, counts binary")
 
 
-def _classes(scanned: DataFrame) -> np.ndarray:
-    """Frequency classes of all buckets: at most 2**18 sums reach the driver, 256 KB the tasks."""
-    sums = scanned.filter("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("count").alias("count")).toArrow()
-    counts = np.zeros(1 << CLASS_BITS, np.int64)
-    counts[sums["bucket"].to_numpy()] = sums["count"].to_numpy()
-    return frequency_classes(counts)
+def _packed(counts: np.ndarray) -> tuple[bytes | None, bytes]:
+    """Counts of a block in few bytes: where they stand, if few are not 0, and their values."""
+    used = np.flatnonzero(counts)
+    few = 3 * len(used) < len(counts)
+    values = counts[used] if few else counts
+    return used.astype(np.uint16).tobytes() if few else None, values.astype(np.uint8 if values.max() < 256 else np.uint32).tobytes()
 
 
-def _beginnings(df: DataFrame, class_of: np.ndarray, *, words: int, num: int, den: int, text: str) -> DataFrame:
+def _add_packed(total: np.ndarray, at: bytes | None, counts: bytes) -> None:
+    where = slice(None) if at is None else np.frombuffer(at, np.uint16)
+    n = len(total) if at is None else len(where)
+    total[where] += np.frombuffer(counts, np.uint8 if len(counts) == n else np.uint32)
+
+
+def _classes(scanned: DataFrame) -> Broadcast:
+    """Frequency classes of all buckets: 2 MB reach the driver and the tasks at any size of the table.
+
+    Blocks of counts are added up one after the other, so a task holds one sum whatever comes in.
+    """
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, total = None, np.zeros(COUNTED, np.int64)
+        for batch in batches:
+            for b, at, counts in zip(*(batch[c].to_pylist() for c in ("block", "at", "counts")), strict=True):
+                if b != block:
+                    if block is not None:
+                        yield pa.record_batch({"block": [block], "classes": pa.array([frequency_classes(total).tobytes()], pa.binary())})
+                    block = b
+                    total[:] = 0
+                _add_packed(total, at, counts)
+        if block is not None:
+            yield pa.record_batch({"block": [block], "classes": pa.array([frequency_classes(total).tobytes()], pa.binary())})
+
+    counted = scanned.filter("block IS NOT NULL").select("block", "at", "counts")
+    sums = counted.repartition("block").sortWithinPartitions("block").mapInArrow(add, "block long, classes binary").toArrow()
+    classes = np.zeros((1 << CLASS_BITS) // COUNTED * COUNTED, np.uint8).reshape(-1, COUNTED)
+    for b, own in zip(sums["block"].to_pylist(), sums["classes"].to_pylist(), strict=True):
+        classes[b] = np.frombuffer(own, np.uint8)
+    return scanned.sparkSession.sparkContext.broadcast(classes.reshape(-1))
+
+
+def _beginnings(df: DataFrame, class_of: Broadcast, *, words: int, num: int, den: int, text: str) -> DataFrame:
     """(h1, h2, n, grams) of every distinct set of a task: its first n-grams as 64-bit words."""
 
     def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,7 +126,7 @@ def _beginnings(df: DataFrame, class_of: np.ndarray, *, words: int, num: int, de
             rows = []
             for grams in shingle_sets(*binary_texts(batch["__nj_text"]), words):
                 if len(grams) and not seen(name := digest(grams)):
-                    rows.append((*name, len(grams), beginning(grams, prefix_lengths(len(grams), num, den)[0], class_of).tobytes()))
+                    rows.append((*name, len(grams), beginning(grams, prefix_lengths(len(grams), num, den)[0], class_of.value).tobytes()))
             if rows:
                 h1, h2, n, first = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(n, pa.int64()), pa.array(first, pa.binary())], names=["h1", "h2", "n", "grams"])
@@ -155,33 +193,33 @@ def _meetings(beginnings: DataFrame, *, num: int, den: int) -> DataFrame:
     return dealt.mapInArrow(meet, "h1 long, n long, place long").distinct()
 
 
-def _grouped(rows: DataFrame, class_of: np.ndarray, *, num: int, den: int) -> DataFrame:
-    """(h1, place): what a tree over the beginnings of a place's sets leaves, a place per group."""
+def _grouped(rows: DataFrame, class_of: Broadcast, *, num: int, den: int) -> DataFrame:
+    """(h1, n, place): what a tree over the beginnings of a place's sets leaves, a place per group."""
 
     def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in sorted_groups(batches, ["place"]):
             place, h1, h2, n = (table[c].to_numpy() for c in ("place", "h1", "h2", "n"))
             begins = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-            names, groups = [], []
+            names, counts, groups = [], [], []
             for a, b in zip(begins, [*begins[1:], len(place)], strict=True):
                 once = list({(x, y): i for i, (x, y) in enumerate(zip(h1[a:b].tolist(), h2[a:b].tolist(), strict=True))}.values())
                 if len(once) < 2:
                     continue
                 sets = _words(table["grams"].slice(a, b - a).take(pa.array(once)))
-                label = PrefixTree(ranked(sets, class_of), n[a:b][once]).groups(num, den)
+                label = PrefixTree(ranked(sets, class_of.value), n[a:b][once]).groups(num, den)
                 label = np.unique(label, return_inverse=True)[1]
                 name, size = h1[a:b][once], np.bincount(label)
                 least = np.full(len(size), np.iinfo(np.int64).max)
                 np.minimum.at(least, label, name)
                 keep = size[label] > 1
-                names.append(name[keep]), groups.append(least[label][keep])
+                names.append(name[keep]), counts.append(n[a:b][once][keep]), groups.append(least[label][keep])
             if names:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(names)), pa.array(np.concatenate(groups))], names=["h1", "place"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (names, counts, groups)], names=["h1", "n", "place"])
 
-    return rows.repartition("place").sortWithinPartitions("place").mapInArrow(prune, "h1 long, place long")
+    return rows.repartition("place").sortWithinPartitions("place").mapInArrow(prune, "h1 long, n long, place long")
 
 
-def _linked(blocks: DataFrame, class_of: np.ndarray, *, words: int, num: int, den: int) -> DataFrame:
+def _linked(blocks: DataFrame, class_of: Broadcast, *, words: int, num: int, den: int) -> DataFrame:
     """Links (a, b) of a forest, from rows (place, block, node, label, h1, h2, text)."""
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,7 +235,7 @@ def _linked(blocks: DataFrame, class_of: np.ndarray, *, words: int, num: int, de
                         once[int(node[i])] = (int(label[i]), grams)
                 if len(once) > 1:
                     names, (labels, sets) = np.array(list(once)), zip(*once.values(), strict=True)
-                    tree = PrefixTree(ranked(list(sets), class_of, frequent_first=True), np.array([len(s) for s in sets]))
+                    tree = PrefixTree(ranked(list(sets), class_of.value, frequent_first=True), np.array([len(s) for s in sets]))
                     group = tree.groups(num, den, np.array(labels))
                     least = {g: names[group == g].min() for g in np.unique(group)}
                     found += [(int(x), int(least[g])) for x, g in zip(names, group, strict=True) if least[g] != x]
@@ -220,7 +258,7 @@ def near_duplicate_components(df: DataFrame, *, words: int = 5, num: int = 4, de
     component has no other. An empty table gives an empty result. Other columns are left out.
     """
     scanned = written(_scanned(df, words=words, text=text, key=key), "shingle-scan")
-    docs = scanned.filter("bucket IS NULL").drop("bucket", "count")
+    docs = scanned.filter("block IS NULL").drop("block", "at", "counts")
     nodes = docs.filter("h1 IS NOT NULL").groupBy("h1", "h2").agg(F.min(F.struct(F.col("key").isNull().alias("last"), "key", "th")).alias("first"), F.max("n").alias("n"), F.count(F.lit(1)).alias("rows"))
     nodes = written(nodes.select(F.monotonically_increasing_id().alias("node"), "h1", "h2", F.col("first.key").alias("first"), F.col("first.th").alias("th"), "n", "rows"), "shingle-nodes")
     class_of = _classes(scanned)
@@ -233,17 +271,18 @@ def near_duplicate_components(df: DataFrame, *, words: int = 5, num: int = 4, de
     groups = _grouped(small, class_of, num=num, den=den).unionByName(_banded(met.filter("large"), num, den))
     groups = written(groups.distinct(), "set-groups")
     discard(meetings, beginnings, places, met)
-    members = written(groups.join(nodes, "h1").select("place", "node", "n"), "group-nodes")
-    sizes = members.groupBy("place").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("grams")).filter("members > 1")
+    sizes = groups.groupBy("place").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("grams")).filter("members > 1")
     sizes = sizes.withColumn("blocks", F.greatest(F.ceil(F.col("members") / BLOCK_SETS), F.ceil(F.col("grams") / BLOCK_GRAMS)))
-    members = written(members.join(written(sizes.select("place", "blocks"), "group-sizes"), "place"), "group-members")
+    sizes = written(sizes.select("place", "blocks"), "group-sizes")
+    members = written(groups.drop("n").join(sizes, "place").join(nodes.select("node", "h1"), "h1").drop("h1"), "group-members")
     texts = df.select(F.col(key).alias("__nj_key"), F.xxhash64(text).alias("__nj_th"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     def linked(rows: DataFrame) -> DataFrame:
         """Links within blocks (place, block, node, label)."""
         rows = rows.join(nodes.select("node", "h1", "h2", "first", "th"), "node")
+        wanted = texts.filter(may_hold(rows.select("th"))("__nj_th"))  # most texts meet no other and stay where they are
         # the small side is hashed at every size; a broadcast would depend on it
-        rows = texts.join(rows.hint("shuffle_hash"), (F.col("th") == F.col("__nj_th")) & F.col("first").eqNullSafe(F.col("__nj_key")))
+        rows = wanted.join(rows.hint("shuffle_hash"), (F.col("th") == F.col("__nj_th")) & F.col("first").eqNullSafe(F.col("__nj_key")))
         return _linked(rows.select("place", "block", "node", "label", "h1", "h2", "text"), class_of, words=words, num=num, den=den)
 
     links = written(linked(members.select("place", _dealt(1).alias("block"), "node", F.col("node").alias("label"))), "links")
@@ -252,15 +291,15 @@ def near_duplicate_components(df: DataFrame, *, words: int = 5, num: int = 4, de
         links = _between_blocks(large, links, linked)
     labels = connected_components(links)
     found = _labelled(docs, nodes, labels, key)
-    discard(groups, members, links)
+    discard(groups, sizes, members, links)
     return found
 
 
 def _banded(large: DataFrame, num: int, den: int) -> DataFrame:
-    """(h1, place) with a large place's sets dealt by size: linked sizes are in one band or in two
+    """(h1, n, place) with a large place's sets dealt by size: linked sizes are in one band or in two
     bands side by side, so each set goes to its own band and to the next."""
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(max(den / num, 1.0) + 1e-9))).cast("long")
-    return large.select("h1", "place", F.explode(F.array(band, band + 1)).alias("band")).select("h1", F.xxhash64("place", "band").alias("place"))
+    return large.select("h1", "n", "place", F.explode(F.array(band, band + 1)).alias("band")).select("h1", "n", F.xxhash64("place", "band").alias("place"))
 
 
 def _dealt(seed: int) -> Column:

@@ -122,8 +122,8 @@ def ranked(sets: list[np.ndarray], class_of: np.ndarray, *, frequent_first: bool
     return [np.sort(r) for r in np.split(ranks, ends[:-1])]
 
 
-#: Buckets by which n-grams are counted, as a number of leading bits of their hashes.
-CLASS_BITS = 18
+#: Buckets by which n-grams are counted, as a number of leading bits of their hashes: 2 MB of classes.
+CLASS_BITS = 21
 CLASS_SHIFT = np.uint64(64 - CLASS_BITS)
 
 
