@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_format, exact_dedup, language_id, line_dedup, ngram_join, packing, sharding, subword_sampling, vector_search, warc
+from . import chat_format, exact_dedup, hard_negatives, importance, language_id, license_scan, line_dedup, ngram_join, packing, sharding, subword_sampling, vector_search, warc
 
 
 def queries() -> dict:
@@ -17,6 +17,9 @@ def queries() -> dict:
         "op8_line_dedup": line_dedup.op8_line_dedup,
         "op9_packing": packing.op9_packing,
         "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+        "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+        "op12_importance_resampling": importance.op12_importance_resampling,
+        "op13_license_scan": license_scan.op13_license_scan,
     }
 
 
@@ -28,4 +31,7 @@ def oracle_sql() -> dict[str, str]:
         "op7_chat_format": chat_format.OP7_SQL,
         "op8_line_dedup": line_dedup.OP8_SQL,
         "op10_exact_dedup": exact_dedup.OP10_SQL,
+        "op11_hard_negatives": hard_negatives.OP11_SQL,
+        "op12_importance_resampling": importance.OP12_SQL,
+        "op13_license_scan": license_scan.op13_sql(),
     }
