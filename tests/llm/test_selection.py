@@ -221,7 +221,7 @@ def test_every_license_is_found_in_its_text_and_lost_with_a_word_less():
         text = filled(template)
         assert label in {x for x, _, _ in places(f"Copyright (c) someone. {text} and so on", license_scan.TEMPLATES)}, label
         words = text.split()
-        assert label not in {x for x, _, _ in places(" ".join(words[:-1]), {label: template})} or "optional" in {k for k, _ in license_scan.parse(template)[-1:]}, label
+        assert label not in {x for x, _, _ in places(" ".join(words[:1] + words[2:]), {label: template})}, label
     changed = filled(MIT).replace("without restriction", "with restriction")
     assert places(changed, {"mit-text": MIT}) == []
 
