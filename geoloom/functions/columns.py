@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from functools import reduce
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -97,6 +98,14 @@ def safe_rate(numerator: Column | str, denominator: Column | str) -> Column:
     return F.when(_col(denominator) > 0, _col(numerator) / _col(denominator))
 
 
+def sorted_place(value: Column, cuts: Sequence[Any], first: int = 0) -> Column:
+    """How many of the sorted cuts are at or below the value: a tree of comparisons with literals."""
+    if not cuts:
+        return F.lit(first)
+    half = len(cuts) // 2
+    return F.when(value < F.lit(cuts[half]), sorted_place(value, cuts[:half], first)).when(value.isNotNull(), sorted_place(value, cuts[half + 1 :], first + half + 1))
+
+
 def with_time_grains(df: DataFrame, at: str = "occurred_at") -> DataFrame:
     """Add the date and the hour of an event."""
     return df.withColumns({"occurred_date": F.to_date(at), "occurred_at_hour": F.date_trunc("hour", F.col(at))})

@@ -9,12 +9,16 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import with_time_grains
 from ..functions.grid import with_cell
-from ..operators import asof, enrich, lighting, spatial
+from ..operators import asof, enrich, lighting, skew, spatial
 from ..operators.dedup import guard_identities
 from ..operators.quality import Report, validate_features
 from ..sources.scratch import publish, restore
 
 
+#: Tasks that the events of one tract are dealt over; the census has about 100,000 rows a year.
+CENSUS_COPIES = 32
+
+
 def feature_rows(
     incidents: DataFrame,
     *,
@@ -31,15 +35,18 @@ def feature_rows(
     """All incident columns, then time grains, vintage, tract, census, lighting and weather features.
 
     Every step is a left join with a guarded lookup: the result has exactly the incidents' rows.
+    Popular keys are counted in the events, before any join. Tracts are known only after one, and
+    their table has a row per tract and year, so it is copied instead.
     """
     events = with_time_grains(incidents)
     if "weather_query_cell_id" not in events.columns:
         events = with_cell(events, resolution=resolution)
     out = asof.attach_vintage(events, asof.calendar_ranges(calendar))
-    out = enrich.attach_tracts(out, location_map)
-    out = enrich.attach_socioeconomic(out, census)
-    out = enrich.attach_lighting(out, enrich.lighting_lookup(lighting_table, version=version))
-    return enrich.attach_weather(out, enrich.weather_lookup(events, weather, provider=provider, model=model, resolution=resolution))
+    at_hour = skew.hot_slots(events, ["weather_query_cell_id", "occurred_at_hour"])
+    out = enrich.attach_tracts(out, location_map, hot=skew.hot_slots(out, ["tiger_line_year", "latitude", "longitude"]))
+    out = enrich.attach_socioeconomic(out, census, hot=CENSUS_COPIES)
+    out = enrich.attach_lighting(out, enrich.lighting_lookup(lighting_table, version=version), hot=at_hour)
+    return enrich.attach_weather(out, enrich.weather_lookup(events, weather, provider=provider, model=model, resolution=resolution), hot=at_hour)
 
 
 def located_events(incidents: DataFrame, calendar: DataFrame) -> DataFrame:
