@@ -17,6 +17,9 @@ def drain_to(stream: DataFrame, path: str, checkpoint: str) -> None:
     stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start().awaitTermination()
 
 
-def windowed_counts(events: DataFrame, *, at: str, size: str, late: str, keys: tuple[str, ...] = ()) -> DataFrame:
-    """Events per window and key; rows later than the watermark are left out on a stream."""
-    return events.withWatermark(at, late).groupBy(F.window(F.col(at), size), *keys).count().select(F.col("window.start").alias("window_start"), *keys, "count")
+def windowed_counts(events: DataFrame, *, at: str, size: str, late: str, keys: tuple[str, ...] = (), slide: str | None = None) -> DataFrame:
+    """Events per window and key; rows later than the watermark are left out on a stream.
+
+    With slide, windows of length size begin every slide and overlap: an event counts in each.
+    """
+    return events.withWatermark(at, late).groupBy(F.window(F.col(at), size, slide), *keys).count().select(F.col("window.start").alias("window_start"), *keys, "count")
