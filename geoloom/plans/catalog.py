@@ -662,4 +662,4 @@ def windowed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("window_start", ntz("window_start"))
 
 
-from . import catalog_files  # noqa: E402, F401  registers its queries, which build on those above
+from . import catalog_files, catalog_tables, catalog_time  # noqa: E402, F401  register their queries, which build on those above

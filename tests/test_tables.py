@@ -1,0 +1,132 @@
+"""Layout, snapshots, coverage at many grains and mergeable metrics."""
+
+import random
+from collections import Counter
+from pathlib import Path
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from geoloom.functions.columns import sorted_place
+from geoloom.operators import profile, reconcile
+from geoloom.sources import layout
+
+# --- layout
+
+
+def test_interleaved_bits(spark):
+    df = spark.createDataFrame([(0b101, 0b011), (0, 0), (0b111, 0b000)], "a long, b long")
+    assert [r.z for r in df.select(layout.interleaved([F.col("a"), F.col("b")], 3).alias("z")).collect()] == [0b100111, 0, 0b101010]
+
+
+def test_places_among_cuts(spark):
+    df = spark.createDataFrame([(x,) for x in (-1.0, 0.0, 0.5, 3.0, 99.0)] + [(float("nan"),), (None,)], "x double")
+    for cuts in ([], [0.0], [0.0, 1.0, 3.0], list(map(float, range(50)))):
+        got = [r.p for r in df.select(sorted_place(F.col("x"), cuts).alias("p")).collect()]
+        plain = [sum(c <= x for c in cuts) for x in (-1.0, 0.0, 0.5, 3.0, 99.0)]
+        assert got[:5] == plain and got[5] == len(cuts) and got[6] in (None, 0)
+
+
+def files_read(path, column, low, high):
+    """Files whose statistics allow a value between low and high, of all."""
+    hits, files = 0, sorted(Path(path).glob("*.parquet"))
+    for f in files:
+        meta = pq.ParquetFile(f).metadata
+        at = [i for i in range(meta.num_columns) if meta.row_group(0).column(i).path_in_schema == column][0]
+        stats = [meta.row_group(g).column(at).statistics for g in range(meta.num_row_groups)]
+        hits += any(s.min <= high and s.max >= low for s in stats)
+    return hits, len(files)
+
+
+def test_filters_on_either_column_skip_files(spark, tmp_path):
+    rng = random.Random(1)
+    rows = [(i, rng.randrange(1000), rng.gauss(0, 50)) for i in range(40_000)]
+    df = spark.createDataFrame(rows, "id long, cell long, at double")
+    layout.write_z_ordered(df, str(tmp_path / "z"), ["cell", "at"], files=64)
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "z")).collect()) == list(range(40_000))
+    for column, low, high in (("cell", 500, 510), ("at", 20.0, 21.0), ("at", -200.0, -150.0)):
+        hits, files = files_read(tmp_path / "z", column, low, high)
+        assert files >= 48 and hits < files / 4, (column, hits, files)
+    df.repartitionByRange(64, "cell").write.parquet(str(tmp_path / "plain"))
+    assert files_read(tmp_path / "plain", "at", 20.0, 21.0)[0] > 48
+
+
+def test_one_popular_value_and_awkward_rows(spark, tmp_path):
+    df = spark.range(8000).select("id", F.when(F.col("id") % 10 > 0, 5).otherwise(F.col("id")).alias("cell"), F.when(F.col("id") % 7 > 0, F.to_date(F.timestamp_seconds(F.col("id") * 9000))).alias("day"))
+    layout.write_z_ordered(df, str(tmp_path / "z"), ["cell", "day"], files=16)
+    sizes = [pq.ParquetFile(f).metadata.num_rows for f in (tmp_path / "z").glob("*.parquet")]
+    assert sum(sizes) == 8000 and max(sizes) < 8000 / 4
+    layout.write_z_ordered(df.limit(0), str(tmp_path / "none"), ["cell", "day"], files=4)
+    assert spark.read.parquet(str(tmp_path / "none")).count() == 0
+    with pytest.raises(ValueError, match="name"):
+        layout.with_z_key(df.withColumn("name", F.lit("x")), ["name"])
+    with pytest.raises(ValueError, match="bits"):
+        layout.with_z_key(df, ["cell"], bits=9)
+
+
+# --- snapshots
+
+
+def test_reconcile(spark):
+    before = spark.createDataFrame([(1, "a", 1.0), (2, "b", None), (3, "c", 3.0), (None, "n", 0.0), (5, "e", 5.0)], "k int, x string, y double")
+    after = spark.createDataFrame([(1, "a", 1.0), (2, None, 2.0), (4, "d", 4.0), (None, "n", 9.0), (5, "e", 5.0)], "k int, x string, y double")
+    rows = lambda df: {r.k: (r.change, r.changed_columns) for r in df.collect()}
+    found = {2: ("changed", ["x", "y"]), 3: ("removed", []), 4: ("added", []), None: ("changed", ["y"])}
+    assert rows(reconcile.reconcile(before, after, ["k"])) == found
+    assert rows(reconcile.reconcile(before, after, ["k"], unchanged=True)) == found | {1: ("unchanged", []), 5: ("unchanged", [])}
+    wider = after.withColumn("z", F.when(F.col("k") == 5, 1)).drop("y")
+    assert rows(reconcile.reconcile(before, wider, ["k"]))[5] == ("changed", ["y", "z"])
+    assert reconcile.reconcile(before, before, ["k"]).count() == 0
+    assert {r.change for r in reconcile.reconcile(before.limit(0), after, ["k"]).collect()} == {"added"}
+    with pytest.raises(Exception, match="before: keys are not unique"):
+        reconcile.reconcile(before.unionByName(before), after, ["k"]).collect()
+    keys_only = reconcile.reconcile(before.select("k"), after.select("k"), ["k"])
+    assert rows(keys_only) == {3: ("removed", []), 4: ("added", [])}
+
+
+def test_multiset_difference(spark):
+    before = spark.createDataFrame([(1, "a")] * 3 + [(2, None)] * 2 + [(3, "c")], "k int, x string")
+    after = spark.createDataFrame([("a", 1)] * 5 + [(None, 2)] * 2 + [("d", 4)], "x string, k int")
+    got = Counter({(r.k, r.x): r.row_difference for r in reconcile.multiset_difference(before, after).collect()})
+    assert got == {(1, "a"): 2, (3, "c"): -1, (4, "d"): 1}
+
+
+# --- coverage and metrics
+
+
+def test_coverage_at_many_grains_from_one_scan(spark, tmp_path):
+    spark.createDataFrame([(1, "a", True), (1, None, None), (2, "a", False), (2, "a", True)], "d int, s string, ok boolean").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    out = profile.coverage_by_grain(df, {"ok": F.col("ok")}, {"all": (), "day": ("d",), "source": ("s",), "both": ("d", "s")})
+    got = {(r.grain, r.d, r.s): (r.row_count, r.ok_count, r.ok_rate) for r in out.collect()}
+    assert got == {("all", None, None): (4, 2, 0.5), ("day", 1, None): (2, 1, 0.5), ("day", 2, None): (2, 1, 0.5), ("source", None, "a"): (3, 2, 0.66666667), ("source", None, None): (1, 0, 0.0), ("both", 1, "a"): (1, 1, 1.0), ("both", 1, None): (1, 0, 0.0), ("both", 2, "a"): (2, 1, 0.5)}
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+    wide = profile.pivoted(out.filter("grain = 'both'"), rows="d", columns="s", values=["a", "zz"], measure="ok_rate")
+    assert {r.d: (r.a, r.zz) for r in wide.collect()} == {1: (1.0, None), 2: (0.5, None)}
+    with pytest.raises(ValueError):
+        profile.coverage_by_grain(df, {}, {"x": ("d",), "y": ("d",)})
+
+
+def test_merged_sketches_equal_rebuilt_ones(spark, tmp_path):
+    rng = random.Random(2)
+    rows = [(i % 6, i % 2, rng.randrange(3000), rng.gauss(10, 3)) for i in range(30_000)] + [(0, 0, None, None)]
+    df = spark.createDataFrame(rows, "day int, kind int, user long, value double")
+    path = str(tmp_path / "sketches")
+    sketch = lambda d: profile.sketched(d, ["day", "kind"], distinct=["user"], quantiles=["value"])
+    sketch(df.filter("day < 5")).write.parquet(path)
+    sketch(df.filter("day = 5")).write.mode("append").parquet(path)  # a day more, without the others' rows
+    merged = profile.read_metrics(profile.merged(spark.read.parquet(path), ["kind"]), (0.5, 0.95))
+    rebuilt = profile.read_metrics(profile.sketched(df, ["kind"], distinct=["user"], quantiles=["value"]), (0.5, 0.95))
+    one, two = ({r.kind: r for r in x.collect()} for x in (merged, rebuilt))
+    for kind in (0, 1):
+        own = [(u, v) for _, k, u, v in rows if k == kind and u is not None]
+        users, values = len({u for u, _ in own}), sorted(v for _, v in own)
+        rank = lambda x, values=values: sum(v <= x for v in values) / len(values)
+        for r in (one[kind], two[kind]):
+            assert r.row_count == len(own) + (kind == 0)
+            assert abs(r.user_distinct - users) <= 3 * 1.04 / 2 ** (profile.LG_K / 2) * users
+            assert abs(rank(r.value_p50) - 0.5) < 0.02 and abs(rank(r.value_p95) - 0.95) < 0.02
+        assert one[kind].user_distinct == two[kind].user_distinct
+    nothing = profile.read_metrics(profile.sketched(df.filter("user IS NULL"), ["kind"], distinct=["user"], quantiles=["value"]))
+    assert [(r.row_count, r.user_distinct, r.value_p50) for r in nothing.collect()] == [(1, 0, None)]
