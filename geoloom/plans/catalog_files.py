@@ -17,6 +17,7 @@ from ..functions import columns as c
 from ..functions import grid, names
 from ..operators import asof, dedup, incidents, lighting, quality, spatial
 from ..sources import boundaries, readers, sinks
+from ..sources.published import read_published
 from ..sources.scratch import fresh_path
 from ..streaming import ingest
 from . import catalog as base
@@ -421,7 +422,7 @@ def rejected_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     users = events.select(F.col("user_id").cast("string").alias("incident_id"))
     overlapping = boundaries.boundary_table({2020: _wkt(spark, sf_dir, 0.0).unionByName(_wkt(spark, sf_dir, 0.2).withColumn("geoid", F.concat("geoid", F.lit("x"))))})
     points = spatial.unique_locations(base._located(spark, sf_dir).withColumn("tiger_line_year", F.lit(2020)))
-    years = events.select((F.col("event_id") % 3).cast("int").alias("acs_vintage"), F.to_date("ts").alias("acs_release_date")).limit(40)
+    years = events.select((F.col("event_id") % 3).cast("int").alias("acs_vintage"), F.to_date("ts").alias("acs_release_date")).distinct()
     found = {
         "columns": _rejected(lambda: c.require_columns(events, ["event_id", "zeta", "alpha"], context="events"), "alpha|zeta"),
         "ids": _rejected(lambda: incidents.guard_ids(incidents.with_incident_id(keys.withColumn("source_record_id", F.lit(None).cast("string")))), "'source_city':"),
@@ -457,5 +458,5 @@ def features_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = {"calendar": base._event_calendar(spark, sf_dir), "boundaries": base._boundaries(spark, sf_dir), "census": base._census_table(spark, sf_dir), "weather": base._weather_table(spark, sf_dir), "provider": "open_meteo", "model": "era5"}
     gold.run(spark, events.filter("event_id % 2 = 0"), **inputs, **paths)
     report = gold.run(spark, events, **inputs, **paths)
-    rows = spark.read.parquet(paths["target"])
+    rows = read_published(spark, paths["target"])
     return rows.select("incident_id", "selected_acs_vintage", "tract_geoid", "socioeconomic_match_found", "temperature_2m_c", "weather_match_found", "lighting_condition", F.lit(report.passed).alias("passed"))

@@ -12,7 +12,7 @@ from ..functions.grid import with_cell
 from ..operators import asof, enrich, lighting, skew, spatial
 from ..operators.dedup import guard_identities
 from ..operators.quality import Report, validate_features
-from ..sources.scratch import publish, restore
+from ..sources.published import SparkStore, fresh_version, publish
 
 
 #: Tasks that the events of one tract are dealt over; the census has about 100,000 rows a year.
@@ -71,24 +71,21 @@ def run(
     rebuild: bool = False,
     least: Mapping[str, float] | None = None,
 ) -> Report:
-    """Materialise lookups, build the feature table in a staging folder, check it, then publish.
+    """Materialise lookups, build a new version of the feature table, check it, then publish it.
 
-    Checks run on what was written. A table that fails stays in staging and target is untouched. One
-    that passes is renamed into place; the former table is there until then.
+    Checks run on what was written. A version that fails is never published and readers of target, by
+    read_published(), go on seeing the former one; one that passes is there as a whole at once.
     """
-    restore(target)
     guard_identities(incidents)
     spatial.validate_boundaries(calendar, boundaries)
     with_cells = incidents if "weather_query_cell_id" in incidents.columns else with_cell(incidents, resolution=resolution)
     mapping = spatial.materialize_location_map(spark, located_events(with_cells, calendar), boundaries, location_path, rebuild=rebuild)
     lighting.materialize_lighting(spark, with_cells, lighting_path, rebuild=rebuild)
     rows = feature_rows(with_cells, calendar=calendar, location_map=mapping, census=census, weather=weather, lighting_table=spark.read.parquet(lighting_path), provider=provider, model=model, resolution=resolution)
-    staging = f"{target.rstrip('/')}__staging"
-    rows.write.mode("overwrite").parquet(staging)
-    built = spark.read.parquet(staging)
-    report = validate_features(built, source_count=incidents.count(), least=least)
-    if not publish(staging, target):  # a file system without renames
-        built.write.mode("overwrite").parquet(target)
+    version = fresh_version(target)
+    rows.write.parquet(version)
+    report = validate_features(spark.read.parquet(version), source_count=incidents.count(), least=least)
+    publish(SparkStore(spark), version, target)
     return report
 
 

@@ -61,41 +61,3 @@ def discard(*tables: DataFrame) -> None:
     """Delete tables of written() that nothing reads any more."""
     for table in tables:
         delete_folder(table.written_to)
-
-
-def publish(staging: str, target: str) -> bool:
-    """Put the folder staging in the place of target by renames, without a second write.
-
-    The former table waits beside target until the new one is in place; restore() brings it back
-    after a crash between the two renames. False where Arrow does not know the file system.
-    """
-    try:
-        fs, new = pafs.FileSystem.from_uri(staging)
-        _, old = pafs.FileSystem.from_uri(target)
-    except pa.ArrowInvalid:
-        return False
-    restore(target)
-    aside = f"{old.rstrip('/')}__former"
-    had = fs.get_file_info(old).type != pafs.FileType.NotFound
-    if had:
-        fs.move(old, aside)
-    fs.move(new, old)
-    if had:
-        fs.delete_dir(aside)
-    return True
-
-
-def restore(target: str) -> bool:
-    """Finish what a crashed publish() left: without target, its former table comes back."""
-    try:
-        fs, old = pafs.FileSystem.from_uri(target)
-    except pa.ArrowInvalid:
-        return False
-    aside = f"{old.rstrip('/')}__former"
-    if fs.get_file_info(aside).type == pafs.FileType.NotFound:
-        return False
-    if fs.get_file_info(old).type == pafs.FileType.NotFound:
-        fs.move(aside, old)
-        return True
-    fs.delete_dir(aside)
-    return False

@@ -12,6 +12,7 @@ import __spark_entry__
 from geoloom.functions.grid import with_cell
 from geoloom.operators import lighting, quality
 from geoloom.plans import catalog, gold
+from geoloom.sources.published import read_published
 
 from .test_operators import CALENDAR
 
@@ -33,19 +34,19 @@ def test_feature_pipeline(spark, tmp_path):
     inputs = {"calendar": calendar, "boundaries": boundaries, "census": census, "weather": weather, "provider": "p", "model": "m"}
     report = gold.run(spark, incidents, **inputs, **paths)
     assert report.passed
-    rows = {r.incident_id: r for r in spark.read.parquet(paths["target"]).collect()}
+    rows = {r.incident_id: r for r in read_published(spark, paths["target"]).collect()}
     one, two, three, four = (rows[f"i{i}"] for i in range(1, 5))
     assert (one.selected_acs_vintage, one.tract_geoid, one.socioeconomic_match_found, one.temperature_2m_c, one.lighting_match_found) == (2019, "a", True, 9.5, True)
     assert (two.selected_acs_vintage, two.tract_geoid, two.socioeconomic_match_found, two.weather_match_found) == (2021, "b", False, False)
     assert three.selected_acs_vintage is None and three.tract_geoid is None and three.lighting_match_found
     assert (four.lighting_match_found, four.weather_match_found, four.selected_acs_vintage) == (False, False, None)
     again = gold.run(spark, incidents, **inputs, **paths)
-    assert again.passed and spark.read.parquet(paths["target"]).count() == 4
+    assert again.passed and read_published(spark, paths["target"]).count() == 4
     with pytest.raises(quality.QualityError, match="weather_coverage"):
         gold.run(spark, incidents, **inputs, **paths, least={"weather_coverage": 0.9})
-    assert spark.read.parquet(paths["target"]).count() == 4
+    assert read_published(spark, paths["target"]).count() == 4
 
-    built = spark.read.parquet(paths["target"])
+    built = read_published(spark, paths["target"])
     check = lambda df, n=4: {x.name for x in quality.validate_features(df, source_count=n, raise_on_failure=False).checks if not x.passed}
     lit = F.lit
     assert check(built) == set() and check(built, 5) == {"as_many_rows_as_source"}

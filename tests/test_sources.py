@@ -125,16 +125,6 @@ def test_a_compacted_log_keeps_its_state(spark, tmp_path):
     assert upsert.compact(spark, log, ["id"], keep=3) == 3 and state() == before and len(before) == 29
 
 
-def test_publish_and_restore(spark, tmp_path):
-    staging, target = str(tmp_path / "staging"), str(tmp_path / "target")
-    values = lambda: {r.id for r in spark.read.parquet(target).collect()}
-    for n in (1, 2):
-        spark.range(n, n + 1).write.parquet(staging)
-        assert scratch.publish(staging, target) and values() == {n} and not (tmp_path / "staging").exists()
-    (tmp_path / "target").rename(tmp_path / "target__former")  # a crash between the two renames
-    assert scratch.restore(target) and values() == {2} and not scratch.restore(target)
-
-
 def test_windowed_counts_on_a_stream(spark, tmp_path):
     landing = tmp_path / "in"
     landing.mkdir()
