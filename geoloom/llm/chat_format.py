@@ -13,7 +13,7 @@ Neither role nor text may hold ### or </turn> once rendered, and a role holds no
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import read_table
@@ -78,52 +78,44 @@ def format_chats(df: DataFrame, *, conversation: str = "conv_id", turn: str = "t
     Returns a row per conversation: the conversation column, formatted, escape_level (0: as it is,
     1: control strings escaped), round_trip (the parsed turns equal the source), turns (array of
     role and text, read back from formatted), loss_spans (array of start and length in code points
-    of formatted, one per turn of loss_role).
+    of formatted, one per turn of loss_role), loss_text (what stands in formatted under the spans,
+    one after the other).
 
     Turns are ordered by turn, then role, then text; null turns come first. A null role or text is
     empty. Rows that repeat are turns of their own. Rows with a null conversation form one. An empty
     table gives an empty result. Other columns of df are left out. A conversation becomes one value,
-    so its text must fit into a task; nothing else does.
+    so its text must fit into a task; nothing else does. The work grows with the text: where turns
+    begin is a running sum over rows, and each span is cut from its own turn.
     """
-    said = F.struct(F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    grouped = df.groupBy(F.col(conversation).alias(conversation)).agg(F.sort_array(F.collect_list(said)).alias("__cf_said"))
-    source = grouped.select(conversation, F.transform("__cf_said", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("__cf_source"))
+    said = df.select(F.col(conversation).alias(conversation), F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    measured = said.withColumns({"head0": _head("role"), "body0": F.char_length("text"), "head1": _head(escape_role(F.col("role"))), "body1": F.char_length(escape(F.col("text")))})
+    before = Window.partitionBy(conversation).orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, -1)
+    begins = {f"at{i}": F.coalesce(F.sum(F.col(f"head{i}") + F.col(f"body{i}") + len(CLOSE) + 1).over(before), F.lit(0)) for i in (0, 1)}
+    placed = measured.withColumns(begins).groupBy(conversation).agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text", "at0", "head0", "body0", "at1", "head1", "body1"))).alias("__cf_said"))
+    source = placed.select(conversation, "__cf_said", F.transform("__cf_said", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("__cf_source"))
     plain = source.withColumn("__cf_plain", render(F.col("__cf_source"), escaped=False))
-    level = F.when(parse(F.col("__cf_plain")).eqNullSafe(F.col("__cf_source")), 0).otherwise(1)
-    levelled = plain.withColumn("escape_level", level)
-    rendered = levelled.select(conversation, "__cf_source", "escape_level", F.when(F.col("escape_level") == 0, F.col("__cf_plain")).otherwise(render(F.col("__cf_source"), escaped=True)).alias("formatted"))
-    parsed = rendered.withColumn("turns", parse(F.col("formatted")))
+    levelled = plain.withColumn("escape_level", F.when(parse(F.col("__cf_plain")).eqNullSafe(F.col("__cf_source")), 0).otherwise(1))
+    formatted = F.when(F.col("escape_level") == 0, F.col("__cf_plain")).otherwise(render(F.col("__cf_source"), escaped=True))
+    parsed = levelled.withColumn("formatted", formatted).drop("__cf_plain").withColumn("turns", parse(F.col("formatted")))
+    level = lambda t, name: F.when(F.col("escape_level") == 0, t[f"{name}0"]).otherwise(t[f"{name}1"])
+    learned = F.filter("__cf_said", lambda t: t["role"] == loss_role)
+    spans = F.transform(learned, lambda t: F.struct((level(t, "at") + level(t, "head")).cast("int").alias("start"), level(t, "body").alias("length")))
+    # one segment a turn and an empty one behind the last; zipped, so that each is cut by itself
+    cut = F.zip_with(F.split("formatted", f"{CLOSE}\n"), "__cf_said", lambda segment, t: F.when(t["role"] == loss_role, F.substr(segment, level(t, "head") + 1, level(t, "body"))).otherwise(""))
     return parsed.select(
         conversation,
         "formatted",
         "escape_level",
         F.col("turns").eqNullSafe(F.col("__cf_source")).alias("round_trip"),
         "turns",
-        _loss_spans(loss_role).alias("loss_spans"),
+        spans.alias("loss_spans"),
+        F.array_join(cut, "").alias("loss_text"),
     )
 
 
-def _loss_spans(loss_role: str) -> Column:
-    """Where the texts of loss_role stand in formatted, from the lengths of its segments."""
-    opened = len(f"{OPEN} : ")
-    lengths = F.transform(
-        F.col("turns"),
-        lambda t, i: F.struct(
-            (t["role"] == loss_role).alias("learned"),
-            (F.char_length(F.when(F.col("escape_level") == 0, t["role"]).otherwise(escape_role(t["role"]))) + opened).alias("head"),
-            F.char_length(F.when(F.col("escape_level") == 0, t["text"]).otherwise(escape(t["text"]))).alias("body"),
-        ),
-    )
-    empty = F.array().cast("array<struct<start:int,length:int>>")
-    return F.aggregate(
-        lengths,
-        F.struct(F.lit(0).alias("at"), empty.alias("spans")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["head"] + x["body"] + len(CLOSE) + 1).alias("at"),
-            F.when(x["learned"], F.concat(acc["spans"], F.array(F.struct((acc["at"] + x["head"]).alias("start"), x["body"].alias("length"))))).otherwise(acc["spans"]).alias("spans"),
-        ),
-        lambda acc: acc["spans"],
-    )
+def _head(role: Column | str) -> Column:
+    """Code points before a turn's text."""
+    return F.char_length(role) + len(f"{OPEN} : ")
 
 
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,8 +124,7 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(hostile).alias("text"))
     chats = format_chats(chats.unionByName(extra))
     # read back through the mask itself, not from the parsed turns
-    learned = F.array_join(F.transform("loss_spans", lambda s: F.substr(F.col("formatted"), s["start"] + 1, s["length"])), "")
-    learned = F.when(F.col("escape_level") == 0, learned).otherwise(unescape(learned))
+    learned = F.when(F.col("escape_level") == 0, F.col("loss_text")).otherwise(unescape(F.col("loss_text")))
     return chats.select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),
