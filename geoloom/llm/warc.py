@@ -261,20 +261,27 @@ def read_archives(packages: DataFrame, *, records_per_range: int = RANGE_RECORDS
     Columns: page_id, payload_bytes, payload_digest, record_type, refers_to, payload (null for a
     revisit). The first step reads directories and indexes and plans ranges; the second, dealt out
     over as many tasks as the ranges fill, reads each run of records that lie side by side at once.
-    Members that are compressed or lie elsewhere are passed over; a damaged package is an error. No
-    path, no row.
+    Other members are passed over. A package that is damaged, lacks its archive or index, holds one
+    of them compressed, or, where packages has a column records, holds another number of records, is
+    an error. No path, no row.
     """
+    known = F.col("records").cast("long") if "records" in packages.columns else F.lit(None).cast("long")
 
     def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path in batch["path"].to_pylist():
+            for path, records in zip(batch["path"].to_pylist(), batch["records"].to_pylist(), strict=True):
                 with _ranged(path) as f:
-                    members = {m.name: m for m in central_directory(f) if m.stored}
-                    if ARCHIVE not in members or INDEX not in members:
-                        continue
+                    members = {m.name: m for m in central_directory(f)}
+                    for name in (ARCHIVE, INDEX):
+                        if name not in members:
+                            raise ValueError(f"{path}: no member {name}")
+                        if not members[name].stored:
+                            raise ValueError(f"{path}: member {name} is compressed")
                     base = data_offset(f, members[ARCHIVE])
                     lines = _exactly(f, data_offset(f, members[INDEX]), members[INDEX].size).splitlines()
                     index = [json.loads(x) for x in lines]
+                    if records is not None and records != len(index):
+                        raise ValueError(f"{path}: {records} records were written, {len(index)} are there")
                 for i in range(0, len(index), records_per_range):
                     part = index[i : i + records_per_range]
                     yield pa.record_batch({"path": [path], "offsets": pa.array([[base + x["offset"] for x in part]], pa.list_(pa.int64())), "lengths": pa.array([[x["length"] for x in part]], pa.list_(pa.int64()))})
@@ -291,7 +298,7 @@ def read_archives(packages: DataFrame, *, records_per_range: int = RANGE_RECORDS
                             at += n
                         yield pa.RecordBatch.from_pylist(records, schema)
 
-    planned = written(packages.select("path").repartition("path").mapInArrow(plan, "path string, offsets array<long>, lengths array<long>"), "warc-ranges")
+    planned = written(packages.select("path", known.alias("records")).repartition("path").mapInArrow(plan, "path string, offsets array<long>, lengths array<long>"), "warc-ranges")
     # a number of tasks, so that Spark does not merge the small rows that stand for large ranges
     tasks = max(planned.sparkSession.sparkContext.defaultParallelism, -(-planned.count() // TASK_RANGES))
     return planned.repartition(tasks).mapInArrow(read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload string")
