@@ -21,14 +21,6 @@ _RUN, _BUCKET, _PART, _POS, _ORDER = "__sh_run", "__sh_bucket", "__sh_part", "__
 
 #: Buckets that one task of pass two works through, at most; 512 MB of the usual size.
 RUN_BUCKETS = 64
-#: Rows up to which a table of runs or of overfull buckets is broadcast: 24 bytes each, 24 MB in
-#: all. A million runs are 512 TB, and a million overfull buckets 16 TB of repeated rows.
-BROADCAST_ROWS = 1_000_000
-
-
-def _spread(table: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(table) if rows <= BROADCAST_ROWS else table
-
 
 def shuffle_to_shards(df: DataFrame, *, shards: int, key: str = "doc_id", text: str = "text", seed: int = 0, bucket_bytes: int = 8 << 20, least_buckets: int = 16) -> DataFrame:
     """Shuffle all rows and deal them to shards whose row counts differ by one at most.
@@ -50,13 +42,10 @@ def shuffle_to_shards(df: DataFrame, *, shards: int, key: str = "doc_id", text:
     placed = base.withColumn(_BUCKET, F.pmod(F.xxhash64(F.lit(seed), F.col(key), F.col(text)), F.lit(buckets)))
     heavy = placed.groupBy(_BUCKET).agg(F.sum("size").alias("__sh_bytes")).filter(F.col("__sh_bytes") > 2 * bucket_bytes)
     heavy = written(heavy.select(_BUCKET, F.ceil(F.col("__sh_bytes") / bucket_bytes).alias("__sh_parts")), "overfull-buckets")
-    overfull, parts = heavy.agg(F.count(F.lit(1)), F.coalesce(F.sum("__sh_parts"), F.lit(0))).first()
-    if overfull:
-        placed = placed.join(_spread(heavy, overfull), _BUCKET, "left")
-        row = F.xxhash64(F.lit(seed), F.monotonically_increasing_id())
-        placed = placed.withColumn(_PART, F.coalesce(F.pmod(row, F.col("__sh_parts")), F.lit(0).cast("long"))).drop("__sh_parts")
-    else:
-        placed = placed.withColumn(_PART, F.lit(0).cast("long"))
+    parts = heavy.agg(F.coalesce(F.sum("__sh_parts"), F.lit(0))).first()[0]
+    row = F.xxhash64(F.lit(seed), F.monotonically_increasing_id())
+    placed = placed.withColumn("__sh_row", row).join(heavy, _BUCKET, "left")
+    placed = placed.withColumn(_PART, F.coalesce(F.pmod("__sh_row", F.col("__sh_parts")), F.lit(0).cast("long"))).drop("__sh_parts", "__sh_row")
     # a run is what one task takes; parts of a bucket are runs of their own
     placed = placed.withColumn(_RUN, F.expr(f"{_BUCKET} div {in_run}")).withColumn(_ORDER, F.xxhash64(F.lit(seed + 1), F.col(key), F.col(text)))
     tasks = min(-(-buckets // in_run) + parts, 100_000)
@@ -83,13 +72,14 @@ def shuffle_to_shards(df: DataFrame, *, shards: int, key: str = "doc_id", text:
 
 def _deal(shuffled: DataFrame, shards: int) -> DataFrame:
     """Shards and slots of written runs, from the running sum of their row counts: one row per run,
-    so that the sum is one small task and its result is broadcast, without a second shuffle."""
+    so that the sum is one small task. Spark knows the size of its result and broadcasts it, without
+    a second shuffle, as long as it is small."""
     counts = written(shuffled.groupBy(_RUN, _PART).count(), "shuffled-counts")
-    runs, rows = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("count"), F.lit(0))).first()
+    rows = counts.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
     before = Window.orderBy(_RUN, _PART).rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(_RUN, _PART, F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__sh_start"))
     place = F.col("__sh_start") + F.col(_POS)
-    dealt = shuffled.join(_spread(starts, runs), [_RUN, _PART]).withColumn("shard", F.expr(f"cast((__sh_start + {_POS}) * {shards} div {max(rows, 1)} as int)"))
+    dealt = shuffled.join(starts, [_RUN, _PART]).withColumn("shard", F.expr(f"cast((__sh_start + {_POS}) * {shards} div {max(rows, 1)} as int)"))
     first = F.expr(f"(cast(shard as long) * {rows} + {shards - 1}) div {shards}")  # ceil(shard * rows / shards)
     return dealt.withColumn("slot", (place - first).cast("long")).drop(_RUN, _PART, _POS, "__sh_start")
 
