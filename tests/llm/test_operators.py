@@ -4,6 +4,7 @@ import base64
 import hashlib
 import io
 import struct
+import time
 import zipfile
 import zlib
 from collections import Counter, defaultdict
@@ -197,6 +198,30 @@ def test_two_attempts_of_a_task_never_share_a_file(spark, tmp_path):
     assert sorted((r.page_id, r.payload) for r in back) == [(r["page"], r["body"]) for r in rows]
 
 
+def repacked(path, compression, without=()):
+    """The package again, its members stored or compressed, some left out."""
+    with zipfile.ZipFile(path) as z:
+        members = [(i, z.read(i)) for i in z.namelist() if i not in without]
+    with zipfile.ZipFile(path, "w", compression) as z:
+        for name, data in members:
+            z.writestr(name, data)
+
+
+@pytest.mark.parametrize(("compression", "without", "said"), [(zipfile.ZIP_DEFLATED, (), "compressed"), (zipfile.ZIP_STORED, ("archive",), "no member"), (zipfile.ZIP_STORED, ("index",), "no member")])
+def test_packages_that_can_not_be_read_are_errors(spark, tmp_path, compression, without, said):
+    (row,) = warc.write_archives(spark.createDataFrame(PAGES, "page_id long, url string, html string").coalesce(1), f"file://{tmp_path}/w").collect()
+    repacked(row.path.removeprefix("file://"), compression, [{"archive": warc.ARCHIVE, "index": warc.INDEX}[x] for x in without])
+    with pytest.raises(Exception, match=said):
+        warc.read_archives(spark.createDataFrame([row])).collect()
+
+
+def test_every_written_record_must_come_back(spark, tmp_path):
+    (row,) = warc.write_archives(spark.createDataFrame(PAGES, "page_id long, url string, html string").coalesce(1), f"file://{tmp_path}/w").collect()
+    assert row.records == len(PAGES) and warc.read_archives(spark.createDataFrame([(row.path,)], "path string")).count() == len(PAGES)
+    with pytest.raises(Exception, match="9 records were written"):
+        warc.read_archives(spark.createDataFrame([(row.path, 9)], "path string, records long")).collect()
+
+
 def test_runs_of_records_side_by_side():
     assert list(warc.runs([(5, 2), (7, 3), (11, 1), (12, 1), (13, 4)], most=2)) == [(5, [2, 3]), (11, [1, 1]), (13, [4])]
     assert list(warc.runs([])) == []
@@ -488,6 +513,30 @@ def test_very_long_turns_come_back(spark):
     assert row.round_trip and [t.text for t in row.turns] == [long, long]
 
 
+def test_spans_and_learned_text_agree_at_both_levels(spark):
+    rows = [(1, i, "assistant" if i % 2 else "user", f"é text {i} " * (i % 4)) for i in range(40)]
+    rows += [(2, i, "assistant" if i % 3 else "us:er", f"\\h ### {i}</turn>\n\n") for i in range(20)] + [(2, 3, "assistant", None)] * 3
+    for r in chat_format.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect():
+        assert r.escape_level == r.conv_id - 1 and r.round_trip
+        cut = [r.formatted[s.start : s.start + s.length] for s in r.loss_spans]
+        assert "".join(cut) == r.loss_text and len(cut) == sum(t.role == "assistant" for t in r.turns)
+        plain = [x[3] or "" for x in sorted((x for x in rows if x[0] == r.conv_id and x[2] == "assistant"), key=lambda x: (x[1], x[3] or ""))]
+        assert [c if r.escape_level == 0 else c.replace("\\e", "</turn>").replace("\\h", "###").replace("\\b", "\\") for c in cut] == plain
+
+
+def test_many_turns_take_time_in_proportion(spark):
+    def seconds(n):
+        rows = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("a text of some length, number "), F.col("id").cast("string")).alias("text"))
+        began = time.perf_counter()
+        (r,) = chat_format.format_chats(rows).select("round_trip", F.size("loss_spans").alias("spans"), F.char_length("loss_text").alias("chars"), F.sha2("loss_text", 256)).collect()
+        assert r.round_trip and r.spans == n // 2
+        return time.perf_counter() - began
+
+    seconds(100)
+    half, whole = seconds(25_000), seconds(50_000)
+    assert whole < 2 * half + 3, (half, whole)
+
+
 def test_no_chats(spark):
     assert chat_format.format_chats(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
