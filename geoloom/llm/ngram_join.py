@@ -118,7 +118,8 @@ def _classes(scanned: DataFrame) -> Broadcast:
 
 
 def _beginnings(df: DataFrame, class_of: Broadcast, *, words: int, num: int, den: int, text: str) -> DataFrame:
-    """(h1, h2, n, grams) of every distinct set of a task: its first n-grams as 64-bit words."""
+    """(h1, h2, n, grams) of every distinct set of a task: its first n-grams as 64-bit words. A set
+    that several tasks meet has a row of each."""
 
     def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = _Seen()
@@ -262,7 +263,9 @@ def near_duplicate_components(df: DataFrame, *, words: int = 5, num: int = 4, de
     nodes = docs.filter("h1 IS NOT NULL").groupBy("h1", "h2").agg(F.min(F.struct(F.col("key").isNull().alias("last"), "key", "th")).alias("first"), F.max("n").alias("n"), F.count(F.lit(1)).alias("rows"))
     nodes = written(nodes.select(F.monotonically_increasing_id().alias("node"), "h1", "h2", F.col("first.key").alias("first"), F.col("first.th").alias("th"), "n", "rows"), "shingle-nodes")
     class_of = _classes(scanned)
-    beginnings = written(_beginnings(df, class_of, words=words, num=num, den=den, text=text), "set-beginnings")
+    # copies in many tasks are one row from here on, so a place holds each set once
+    beginnings = _beginnings(df, class_of, words=words, num=num, den=den, text=text).repartition("h1").dropDuplicates(["h1", "h2"])
+    beginnings = written(beginnings, "set-beginnings")
     meetings = written(_meetings(beginnings, num=num, den=den), "meetings")
     places = meetings.groupBy("place").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("grams")).filter("members > 1")
     places = written(places.select("place", F.expr(f"members > {BLOCK_SETS} OR grams > {BLOCK_GRAMS}").alias("large")), "meeting-places")
