@@ -39,22 +39,32 @@ def _all_edges(rings: Column) -> Column:
 
 def on_border(rings: Column, x: Column, y: Column) -> Column:
     """The point lies on an edge, exactly."""
+    return on_edge(_all_edges(rings), x, y)
+
+
+def crosses_odd(rings: Column, x: Column, y: Column) -> Column:
+    """A ray to the right crosses an odd number of edges."""
+    return crosses_odd_edges(_all_edges(rings), x, y)
+
+
+def on_edge(edges: Column, x: Column, y: Column) -> Column:
+    """The same as on_border, of edges (x1, y1, x2, y2)."""
 
     def touches(e: Column) -> Column:
         turn = (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
         return (turn == 0) & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"])) & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
 
-    return F.exists(_all_edges(rings), touches)
+    return F.exists(edges, touches)
 
 
-def crosses_odd(rings: Column, x: Column, y: Column) -> Column:
-    """A ray to the right crosses an odd number of edges."""
+def crosses_odd_edges(edges: Column, x: Column, y: Column) -> Column:
+    """The same as crosses_odd, of edges (x1, y1, x2, y2)."""
 
     def crossed(e: Column) -> Column:
         straddles = (e["y1"] > y) != (e["y2"] > y)
         return straddles & (x < (e["x2"] - e["x1"]) * (y - e["y1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0)) + e["x1"])
 
-    return F.size(F.filter(_all_edges(rings), crossed)) % 2 == 1
+    return F.size(F.filter(edges, crossed)) % 2 == 1
 
 
 def bounds(rings: Column) -> dict[str, Column]:

@@ -1,14 +1,15 @@
-"""Point-in-polygon mapping by boundary vintage, as a tile-bucketed equality join."""
+"""Point-in-polygon mapping by boundary vintage, as an equality join on tiles of polygon covers."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import valid_location
-from ..functions.polygons import crosses_odd, on_border
+from ..functions.polygons import crosses_odd_edges, on_edge
 from ..sources.boundaries import SRID
 from ..sources.sinks import new_rows, rebuild_or_add
+from .cover import polygon_cover, tile_of
 from .dedup import guard_unique
 
 LOCATION = ("tiger_line_year", "latitude", "longitude")
@@ -19,35 +20,32 @@ def unique_locations(df: DataFrame) -> DataFrame:
     return df.filter(F.col("tiger_line_year").isNotNull() & valid_location()).select(*LOCATION).dropDuplicates(LOCATION)
 
 
-def _tile(value: Column, size: float) -> Column:
-    return F.floor(value / size).cast("long")
-
-
-def candidates(locations: DataFrame, boundaries: DataFrame, *, tile: float = 0.05) -> DataFrame:
+def candidates(locations: DataFrame, boundaries: DataFrame) -> DataFrame:
     """Pairs of a location and a polygon around it: interior, or on the border, as two flags.
 
-    A polygon goes to every tile that its box touches and a point to the one it lies in, so the join
-    is an equality on year and tile and a pair comes once. A tile near the size of a median polygon
-    gives few candidates; where points crowd one tile, Spark splits its partition.
+    Polygons are covered by tiles of their own sizes, see cover; a point lies in one tile of each
+    size, so the join is an equality on year, size and tile, and a pair comes once. Inner tiles match
+    as they are; only in border tiles are edges looked at, and only those near the tile. Where points
+    crowd one tile, Spark splits its partition.
     """
-    points = locations.select(*LOCATION, _tile(F.col("longitude"), tile).alias("__i"), _tile(F.col("latitude"), tile).alias("__j"))
-    across = F.explode(F.sequence(_tile(F.col("min_x"), tile), _tile(F.col("max_x"), tile)))
-    shapes = boundaries.withColumn("__i", across).withColumn("__j", F.explode(F.sequence(_tile(F.col("min_y"), tile), _tile(F.col("max_y"), tile))))
-    shapes = shapes.select(F.col("boundary_vintage").alias("tiger_line_year"), "__i", "__j", "geoid", "rings", "min_x", "max_x", "min_y", "max_y")
+    cover = polygon_cover(boundaries).withColumnRenamed("boundary_vintage", "tiger_line_year")
     x, y = F.col("longitude"), F.col("latitude")
-    near = points.join(shapes, ["tiger_line_year", "__i", "__j"]).filter(x.between(F.col("min_x"), F.col("max_x")) & y.between(F.col("min_y"), F.col("max_y")))
-    flagged = near.withColumn("border", on_border(F.col("rings"), x, y))
-    flagged = flagged.withColumn("interior", ~F.col("border") & crosses_odd(F.col("rings"), x, y))
+    sizes = polygon_cover(boundaries).agg(F.array_sort(F.collect_set("level"))).scalar()  # a number a level
+    points = locations.select(*LOCATION, F.explode(sizes).alias("level"))
+    points = points.withColumns({"i": tile_of(x, F.col("level")), "j": tile_of(y, F.col("level"))})
+    near = points.join(cover, ["tiger_line_year", "level", "i", "j"])
+    flagged = near.withColumn("border", ~F.col("inner") & on_edge(F.col("edges"), x, y))
+    flagged = flagged.withColumn("interior", F.col("inner") | (~F.col("border") & crosses_odd_edges(F.col("edges"), x, y)))
     return flagged.filter("interior OR border").select(*LOCATION, "geoid", "interior", "border")
 
 
-def map_locations(locations: DataFrame, boundaries: DataFrame, *, tile: float = 0.05) -> DataFrame:
+def map_locations(locations: DataFrame, boundaries: DataFrame) -> DataFrame:
     """Every location once, with tract_geoid.
 
     A strict interior match comes first; two are an error, as tracts don't overlap. Otherwise a
     match that includes the border counts if it is the only one. All others keep a null tract.
     """
-    per_point = candidates(locations, boundaries, tile=tile).groupBy(*LOCATION).agg(
+    per_point = candidates(locations, boundaries).groupBy(*LOCATION).agg(
         F.count_distinct(F.when(F.col("interior"), F.col("geoid"))).alias("insides"),
         F.min(F.when(F.col("interior"), F.col("geoid"))).alias("inside"),
         F.count_distinct("geoid").alias("covers"),
@@ -58,12 +56,12 @@ def map_locations(locations: DataFrame, boundaries: DataFrame, *, tile: float =
     return locations.join(per_point.select(*LOCATION, tract.alias("tract_geoid")), list(LOCATION), "left")
 
 
-def materialize_location_map(spark: SparkSession, candidates_df: DataFrame, boundaries: DataFrame, path: str, *, rebuild: bool = False, tile: float = 0.05) -> DataFrame:
+def materialize_location_map(spark: SparkSession, candidates_df: DataFrame, boundaries: DataFrame, path: str, *, rebuild: bool = False) -> DataFrame:
     """Map all locations, or only those that the table at path does not have; return the table."""
 
     def build(existing: DataFrame | None) -> DataFrame:
         wanted = candidates_df if existing is None else new_rows(candidates_df, existing, LOCATION)
-        return map_locations(wanted, boundaries, tile=tile)
+        return map_locations(wanted, boundaries)
 
     rebuild_or_add(spark, path, build, keys=LOCATION, rebuild=rebuild)
     return guard_unique(spark.read.parquet(path), LOCATION, name="location map")

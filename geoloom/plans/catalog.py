@@ -312,7 +312,7 @@ _MAPPED = """
 @query(_MAPPED)
 def point_in_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = spatial.unique_locations(_located(spark, sf_dir).withColumn("tiger_line_year", F.lit(2020)))
-    return spatial.map_locations(points, _boundaries(spark, sf_dir), tile=0.5)
+    return spatial.map_locations(points, _boundaries(spark, sf_dir))
 
 
 @query("SELECT DISTINCT year(o_orderdate)::INTEGER AS tiger_line_year FROM orders WHERE year(o_orderdate) % 2 = 1")
@@ -498,7 +498,7 @@ def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = grid.with_cell(_located(spark, sf_dir)).withColumn("incident_id", F.col("event_id").cast("string"))
     calendar = _event_calendar(spark, sf_dir)
     lit = lighting.lighting_conditions(lighting.lighting_keys(events).filter(F.hour("solar_timestamp_hour") % 3 != 0))
-    mapped = spatial.map_locations(gold.located_events(events, calendar), _boundaries(spark, sf_dir), tile=0.5)
+    mapped = spatial.map_locations(gold.located_events(events, calendar), _boundaries(spark, sf_dir))
     return gold.feature_rows(events, calendar=calendar, location_map=mapped, census=_census_table(spark, sf_dir), weather=_weather_table(spark, sf_dir), lighting_table=lit, provider="open_meteo", model="era5")
 
 

@@ -316,8 +316,8 @@ def location_map_added(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = base._located(spark, sf_dir).withColumns({"tiger_line_year": year, "latitude": F.col("latitude") + 0.0011, "longitude": F.col("longitude") + 0.0013})
     shapes = boundaries.boundary_table({2019: _wkt(spark, sf_dir, 0.4), 2020: _wkt(spark, sf_dir, 0.0)})
     path = fresh_path(spark, "location-map")
-    spatial.materialize_location_map(spark, spatial.unique_locations(events.filter("user_id % 2 = 0")), shapes, path, tile=0.5)
-    mapped = spatial.materialize_location_map(spark, spatial.unique_locations(events), shapes, path, tile=0.5)
+    spatial.materialize_location_map(spark, spatial.unique_locations(events.filter("user_id % 2 = 0")), shapes, path)
+    mapped = spatial.materialize_location_map(spark, spatial.unique_locations(events), shapes, path)
     return mapped.select("tiger_line_year", F.round("latitude", 6).alias("latitude"), F.round("longitude", 6).alias("longitude"), "tract_geoid")
 
 
@@ -333,7 +333,7 @@ def overlapping_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     ring = F.concat_ws(", ", corner(0, 0), corner(0.75, 0), corner(0.75, 1), corner(0, 1), corner(0, 0))
     shapes = boundaries.boundary_table({2020: table(spark, sf_dir, "nation").select(key.cast("string").alias("geoid"), F.concat(F.lit("POLYGON (("), ring, F.lit("))")).alias("wkt"), F.lit(4326).alias("srid"))})
     points = spatial.unique_locations(base._located(spark, sf_dir).withColumn("tiger_line_year", F.lit(2020)))
-    return spatial.candidates(points, shapes, tile=0.5).select("latitude", "longitude", "geoid", "interior")
+    return spatial.candidates(points, shapes).select("latitude", "longitude", "geoid", "interior")
 
 
 @query(f"{base._SOLAR} SELECT weather_query_cell_id, solar_timestamp_hour, {base._CLASS} AS lighting_condition FROM s")
@@ -429,7 +429,7 @@ def rejected_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "identities_null": _rejected(lambda: dedup.guard_identities(events.select(F.when(F.col("event_id") % 9 != 0, F.col("event_id").cast("string")).alias("incident_id"))), "'incident_id': None"),
         "identities_twice": _rejected(lambda: dedup.guard_identities(users), "'row_count':"),
         "lookup_twice": _rejected(lambda: dedup.one_row_per_key(events.select("user_id", "value"), ["user_id"], name="users").collect(), "users: keys are not unique"),
-        "ambiguous_tract": _rejected(lambda: spatial.map_locations(points, overlapping, tile=0.5).collect(), "inside several polygons"),
+        "ambiguous_tract": _rejected(lambda: spatial.map_locations(points, overlapping).collect(), "inside several polygons"),
         "contract": _rejected(lambda: incidents.assert_contract(base._canonical(spark, sf_dir).withColumn("beat", F.lit(1))), "'beat', 'int'"),
         "calendar": _rejected(lambda: asof.calendar_ranges(years), "not unique"),
     }
