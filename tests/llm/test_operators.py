@@ -318,15 +318,49 @@ def test_answers_like_plain_naive_bayes(documents):
         assert r.lang_pred == best and abs(r.score - 1 / sum(np.exp(v - logs[best]) for v in logs.values())) < 1e-9
 
 
-def test_most_frequent_languages_are_learned(documents, monkeypatch):
-    monkeypatch.setattr(language_id, "MOST_LANGUAGES", 2)
-    rows = [(1, "aa", "p"), (2, "bb", "q"), (3, "cc", "r"), (4, "cc", "r"), (5, "dd", "q "), (6, "12", "q")]
-    assert language_id.train(documents(rows)).languages == ("q", "r")
+def test_blocks_of_languages_answer_like_one(documents, corpus, monkeypatch):
+    """Whatever the blocks, the best language, ties included, and the posterior are the same."""
+    model = language_id.train(corpus)
+    asked = corpus.filter("doc_id % 5 = 0").unionByName(documents([(-1, None), (-2, ""), (-3, "12 !")]))
+    answers = lambda m: {r.doc_id: (r.lang_pred, round(r.score, 9)) for r in language_id.predict(asked, m).collect()}
+    one = answers(model)
+    monkeypatch.setattr(language_id, "BLOCK_LANGUAGES", 1)
+    several = language_id.train(corpus)
+    assert model.blocks == 1 and several.blocks > 2 and answers(several) == one and one[-1] == ("und", 0.0)
+    tied = language_id.train(documents([(i, "same words", f"l{i}") for i in range(6)]))
+    (r,) = language_id.predict(documents([(1, "words")]), tied).collect()
+    assert tied.blocks == 6 and r.lang_pred == "l0" and abs(r.score - 1 / 6) < 1e-9
+
+
+def spoken(spark, n):
+    """Two documents in each of n languages, whose words tell them apart."""
+    word = F.translate((F.col("id") % n).cast("string"), "0123456789", "abcdefghij")
+    return spark.range(2 * n).select((F.col("id") + 1).alias("doc_id"), F.concat(F.lit("word "), word).alias("text"), F.concat(F.lit("l"), F.col("id") % n).alias("lang"))
+
+
+def test_thousands_of_languages_are_all_learned(spark):
+    """A task counts a block of languages at once and hands their counts on; so does the driver."""
+    model = language_id.train(spoken(spark, 5000))
+    assert model.blocks == 79 and model.counts.filter(F.col("bucket") == language_id.ROWS).agg(F.count("l"), F.sum("n")).first()[:] == (5000, 10_000)
+    assert 20 < len(model.block(7).languages) < 130
+
+
+def test_hundreds_of_languages_are_told_apart(spark, monkeypatch):
+    df = spoken(spark, 150)
+    asked = df.withColumn("text", F.repeat(F.concat("text", F.lit(" ")), 3))
+    answers = lambda m: {r.doc_id: (r.lang_pred, round(r.score, 9)) for r in language_id.predict(asked, m).collect()}
+    model = language_id.train(df)
+    found = answers(model)
+    assert model.blocks == 3 and len(found) == 300
+    assert sum(found[i + 1][0] == f"l{i % 150}" for i in range(300)) > 270
+    monkeypatch.setattr(language_id, "BLOCK_LANGUAGES", 150)
+    whole = language_id.train(df)
+    assert whole.blocks == 1 and answers(whole) == found
 
 
 def test_training_counts_and_long_texts(documents, monkeypatch):
     docs = [(1, "abc def ghi " * 40, "x"), (2, "zzz yyy", "y"), (3, None, "x"), (4, "q", None)]
-    model = language_id.train(documents(docs), smoothing=0.5)
+    model = language_id.train(documents(docs), smoothing=0.5).block(0)
     assert model.languages == ("x", "y")
     counts = plain_counts([docs[0][1]])
     total = sum(counts.values()) + 0.5 * language_id.BUCKETS
