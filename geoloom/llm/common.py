@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import discard, fresh_path, shared_dir, written
 
-__all__ = ["WHITE", "binary_texts", "discard", "each_group", "fresh_path", "may_hold", "read_table", "shared_dir", "sorted_groups", "written"]
+__all__ = ["WHITE", "binary_texts", "by_length", "discard", "each_group", "fresh_path", "in_waves", "may_hold", "read_table", "shared_dir", "sorted_groups", "written"]
 
 #: The ASCII white space that separates words: space and \x09 to \x0D.
 WHITE = " \t\n\x0b\x0c\r"
@@ -82,3 +82,27 @@ def each_group(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[p
         begins = np.flatnonzero(np.concatenate([[True], np.logical_or.reduce([v[1:] != v[:-1] for v in values])]))
         for a, b in zip(begins, [*begins[1:], table.num_rows], strict=True):
             yield table.slice(a, b - a)
+
+
+def by_length(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch, np.ndarray]]:
+    """(length, rows, matrix) for each length of the vectors v of a batch, as its column dim names it."""
+    dims = batch["dim"].to_numpy()
+    for dim in np.unique(dims).tolist():
+        part = batch.filter(pa.array(dims == dim))
+        yield dim, part, part["v"].flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+
+
+def in_waves(packs: DataFrame, size: Column, wave_bytes: int) -> list[DataFrame]:
+    """Packs of queries, numbered in column pack, in runs of at most wave_bytes, or of one pack.
+
+    What reaches the driver is a number and a size per pack; a run is small enough to be broadcast.
+    """
+    waves: list[list[int]] = []
+    room = 0
+    for name, own in packs.select("pack", size.alias("size")).orderBy("pack").collect():
+        if not waves or own > room:
+            waves.append([])
+            room = wave_bytes
+        waves[-1].append(name)
+        room -= own
+    return [packs.filter(F.col("pack").isin(wave)) for wave in waves]

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import discard, read_table, written
+from .common import by_length, discard, in_waves, read_table, written
 
 #: Posting lists of a block, at most: dimensions are taken together in so many segments.
 SEGMENTS = 8
@@ -110,7 +110,7 @@ def _index(vectors: DataFrame, block_rows: int) -> DataFrame:
             return pa.record_batch({"dim": pa.array([dim], pa.int32()), "n": pa.array([len(ids)], pa.int64())} | {k: pa.array([np.ascontiguousarray(x).tobytes()], pa.binary()) for k, x in blobs.items()})
 
         for batch in batches:
-            for dim, part, exact in _by_length(batch):
+            for dim, part, exact in by_length(batch):
                 for i in range(0, len(exact), block_rows):
                     held.setdefault(dim, []).append((part["id"].to_numpy()[i : i + block_rows], part["label"].to_numpy()[i : i + block_rows], exact[i : i + block_rows]))
                     if sum(len(ids) for ids, _, _ in held[dim]) >= block_rows:
@@ -121,19 +121,12 @@ def _index(vectors: DataFrame, block_rows: int) -> DataFrame:
     return vectors.select("id", "label", "dim", "v").mapInArrow(build, _INDEX)
 
 
-def _by_length(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch, np.ndarray]]:
-    dims = batch["dim"].to_numpy()
-    for dim in np.unique(dims).tolist():
-        part = batch.filter(pa.array(dims == dim))
-        yield dim, part, part["v"].flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
-
-
 def _packs(asked: DataFrame, pack_rows: int) -> DataFrame:
     """Queries (id, label, v, dim, windows: array of (window, low, high, bar)), some to a row."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for dim, part, exact in _by_length(batch):
+            for dim, part, exact in by_length(batch):
                 for i in range(0, len(exact), pack_rows):
                     some, windows = part.slice(i, pack_rows), part["windows"].slice(i, pack_rows).flatten()
                     counts = np.array([len(w) for w in some["windows"]], np.int64)
@@ -213,16 +206,8 @@ def _scanned(index: DataFrame, packs: DataFrame, k: int, same_label: bool, wave_
             yield one.rows()
 
     blocks = index.select("dim", *(F.col(c).alias(f"b_{c}") for c in index.columns if c != "dim"))
-    sizes = packs.select("pack", (F.octet_length("vectors") + 4 * F.octet_length("bar")).alias("size")).orderBy("pack").collect()  # a row per pack of thousands
-    waves: list[list[int]] = []
-    room = 0
-    for name, size in sizes:
-        if not waves or size > room:
-            waves.append([])
-            room = wave_bytes
-        waves[-1].append(name)
-        room -= size
-    found = [blocks.join(F.broadcast(packs.filter(F.col("pack").isin(wave))), "dim").mapInArrow(scan, _FOUND) for wave in waves]
+    waves = in_waves(packs, F.octet_length("vectors") + 4 * F.octet_length("bar"), wave_bytes)
+    found = [blocks.join(F.broadcast(wave), "dim").mapInArrow(scan, _FOUND) for wave in waves]
     return reduce(DataFrame.unionByName, found) if found else index.sparkSession.createDataFrame([], _FOUND)
 
 

@@ -4,21 +4,29 @@ Vectors are written once, and beside them an approximation file: one byte per co
 a grid. A search scans the cells of all rows, which give bounds on every score; rows whose upper
 bound reaches the k-th lower bound are left. Exact vectors are read for those alone, first for the k
 best bounds of a query and then for whatever could still beat the k-th score found.
+
+Queries go to the blocks of codes in waves that are broadcast, so that codes are never shuffled, and
+a task keeps the k-th lower bound of each query over all its blocks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import discard, may_hold, read_table, written
+from .common import by_length, discard, in_waves, may_hold, read_table, written
 
 #: Cells of a component: a code is one byte.
 CELLS = 256
+#: Bytes of queries that one pass over the codes asks at once.
+WAVE_BYTES = 32 << 20
+#: Pairs that a task holds before it drops those that better ones exclude.
+HELD = 1 << 20
 
 
 class Grid:
@@ -60,10 +68,7 @@ def _approximated(vectors: DataFrame, rows_per_block: int) -> DataFrame:
             return pa.record_batch(block | {name: pa.array([x.tobytes()], pa.binary()) for name, x in blobs.items()})
 
         for batch in batches:
-            dims = batch["dim"].to_numpy()
-            for dim in np.unique(dims).tolist():
-                part = batch.filter(pa.array(dims == dim))
-                exact = part["v"].flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+            for dim, part, exact in by_length(batch):
                 held.setdefault(dim, []).append((part["id"].to_numpy(), part["row"].to_numpy(), exact))
                 if sum(len(ids) for ids, _, _ in held[dim]) >= rows_per_block:
                     yield close(dim)
@@ -73,35 +78,76 @@ def _approximated(vectors: DataFrame, rows_per_block: int) -> DataFrame:
     return vectors.select("row", "id", "dim", "v").mapInArrow(encode, "dim int, block long, n long, ids binary, rows binary, codes binary, low binary, width binary")
 
 
-def _scanned(blocks: DataFrame, asked: DataFrame, k: int, queries_per_block: int) -> DataFrame:
-    """(query_id, row, lower, upper): rows of each block that may be among the k best of it.
+def _packs(asked: DataFrame, pack_rows: int) -> DataFrame:
+    """Queries (id, dim, v), some to a row."""
 
-    Every block of codes meets every block of queries once; a byte per component is all that is
-    copied of the rows.
-    """
-    asks = max(1, -(-asked.count() // queries_per_block))
-    names = written(blocks.select("dim", "block"), "block-names")
-    left = blocks.withColumn("ask", F.explode(F.sequence(F.lit(0), F.lit(asks - 1))))
-    right = asked.withColumn("ask", F.pmod(F.xxhash64("id"), F.lit(asks)).cast("int")).join(names, "dim")
-
-    def scan(block: pa.Table, queries: pa.Table) -> pa.Table:
-        found: list[tuple[np.ndarray, ...]] = []
-        for b in block.to_pylist() if queries.num_rows else []:
-            ids, rows = np.frombuffer(b["ids"], np.int64), np.frombuffer(b["rows"], np.int64)
-            codes = np.frombuffer(b["codes"], np.uint8).reshape(b["n"], b["dim"])
-            grid = Grid(np.frombuffer(b["low"]), np.frombuffer(b["width"]))
-            wanted, exact = queries["id"].to_numpy(), queries["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, b["dim"])
-            for i in range(0, len(wanted), 128):
-                centres, radius = grid.bounds(codes, exact[i : i + 128])
-                centres[wanted[i : i + 128, None] == ids[None, :]] = -np.inf  # not a query's own row
-                least = np.partition(centres, len(ids) - k, axis=1)[:, len(ids) - k] if len(ids) > k else np.full(len(centres), -np.inf)
-                q, r = np.nonzero((centres >= least[:, None] - 2 * radius[:, None]) & (centres > -np.inf))
-                found.append((wanted[i + q], rows[r], centres[q, r] - radius[q], centres[q, r] + radius[q]))
-        columns = [np.concatenate(x) for x in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 2 + [np.zeros(0)] * 2
-        return pa.table(dict(zip(("query_id", "row", "lower", "upper"), map(pa.array, columns), strict=True)))
-
-    keys = ("dim", "block", "ask")
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(scan, "query_id long, row long, lower double, upper double")
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for dim, part, exact in by_length(batch):
+                for i in range(0, len(exact), pack_rows):
+                    blobs = {"asked": part["id"].to_numpy()[i : i + pack_rows], "vectors": exact[i : i + pack_rows]}
+                    yield pa.record_batch({"dim": pa.array([dim], pa.int32())} | {k: pa.array([np.ascontiguousarray(x).tobytes()], pa.binary()) for k, x in blobs.items()})
+
+    return asked.select("id", "dim", "v").mapInArrow(pack, "dim int, asked binary, vectors binary").withColumn("pack", F.monotonically_increasing_id())
+
+
+class _Bounded:
+    """What a task knows of one pack: the k best lower bounds of each query, and pairs that reach them."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int) -> None:
+        self.ids, self.vectors, self.k = ids, vectors, k
+        self.lower = np.full((len(ids), k), -np.inf)
+        self.held: list[tuple[np.ndarray, ...]] = []
+
+    def add(self, grid: Grid, codes: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
+        for i in range(0, len(self.ids), 128):
+            centres, radius = grid.bounds(codes, self.vectors[i : i + 128])
+            centres[self.ids[i : i + 128, None] == ids[None, :]] = -np.inf  # not a query's own row
+            best = np.concatenate([self.lower[i : i + 128], centres - radius[:, None]], axis=1)
+            self.lower[i : i + 128] = np.partition(best, best.shape[1] - self.k, axis=1)[:, -self.k :]
+            q, r = np.nonzero((centres + radius[:, None] >= self.lower[i : i + 128].min(axis=1)[:, None]) & (centres > -np.inf))
+            self.held.append((i + q, rows[r], centres[q, r] - radius[q], centres[q, r] + radius[q]))
+
+    def size(self) -> int:
+        return sum(len(x[0]) for x in self.held)
+
+    def reaching(self) -> tuple[np.ndarray, ...]:
+        """All pairs held that can be among the k best of the rows seen so far."""
+        q, rows, lower, upper = (np.concatenate(x) for x in zip(*self.held, strict=True)) if self.held else (np.zeros(0, np.int64),) * 2 + (np.zeros(0),) * 2
+        kept = upper >= self.lower.min(axis=1)[q]
+        return q[kept], rows[kept], lower[kept], upper[kept]
+
+    def given_out(self) -> pa.RecordBatch:
+        q, rows, lower, upper = self.reaching()
+        self.held = []
+        return pa.record_batch({"query_id": pa.array(self.ids[q], pa.int64()), "row": pa.array(rows, pa.int64()), "lower": pa.array(lower), "upper": pa.array(upper)})
+
+
+def _scanned(blocks: DataFrame, asked: DataFrame, k: int, queries_per_pack: int, wave_bytes: int) -> DataFrame:
+    """(query_id, row, lower, upper): rows that may be among the k best of a query."""
+    schema = "query_id long, row long, lower double, upper double"
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packs: dict[int, _Bounded] = {}
+        for batch in batches:
+            for i in range(batch.num_rows):
+                raw = lambda name, kind: np.frombuffer(batch[name][i].as_buffer(), kind)  # noqa: B023, E731
+                dim, n, pack = (batch[name][i].as_py() for name in ("dim", "n", "pack"))
+                if pack not in packs:
+                    packs[pack] = _Bounded(raw("asked", np.int64).copy(), raw("vectors", np.float64).reshape(-1, dim).copy(), k)
+                found = packs[pack]
+                found.add(Grid(raw("low", np.float64), raw("width", np.float64)), raw("codes", np.uint8).reshape(n, dim), raw("ids", np.int64), raw("rows", np.int64))
+                if found.size() > HELD:
+                    found.held = [found.reaching()]
+                    if found.size() > HELD // 2:  # many ties: they go on as they are
+                        yield found.given_out()
+        for found in packs.values():
+            yield found.given_out()
+
+    packs = written(_packs(asked, queries_per_pack), "query-packs")
+    waves = in_waves(packs, F.octet_length("vectors") + 8 * k * F.octet_length("asked"), wave_bytes)
+    found = [blocks.join(F.broadcast(wave), "dim").mapInArrow(scan, schema) for wave in waves]
+    return reduce(DataFrame.unionByName, found) if found else blocks.sparkSession.createDataFrame([], schema)
 
 
 def _best(rows: DataFrame, k: int, *order: Column | str) -> DataFrame:
@@ -122,7 +168,7 @@ def exact_scores(pairs: DataFrame, vectors: DataFrame, asked: DataFrame) -> Data
     return both.select("query_id", "vec_id", score.cast("long").alias("score"))
 
 
-def exact_top_k(rows: DataFrame, queries: DataFrame, *, key: str = "vec_id", vector: str = "vector", k: int = 5, rows_per_block: int = 16384, queries_per_block: int = 1024) -> DataFrame:
+def exact_top_k(rows: DataFrame, queries: DataFrame, *, key: str = "vec_id", vector: str = "vector", k: int = 5, rows_per_block: int = 16384, queries_per_pack: int = 1024, wave_bytes: int = WAVE_BYTES) -> DataFrame:
     """For each query the k rows with the highest inner product, other than rows with its own key.
 
     Vectors are arrays of whole numbers as doubles; sums of products must stay below 2**53. Returns
@@ -140,7 +186,7 @@ def exact_top_k(rows: DataFrame, queries: DataFrame, *, key: str = "vec_id", vec
     asked = queries.select(*columns).filter(F.col("id").isNotNull() & _whole(F.col("v"))).groupBy("id").agg(F.min("v").alias("v"))
     asked = written(asked.withColumn("dim", F.size("v")), "queries")
     blocks = written(_approximated(vectors, rows_per_block), "approximation")
-    found = written(_scanned(blocks, asked, k, queries_per_block), "bounded")
+    found = written(_scanned(blocks, asked, k, queries_per_pack, wave_bytes), "bounded")
     lower = _best(found, k, F.desc("lower")).select("query_id", F.col("lower").alias("score"))
     left = written(_best(_reaching(found, lower, k), 1 << 30, F.desc("upper")), "candidates")
     first = written(exact_scores(left.filter(F.col("rank") <= k), vectors, asked), "first-scores")
