@@ -121,7 +121,7 @@ def test_top_k_like_brute_force(spark):
     rows = [(i, v.tolist()) for i, v in enumerate(data)] + [(900, None), (901, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (902, [float("nan")] * 6), (None, [1.0] * 6), (903, [1.0] * 5), (904, [])]
     df = spark.createDataFrame(rows, "vec_id long, vector array<double>")
     got = defaultdict(list)
-    for r in vector_search.exact_top_k(df, df.filter("vec_id % 20 = 0 or vec_id > 900"), rows_per_block=64, queries_per_block=7).orderBy("query_id", "rank").collect():
+    for r in vector_search.exact_top_k(df, df.filter("vec_id % 20 = 0 or vec_id > 900"), rows_per_block=64, queries_per_pack=7, wave_bytes=1500).orderBy("query_id", "rank").collect():
         got[r.query_id].append((r.vec_id, r.score))
     scores = data @ data.T
     for q in range(0, 400, 20):
@@ -149,6 +149,30 @@ def test_bounds_hold():
         assert spread > 3 or (radius == 0).all()
 
 
+@pytest.mark.parametrize("held", [1 << 20, 50])
+def test_a_task_gives_out_what_reaches_its_best_bounds(monkeypatch, held):
+    rng = np.random.default_rng(8)
+    vectors, asked = rng.integers(-300, 300, (4000, 6)).astype(float), rng.integers(-300, 300, (30, 6)).astype(float)
+    found = vector_search._Bounded(np.arange(-30, 0), asked, 3)
+    pairs = []
+    for i in range(0, 4000, 500):
+        grid = vector_search.Grid.around(vectors[i : i + 500])
+        found.add(grid, grid.codes(vectors[i : i + 500]), np.arange(i, i + 500), np.arange(i, i + 500))
+        if found.size() > held:
+            pairs.append(found.given_out())
+    pairs.append(found.given_out())
+    got = {(q, r) for b in pairs for q, r in zip(b["query_id"].to_pylist(), b["row"].to_pylist(), strict=True)}
+    best = np.argsort(-(asked @ vectors.T), axis=1, kind="stable")[:, :3]
+    assert {(q - 30, int(r)) for q in range(30) for r in best[q]} <= got and (held == 50 or len(got) < 30 * 4000 / 20)
+
+
+def test_codes_are_not_shuffled(spark):
+    df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(300)], "id long, v array<double>").withColumns({"dim": F.lit(2), "row": F.col("id")})
+    blocks = vector_search._approximated(df, 64)
+    plan = vector_search._scanned(blocks, df.filter("id < 5"), 2, 4, 1 << 20)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
 def test_few_exact_vectors_are_read(spark, monkeypatch):
     rng = np.random.default_rng(5)
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.integers(-2000, 2000, (3000, 16)).astype(float))], "vec_id long, vector array<double>")
