@@ -251,3 +251,14 @@ def test_op10_digest(spark, sf_dir):
     rows = exact_dedup.op10_exact_dedup(spark, sf_dir).collect()
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     assert all(r.text_sha256 == hashlib.sha256((texts[r.doc_id] or "").encode()).hexdigest() for r in rows) and len(rows) == len(texts)
+
+
+def test_copies_in_many_partitions_are_one_row_of_a_place(spark, monkeypatch):
+    """A text in each of 200 partitions beside near copies of it: places hold distinct sets alone."""
+    common = " ".join(f"word{i}" for i in range(60))
+    df = spark.range(400).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, common).when(F.col("id") < 20, F.concat(F.lit(f"{common} tail"), F.col("id"))).otherwise(F.concat(F.lit("own text "), F.col("id"))).alias("text")).repartition(200)
+    largest, plain = [], ngram_join._grouped
+    monkeypatch.setattr(ngram_join, "_grouped", lambda small, *a, **k: (largest.append(small.groupBy("place").count().agg(F.max("count")).first()[0]), plain(small, *a, **k))[1])
+    rows = {r.doc_id: r.component_id for r in ngram_join.near_duplicate_components(df).collect()}
+    assert len(largest) == 1 and largest[0] <= 11  # the text and its ten near copies
+    assert {rows[i] for i in range(0, 400, 2)} == {0} == {rows[i] for i in range(1, 20, 2)} and all(rows[i] == i for i in range(21, 400, 2))
