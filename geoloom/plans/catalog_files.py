@@ -10,6 +10,7 @@ import datetime as dt
 import re
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -405,7 +406,7 @@ def _rejected(f: Callable[[], object], pattern: str) -> int:
     """How many examples an error names; -1 without an error."""
     try:
         f()
-    except Exception as e:  # errors of analysis are ValueError, errors of a query are Spark's
+    except (ValueError, PySparkException) as e:  # errors of analysis, errors of a query
         return len(re.findall(pattern, str(e)))
     return -1
 
