@@ -95,7 +95,7 @@ def test_far_dates_match_the_last_release(unmerged):
     none, first, second = (None, None, None), (2019, 2019, "a"), (2020, 2020, "b")
     assert [got[i] for i in range(8)] == [none, first, first, second, second, second, none, none]
     assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
-    many = unmerged.range(1000).select(F.col("id").cast("int").alias("acs_vintage"), F.date_add(F.lit("1000-01-01").cast("date"), (F.col("id") * 300).cast("int")).alias("acs_release_date"), F.lit(1).alias("tiger_line_year"), F.lit("x").alias("tract_definition_vintage"))
+    many = unmerged.range(200).select(F.col("id").cast("int").alias("acs_vintage"), F.date_add(F.lit("1000-01-01").cast("date"), (F.col("id") * 1500).cast("int")).alias("acs_release_date"), F.lit(1).alias("tiger_line_year"), F.lit("x").alias("tract_definition_vintage"))
     releases = [(r.acs_vintage, r.acs_release_date) for r in many.collect()]
     asked = unmerged.createDataFrame([(dt.date(1000, 1, 1) + dt.timedelta(days=n),) for n in range(0, 310_000, 977)], "occurred_date date")
     for r in asof.attach_vintage(asked, asof.calendar_ranges(many)).collect():

@@ -43,13 +43,13 @@ def test_filters_on_either_column_skip_files(spark, tmp_path):
     rng = random.Random(1)
     rows = [(i, rng.randrange(1000), rng.gauss(0, 50)) for i in range(40_000)]
     df = spark.createDataFrame(rows, "id long, cell long, at double")
-    layout.write_z_ordered(df, str(tmp_path / "z"), ["cell", "at"], files=64)
+    layout.write_z_ordered(df, str(tmp_path / "z"), ["cell", "at"], files=144)
     assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "z")).collect()) == list(range(40_000))
-    for column, low, high in (("cell", 500, 510), ("at", 20.0, 21.0), ("at", -200.0, -150.0)):
+    for column, low, high in (("cell", 540, 550), ("at", 20.0, 21.0), ("at", -200.0, -150.0)):
         hits, files = files_read(tmp_path / "z", column, low, high)
-        assert files >= 48 and hits < files / 4, (column, hits, files)
-    df.repartitionByRange(64, "cell").write.parquet(str(tmp_path / "plain"))
-    assert files_read(tmp_path / "plain", "at", 20.0, 21.0)[0] > 48
+        assert files >= 100 and hits < files / 4, (column, hits, files)
+    df.repartitionByRange(144, "cell").write.parquet(str(tmp_path / "plain"))
+    assert files_read(tmp_path / "plain", "at", 20.0, 21.0)[0] > 100
 
 
 def test_one_popular_value_and_awkward_rows(spark, tmp_path):
