@@ -26,7 +26,8 @@ def enrich(df: DataFrame, lookup: DataFrame, on: Mapping[str, str], attributes:
     Keys that many rows of df share are dealt over many tasks, and so are rows with a null key. hot
     names those keys as skew.hot_slots() does, or is a number of pieces for every key, which copies
     the lookup as often; without it keys are counted in df, which reads df's key columns once more.
-    Whether the lookup is broadcast is left to Spark, which knows its size.
+    After other joins it is better to count keys in the table that they come from. Whether the lookup
+    is broadcast is left to Spark, which knows its size.
     """
     require_columns(df, on, context=name)
     require_columns(lookup, [*on.values(), *attributes], context=f"{name} lookup")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import valid_location
 from ..functions.polygons import crosses_odd_edges, on_edge
 from ..sources.boundaries import SRID
+from ..sources.scratch import written
 from ..sources.sinks import new_rows, rebuild_or_add
 from .cover import polygon_cover, tile_of
 from .dedup import guard_unique
@@ -26,11 +27,11 @@ def candidates(locations: DataFrame, boundaries: DataFrame) -> DataFrame:
     Polygons are covered by tiles of their own sizes, see cover; a point lies in one tile of each
     size, so the join is an equality on year, size and tile, and a pair comes once. Inner tiles match
     as they are; only in border tiles are edges looked at, and only those near the tile. Where points
-    crowd one tile, Spark splits its partition.
+    crowd one tile, Spark splits its partition. The cover is written to the shared folder first.
     """
-    cover = polygon_cover(boundaries).withColumnRenamed("boundary_vintage", "tiger_line_year")
+    cover = written(polygon_cover(boundaries).withColumnRenamed("boundary_vintage", "tiger_line_year"), "polygon-cover")
     x, y = F.col("longitude"), F.col("latitude")
-    sizes = polygon_cover(boundaries).agg(F.array_sort(F.collect_set("level"))).scalar()  # a number a level
+    sizes = cover.agg(F.array_sort(F.collect_set("level"))).scalar()  # a number a level
     points = locations.select(*LOCATION, F.explode(sizes).alias("level"))
     points = points.withColumns({"i": tile_of(x, F.col("level")), "j": tile_of(y, F.col("level"))})
     near = points.join(cover, ["tiger_line_year", "level", "i", "j"])

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions import columns as c
 from ..functions import grid, hashing, names, polygons, solar
-from ..operators import asof, census, dedup, enrich, incidents, lighting, manifest, quality, spatial, weather
+from ..operators import asof, census, dedup, enrich, incidents, lighting, manifest, quality, skew, spatial, weather
 from ..sources import readers, sinks
 from ..streaming import ingest, upsert
 from . import gold
@@ -460,7 +460,7 @@ def enrich_with_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     parts = table(spark, sf_dir, "part").filter("p_partkey % 3 <> 0")
     out = enrich.enrich(lines, parts, {"l_partkey": "p_partkey"}, {"p_brand": "p_brand", "p_size": "p_size"}, flag="part_found", name="parts")
-    out = enrich.enrich(out, table(spark, sf_dir, "supplier"), {"l_suppkey": "s_suppkey"}, {"s_name": "s_name"}, flag=None, name="suppliers")
+    out = enrich.enrich(out, table(spark, sf_dir, "supplier"), {"l_suppkey": "s_suppkey"}, {"s_name": "s_name"}, flag=None, name="suppliers", hot=skew.hot_slots(lines, ["l_suppkey"]))
     return out.drop("l_partkey", "l_suppkey")
 
 
