@@ -11,27 +11,41 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import discard, fresh_path, shared_dir, written
 
-__all__ = ["WHITE", "binary_texts", "by_length", "discard", "each_group", "fresh_path", "in_waves", "may_hold", "read_table", "shared_dir", "sorted_groups", "written"]
+__all__ = ["WHITE", "binary_texts", "by_length", "discard", "each_group", "fresh_path", "in_waves", "may_hold", "read_table", "shared_dir", "slots_for", "sorted_groups", "written"]
 
 #: The ASCII white space that separates words: space and \x09 to \x0D.
 WHITE = " \t\n\x0b\x0c\r"
 
+#: Slots of the smallest and the largest bit map: 8 KB and 16 MB.
+LEAST_SLOTS, MOST_SLOTS = 1 << 16, 1 << 27
+#: Words of 64 slots that are a page of a bit map.
+PAGE_WORDS = 4096
+
+
+def slots_for(keys: int) -> int:
+    """Slots of a bit map that so many keys fill to an eighth at most, a power of two up to 16 MB."""
+    return min(max(1 << (8 * keys - 1).bit_length(), LEAST_SLOTS), MOST_SLOTS) if keys else LEAST_SLOTS
+
+
 def may_hold(keys: DataFrame, slots: int = 1 << 23) -> Callable[..., Column]:
     """A test of columns against the rows of keys: false only where no row of keys holds the values.
 
-    Keys set bits of one map, 1 MB at any number of keys, which reaches tasks as the value of a scalar
-    subquery. A bit that other values set lets a row through, so what follows must be exact by itself;
-    far beyond slots keys nearly every row passes. Used to leave rows out before they are shuffled.
+    Keys set bits of one map of slots bits, which reaches tasks as the value of a scalar subquery. A
+    bit that other values set lets a row through, so what follows must be exact by itself; far beyond
+    slots keys nearly every row passes. Used to leave rows out before they are shuffled.
     """
     slot = F.pmod(F.xxhash64(*keys.columns), F.lit(slots))
     ones = keys.select(slot.alias("slot")).selectExpr("slot div 64 AS word", "shiftleft(1L, cast(slot % 64 AS int)) AS bits")
     every = keys.sparkSession.range(slots // 64).selectExpr("id AS word", "0L AS bits")
     words = ones.unionByName(every).groupBy("word").agg(F.expr("bit_or(bits)").alias("bits"))
-    bits = words.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda x: x["bits"])).scalar()
+    # words are put together in pages by many tasks, so that the last one holds few rows
+    pages = words.groupBy(F.expr(f"word div {PAGE_WORDS}").alias("page")).agg(F.sort_array(F.collect_list(F.struct("word", "bits")))["bits"].alias("own"))
+    bits = pages.agg(F.sort_array(F.collect_list(F.struct("page", "own")))["own"]).scalar()
 
     def test(*columns: Column | str) -> Column:
         at = F.pmod(F.xxhash64(*columns), F.lit(slots))
-        word = F.get(bits, F.floor(at / 64).cast("int"))
+        page = F.get(bits, F.floor(at / (64 * PAGE_WORDS)).cast("int"))
+        word = F.get(page, F.floor(at / 64).cast("int") % PAGE_WORDS)
         return F.call_function("shiftright", word, (at % 64).cast("int")).bitwiseAND(F.lit(1)) == 1
 
     return test

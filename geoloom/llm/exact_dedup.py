@@ -2,8 +2,8 @@
 
 Three rounds: rows are grouped by text length; rows of a length that two share by a hash of a short
 prefix as well; rows that are still together by a hash of the full text. A round learns which groups
-of the round before are open from a bit map of fixed size, so texts are read where they lie and are
-never shuffled.
+of the round before are open from a bit map, sized by the number of open groups, so texts are read
+where they lie and are never shuffled.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import may_hold, read_table, written
+from .common import discard, may_hold, read_table, slots_for, written
 
 _LEN, _HEAD, _FULL, _ROW = "__xd_length", "__xd_head", "__xd_full", "__xd_row"
 
@@ -30,12 +30,14 @@ def exact_duplicates(df: DataFrame, *, text: str = "text", key: str = "doc_id",
     length, head, full = F.octet_length(value), F.xxhash64(F.substring(value, 1, prefix_chars)), F.unhex(F.sha2(value, 256))
     # Counts combine within each task before the shuffle, so a length or prefix that a third of all
     # rows share sends one row per task.
-    lengths = df.groupBy(length.alias(_LEN)).count().filter("count > 1").select(_LEN)
-    in_lengths = may_hold(lengths)
+    lengths = written(df.groupBy(length.alias(_LEN)).count().filter("count > 1").select(_LEN), "open-lengths")
+    in_lengths = may_hold(lengths, slots_for(lengths.count()))
     heads = df.filter(in_lengths(length)).groupBy(length.alias(_LEN), head.alias(_HEAD)).count().filter("count > 1").select(_LEN, _HEAD)
-    in_heads = may_hold(heads)
+    heads = written(heads, "open-heads")
+    in_heads = may_hold(heads, slots_for(heads.count()))
     rows = df.select(F.col(key).alias(key), *(F.col(c) for c in carry), length.alias(_LEN), F.when(in_heads(length, head), full).alias(_FULL), F.monotonically_increasing_id().alias(_ROW))
     refined = written(rows, "exact-dedup")
+    discard(lengths, heads)
     last: Column = F.struct(F.col(key).alias("key"), F.col(_ROW).alias("row"))
     groups = refined.filter(F.col(_FULL).isNotNull()).groupBy(_LEN, _FULL).agg(F.max(last).alias("__xd_last"), F.count(F.lit(1)).alias("__xd_size")).filter("__xd_size > 1")
     groups = written(groups, "exact-groups")  # a join of two plain exchanges is one that Spark can split by size

@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from geoloom.llm import components
-from geoloom.llm.common import discard, each_group, may_hold, written
+from geoloom.llm.common import LEAST_SLOTS, MOST_SLOTS, discard, each_group, may_hold, slots_for, written
 
 
 def test_bit_map_lets_every_key_through(spark):
@@ -20,6 +20,19 @@ def test_bit_map_lets_every_key_through(spark):
     assert rows.filter(may_hold(keys.limit(0))("part", "name")).count() == 0
 
 
+def test_bit_maps_grow_with_their_keys():
+    assert slots_for(0) == slots_for(1) == LEAST_SLOTS and slots_for(10**10) == MOST_SLOTS
+    assert all(8 * n <= slots_for(n) < 16 * n for n in (10_000, 1 << 20, (1 << 20) + 1, 15_000_000))
+
+
+def test_the_largest_bit_map_tells_millions_of_keys_apart(spark):
+    keys = spark.range(0, 12_000_000, 1, 8).select(F.col("id").alias("key"))
+    others = spark.range(1 << 40, (1 << 40) + 100_000).withColumnRenamed("id", "key")
+    test = may_hold(keys, slots_for(12_000_000))
+    assert slots_for(12_000_000) == MOST_SLOTS and others.filter(test("key")).count() < 100_000 / 8
+    assert keys.filter("key % 1000 = 1").filter(test("key")).count() == 12_000
+
+
 def test_groups_over_batches():
     rows = [(1, 1, "a"), (1, 1, "b"), (1, 2, "c"), (2, 2, "d"), (2, 2, "e"), (2, 2, "f"), (3, 1, "g")]
     make = lambda part: pa.record_batch({"x": [r[0] for r in part], "y": [r[1] for r in part], "v": [r[2] for r in part]})
