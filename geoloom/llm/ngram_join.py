@@ -19,7 +19,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import binary_texts, discard, may_hold, read_table, sorted_groups, written
+from .common import binary_texts, discard, may_hold, read_table, slots_for, sorted_groups, written
 from .components import connected_components
 from .prefix_tree import CLASS_BITS, CLASS_SHIFT, PrefixTree, beginning, frequency_classes, prefix_lengths, ranked
 from .shingles import digest, shingle_sets
@@ -278,12 +278,13 @@ def near_duplicate_components(df: DataFrame, *, words: int = 5, num: int = 4, de
     sizes = sizes.withColumn("blocks", F.greatest(F.ceil(F.col("members") / BLOCK_SETS), F.ceil(F.col("grams") / BLOCK_GRAMS)))
     sizes = written(sizes.select("place", "blocks"), "group-sizes")
     members = written(groups.drop("n").join(sizes, "place").join(nodes.select("node", "h1"), "h1").drop("h1"), "group-members")
+    slots = slots_for(members.count())
     texts = df.select(F.col(key).alias("__nj_key"), F.xxhash64(text).alias("__nj_th"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     def linked(rows: DataFrame) -> DataFrame:
         """Links within blocks (place, block, node, label)."""
         rows = rows.join(nodes.select("node", "h1", "h2", "first", "th"), "node")
-        wanted = texts.filter(may_hold(rows.select("th"))("__nj_th"))  # most texts meet no other and stay where they are
+        wanted = texts.filter(may_hold(rows.select("th"), slots)("__nj_th"))  # most texts meet no other and stay where they are
         # the small side is hashed at every size; a broadcast would depend on it
         rows = wanted.join(rows.hint("shuffle_hash"), (F.col("th") == F.col("__nj_th")) & F.col("first").eqNullSafe(F.col("__nj_key")))
         return _linked(rows.select("place", "block", "node", "label", "h1", "h2", "text"), class_of, words=words, num=num, den=den)
