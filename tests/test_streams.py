@@ -2,9 +2,12 @@
 
 import datetime as dt
 import time
+import types
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from geoloom.operators import trailing
 from geoloom.plans.catalog_time import rocksdb_state
@@ -77,6 +80,47 @@ def test_gaps_by_timers_equal_the_batch(spark, tmp_path):
     assert hours == {"a": [2, 4, 5, 9, 10, 11, 12, 13, 23], "b": [2, 3, 4, 5, 6, 8, 9, 10, 11, 12]}
 
 
+class _Counted:
+    """A handle with one value of state; counts what goes to the JVM and back."""
+
+    def __init__(self):
+        self.value, self.timers, self.messages = None, [], 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        self.messages += 1
+        return self.value
+
+    def update(self, value):
+        self.messages, self.value = self.messages + 1, value
+
+    def clear(self):
+        self.messages, self.value = self.messages + 1, None
+
+    def registerTimer(self, at):
+        self.messages += 1
+        self.timers.append(at)
+
+
+def test_gaps_cost_no_message_per_key_or_hour():
+    h, n = gaps.HOUR_MS, 300
+    handle, now = _Counted(), types.SimpleNamespace(getCurrentWatermarkInMs=lambda: 201 * h)
+    made = gaps._Gaps("k", LongType(), 3)
+    made.init(handle)
+    rows = pd.DataFrame([(k, hour * h + k) for k in range(n) for hour in range(k % 2, 200, 2)], columns=["observed_key", "observed_ms"])
+    assert not list(made.handleInputRows((0,), iter([rows[1::2], rows[::2]]), now))
+    assert handle.timers == [h] and handle.messages <= 3
+    (spans,) = made.handleExpiredTimer((0,), now, None)
+    got = {(k, t) for k, first, last in spans.itertuples(index=False) for t in range(first // h, last // h + 1)}
+    assert got == {(k, t) for k in range(n) for t in (*range(k % 2 + 1, 201, 2), 200)}
+    assert len(handle.value[0]) == n and handle.messages <= 6
+    now.getCurrentWatermarkInMs = lambda: 210 * h
+    (spans,) = made.handleExpiredTimer((0,), now, None)
+    assert set(spans["__last"] // h) == {201, 202} and handle.value is None  # all keys are given up
+
+
 def test_requests_with_a_deadline(spark, tmp_path):
     asked, answers = Feed(spark, tmp_path, "id int, at timestamp", "asked"), Feed(spark, tmp_path, "id int, done timestamp", "answers")
     more = {"key": "id", "requested_at": "at", "answered_at": "done", "within": "1 hour", "late": "10 minutes"}
