@@ -30,16 +30,16 @@ def slot(keys: Sequence[Column]) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(SLOTS)).cast("int")
 
 
-def hot_slots(df: DataFrame, keys: Sequence[str]) -> Column:
+def hot_slots(df: DataFrame, keys: Sequence[str], *, rows: str | None = None) -> Column:
     """Pieces of each hot slot as one map, which is a scalar subquery: it runs when rows are asked for.
 
-    The counts add up within each task before they are shuffled, whatever the keys are. Rows with a
-    null key don't count. A slot is hot beyond the share of one of spark.sql.shuffle.partitions tasks,
+    The counts add up within each task before they are shuffled, whatever the keys are. A row of df
+    stands for as many as its column rows says, or for one. Rows with a null key don't count. A slot is hot beyond the share of one of spark.sql.shuffle.partitions tasks,
     so there are fewer hot slots than tasks; it gets PIECES_PER_TASK pieces for each share.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    given = df.select(*keys).na.drop()
-    counted = given.groupBy(slot([F.col(k) for k in keys]).alias("slot")).agg(F.count(F.lit(1)).alias("rows"))
+    given = df.select(*keys, (F.lit(1) if rows is None else F.col(rows)).alias("__rows")).na.drop(subset=list(keys))
+    counted = given.groupBy(slot([F.col(k) for k in keys]).alias("slot")).agg(F.sum("__rows").alias("rows"))
     listed = counted.agg(F.collect_list(F.struct("slot", "rows")).alias("slots"), F.sum("rows").alias("total"))
     hot = F.filter("slots", lambda x: x["rows"] * parts > F.col("total"))
     pieces = F.transform(hot, lambda x: F.struct(x["slot"], F.ceil(x["rows"] * parts * PIECES_PER_TASK / F.col("total")).cast("int")))

@@ -19,7 +19,7 @@ from ..functions import grid, names
 from ..operators import asof, dedup, incidents, lighting, quality, spatial
 from ..sources import boundaries, readers, sinks
 from ..sources.published import read_published
-from ..sources.scratch import fresh_path
+from ..sources.scratch import discard, fresh_path, written
 from ..streaming import ingest
 from . import catalog as base
 from . import gold, jobs
@@ -456,8 +456,10 @@ def features_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole pipeline, twice: lookups are made, then added to, and the table is replaced."""
     events = grid.with_cell(base._located(spark, sf_dir)).withColumn("incident_id", F.col("event_id").cast("string"))
     paths = {n: fresh_path(spark, n) for n in ("lighting_path", "location_path", "target")}
-    inputs = {"calendar": base._event_calendar(spark, sf_dir), "boundaries": base._boundaries(spark, sf_dir), "census": base._census_table(spark, sf_dir), "weather": base._weather_table(spark, sf_dir), "provider": "open_meteo", "model": "era5"}
+    weather = written(base._weather_table(spark, sf_dir), "weather")
+    inputs = {"calendar": base._event_calendar(spark, sf_dir), "boundaries": base._boundaries(spark, sf_dir), "census": base._census_table(spark, sf_dir), "weather": weather, "provider": "open_meteo", "model": "era5"}
     gold.run(spark, events.filter("event_id % 2 = 0"), **inputs, **paths)
     report = gold.run(spark, events, **inputs, **paths)
+    discard(weather)
     rows = read_published(spark, paths["target"])
     return rows.select("incident_id", "selected_acs_vintage", "tract_geoid", "socioeconomic_match_found", "temperature_2m_c", "weather_match_found", "lighting_condition", F.lit(report.passed).alias("passed"))

@@ -59,6 +59,25 @@ def test_feature_pipeline(spark, tmp_path):
     assert lighting.KEYS[0] in spark.read.parquet(paths["lighting_path"]).columns
 
 
+def test_incidents_are_read_a_fixed_few_times(spark, tmp_path, sf_dir):
+    """By both guards of the ids, for what is asked for, and for the rows."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    events = catalog._located(spark, sf_dir).select(F.col("event_id").cast("string").alias("incident_id"), "occurred_at", "latitude", "longitude")
+    incidents = events.mapInArrow(counted, events.schema)
+    inputs = {"calendar": catalog._event_calendar(spark, sf_dir), "boundaries": catalog._boundaries(spark, sf_dir), "census": catalog._census_table(spark, sf_dir), "weather": catalog._weather_table(spark, sf_dir), "provider": "open_meteo", "model": "era5"}
+    report = gold.run(spark, incidents, **inputs, **{n: str(tmp_path / n) for n in ("lighting_path", "location_path", "target")})
+    n = events.count()
+    assert report.passed and read.value <= 4 * n
+    found = {x.name: x for x in report.checks}
+    assert found["as_many_rows_as_source"].checked == found["no_multiplication"].checked == n
+
+
 def test_count_panel(spark):
     df = spark.createDataFrame([(1, T(2024, 1, 1, 5)), (1, T(2024, 1, 1, 6)), (2, T(2024, 1, 3)), (None, T(2024, 1, 9)), (3, None)], "weather_query_cell_id long, occurred_at timestamp")
     rows = {(r.weather_query_cell_id, r.window_start.day): (r.event_count, r.split) for r in gold.count_panel(df, size="1 day", validate_from="2024-01-02", test_from="2024-01-03").collect()}
